@@ -17,7 +17,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.exact import micros
-from tallyspark.operators.ordered import DEFAULT, Limits, last_known_scan, scan_groups, sum_scan
+from tallyspark.operators.ordered import (
+    DEFAULT,
+    Limits,
+    hot_groups,
+    join_small,
+    keys_table,
+    last_known_scan,
+    scan_groups,
+)
+from tallyspark.operators.windows import moving
 
 Pairs = Sequence[tuple[str, str]]
 
@@ -49,13 +58,48 @@ def without_match(left: DataFrame, right: DataFrame, pairs: Pairs) -> DataFrame:
     return left.join(distinct_keys(right, [r for _, r in pairs]), _on(pairs), "left_anti")
 
 
-def outer(left: DataFrame, right: DataFrame, pairs: Pairs, how: str, fill: dict | None = None) -> DataFrame:
+def outer(
+    left: DataFrame,
+    right: DataFrame,
+    pairs: Pairs,
+    how: str,
+    fill: dict | None = None,
+    limits: Limits = DEFAULT,
+) -> DataFrame:
     """Left, right or full outer join, nulls of unmatched rows filled.
 
-    Put together from an inner join and anti joins against distinct keys:
     Spark cannot split a hot key on the null-supplying side of an outer join,
-    and not at all in a full one.
+    and on neither side of a full one. Keys that are hot there take another
+    way: an inner join, which can be split, and anti joins against distinct
+    keys for the rows without a match. All other keys meet in one outer join.
     """
+    if how not in ("left", "right", "full"):
+        raise ValueError(f"how must be left, right or full, not {how!r}")
+    l_keys, r_keys = [p[0] for p in pairs], [p[1] for p in pairs]
+    unsplit = {"left": [(right, r_keys)], "right": [(left, l_keys)], "full": [(right, r_keys), (left, l_keys)]}[how]
+    tables = []
+    for side, keys in unsplit:
+        found = hot_groups(side, keys, limits)
+        if found:
+            tables.append(keys_table(side, keys, [row[:-1] for row in found]).toDF(*l_keys))
+    if not tables:
+        whole = left.join(right, _on(pairs), how)
+    else:
+        l_hot = reduce(DataFrame.unionByName, tables).distinct()
+        r_hot = l_hot.toDF(*r_keys)
+        cold = join_small(left, l_hot, l_keys, "left_anti").join(
+            join_small(right, r_hot, r_keys, "left_anti"), _on(pairs), how
+        )
+        hot = _outer_by_parts(
+            join_small(left, l_hot, l_keys, "left_semi"), join_small(right, r_hot, r_keys, "left_semi"), pairs, how
+        )
+        whole = cold.unionByName(hot)
+    if fill:
+        whole = whole.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fill.items()})
+    return whole
+
+
+def _outer_by_parts(left: DataFrame, right: DataFrame, pairs: Pairs, how: str) -> DataFrame:
     parts = [left.join(right, _on(pairs))]
     if how in ("left", "full"):
         blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema]
@@ -64,12 +108,7 @@ def outer(left: DataFrame, right: DataFrame, pairs: Pairs, how: str, fill: dict
         blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema]
         flipped = [(r, l) for l, r in pairs]
         parts.append(without_match(right, left, flipped).select(*blank, *right.columns))
-    if how not in ("left", "right", "full"):
-        raise ValueError(f"how must be left, right or full, not {how!r}")
-    whole = reduce(DataFrame.unionByName, parts)
-    if fill:
-        whole = whole.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fill.items()})
-    return whole
+    return reduce(DataFrame.unionByName, parts)
 
 
 def within(
@@ -127,34 +166,13 @@ def count_within(
     value: Column,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
-    """Per left row: number and sum of right rows 0 to ``seconds`` before it.
+    """Per left row the number ``n`` and sum ``total`` of right rows of its
+    key 0 to ``seconds`` before it.
 
-    The difference of two running totals, at the row's time and just before
-    the interval opens; the pairs themselves are never formed. Left rows must
-    be distinct, since a row is its own key in the last step.
+    Both sides form one stream of rows over which moving sums are kept; the
+    pairs themselves are never formed.
     """
-    points = right.groupBy(*by, ts).agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_v"))
-    keyed = left.withColumn("_row", F.struct(*[F.col(c) for c in left.columns]))
-    row_type = keyed.schema["_row"].dataType
-    opens = F.col(ts) - F.expr(f"interval {seconds} seconds")
-    null_row = F.lit(None).cast(row_type)
-    # Order among equal times: interval openings (0) before data (1), rows that ask (2) after it.
-    marks = (
-        keyed.select(*by, opens.alias(ts), F.lit(0).alias("_side"), F.col("_row"))
-        .unionByName(
-            points.select(*by, ts, F.lit(1).alias("_side"), null_row.alias("_row"), "_n", "_v"),
-            allowMissingColumns=True,
-        )
-        .unionByName(keyed.select(*by, ts, F.lit(2).alias("_side"), F.col("_row")), allowMissingColumns=True)
-    )
-    order = [F.col(ts), F.col("_side"), F.col("_row")]
-    scans = {"_cn": sum_scan(F.col("_n")), "_cv": sum_scan(F.col("_v"))}
-    run = scan_groups(marks, by, order, scans, limits).where(F.col("_side") != 1)
-
-    def difference(column: str) -> Column:
-        now = F.when(F.col("_side") == 2, F.col(column)).otherwise(-F.col(column))
-        return F.sum(F.coalesce(now, F.lit(0)))
-
-    # Two marks per left row.
-    sums = run.groupBy("_row").agg(difference("_cn").alias("n"), difference("_cv").alias("total"))
-    return sums.select("_row.*", "n", "total")
+    seen = right.select(*by, ts, F.lit(1).alias("_one"), value.alias("_value"))
+    both = left.withColumn("_asks", F.lit(True)).unionByName(seen, allowMissingColumns=True)
+    sums = {"n": F.col("_one"), "total": F.col("_value")}
+    return moving(both, by, ts, seconds, sums, limits).where(F.col("_asks")).select(*left.columns, "n", "total")

@@ -2,7 +2,7 @@
 
 A plain window puts one whole group into one task. That is the best plan while
 groups are small, and the wrong one when a single key holds a large part of
-the table. ``over_groups`` counts the groups first, leaves all ordinary ones
+the table. ``over_groups`` looks for hot keys first, leaves all ordinary ones
 to the plain window, and cuts the few hot ones into ordered slices:
 
 1. range-partition the hot rows by key and order, which spreads one key over
@@ -30,13 +30,19 @@ class Limits:
     """When a group counts as hot.
 
     Groups above ``rows_per_task`` are cut, the largest ``hot_groups`` of them.
-    Any group left over holds less than 1/``hot_groups`` of all rows and goes
-    through the plain window, so nothing is dropped.
+    A group that is missed, by that limit or by the sample, goes through the
+    plain window: slower, never wrong.
     """
 
     rows_per_task: int = 5_000_000
     hot_groups: int = 1_000
     max_slices: int = 20_000
+    # A hot group shows up in the sample with at least this many rows.
+    sample_hits: int = 10_000
+
+    @property
+    def fraction(self) -> float:
+        return min(1.0, self.sample_hits / self.rows_per_task)
 
 
 DEFAULT = Limits()
@@ -47,7 +53,7 @@ class Scan:
     """A running value, written so that slices can be scanned apart.
 
     within: the value inside one slice
-    total:  one value per slice; ``_at`` is the row's place in its slice
+    total:  one value per slice; ``_place`` is the row's place in its slice
     carry:  what earlier slices (column ``_total``) hand to this one
     merge:  value within the slice, carried value -> final value
     """
@@ -81,7 +87,7 @@ def previous_scan(value: Column) -> Scan:
     boxed = F.struct(value.alias("x"))
     return Scan(
         within=lambda w: F.lag(boxed).over(w),
-        total=F.max_by(boxed, "_at"),
+        total=F.max_by(boxed, "_place"),
         carry=lambda w: F.lag("_total").over(w),
         merge=lambda local, before: F.coalesce(local, before)["x"],
     )
@@ -90,7 +96,7 @@ def previous_scan(value: Column) -> Scan:
 def last_known_scan(value: Column) -> Scan:
     return Scan(
         within=lambda w: F.last(value, ignorenulls=True).over(_so_far(w)),
-        total=F.max_by(value, F.when(value.isNotNull(), F.col("_at"))),
+        total=F.max_by(value, F.when(value.isNotNull(), F.col("_place"))),
         carry=lambda w: F.last("_total", ignorenulls=True).over(_earlier(w)),
         merge=F.coalesce,
     )
@@ -100,7 +106,7 @@ def first_scan(value: Column) -> Scan:
     boxed = F.struct(value.alias("x"))
     return Scan(
         within=lambda w: F.first(boxed).over(_so_far(w)),
-        total=F.min_by(boxed, "_at"),
+        total=F.min_by(boxed, "_place"),
         carry=lambda w: F.first("_total").over(_earlier(w)),
         merge=lambda local, before: F.coalesce(before, local)["x"],
     )
@@ -113,19 +119,29 @@ def join_small(df: DataFrame, small: DataFrame, columns: Sequence[str], how: str
     return df.join(F.broadcast(renamed), on, how).drop(*[f"_key_{c}" for c in columns])
 
 
-def hot_groups(df: DataFrame, by: Sequence[str], limits: Limits) -> list:
-    """Rows (key.., n) of the groups above the limit, at most ``hot_groups``.
+def hot_groups(df: DataFrame, by: Sequence[str], limits: Limits) -> list[tuple]:
+    """(key.., rows) of the groups above the limit, at most ``hot_groups``.
 
-    One narrow pass: the count is combined before its shuffle.
+    One scan of the key columns. Only a sample is counted (all rows where the
+    limit is small), combined per task before the shuffle.
     """
-    return (
-        df.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("_n"))
+    keys = df.select(*by)
+    if limits.fraction < 1:
+        keys = keys.sample(limits.fraction, seed=17)
+    found = (
+        keys.groupBy(*by)
+        .agg((F.count(F.lit(1)) / limits.fraction).cast("long").alias("_n"))
         .where(F.col("_n") > limits.rows_per_task)
         .orderBy(F.desc("_n"))
         .limit(limits.hot_groups)
-        .collect()
     )
+    return [tuple(row) for row in found.collect()]
+
+
+def keys_table(df: DataFrame, by: Sequence[str], keys: Sequence[tuple]) -> DataFrame:
+    """Found keys as a table, each once. It has no more rows than the limits
+    allow, so broadcasting it is safe whatever the data."""
+    return df.sparkSession.createDataFrame(sorted(set(keys), key=repr), df.select(*by).schema)
 
 
 def split_hot(df: DataFrame, by: Sequence[str], limits: Limits) -> tuple[DataFrame, DataFrame | None, int]:
@@ -133,10 +149,8 @@ def split_hot(df: DataFrame, by: Sequence[str], limits: Limits) -> tuple[DataFra
     found = hot_groups(df, by, limits)
     if not found:
         return df, None, 0
-    schema = df.select(*by).schema
-    keys = df.sparkSession.createDataFrame([tuple(row[c] for c in by) for row in found], schema)
-    # At most ``hot_groups`` rows, so the broadcast is bounded whatever the data.
-    slices = min(limits.max_slices, math.ceil(sum(row["_n"] for row in found) / limits.rows_per_task))
+    keys = keys_table(df, by, [row[:-1] for row in found])
+    slices = min(limits.max_slices, math.ceil(sum(row[-1] for row in found) / limits.rows_per_task))
     return join_small(df, keys, by, "left_anti"), join_small(df, keys, by, "left_semi"), slices
 
 
@@ -155,7 +169,7 @@ def scan_slices(
     inside = Window.partitionBy(*by, "_slice").orderBy(*order)
     across = Window.partitionBy(*by).orderBy("_slice")
     names = list(scans)
-    local = sliced.withColumn("_at", F.row_number().over(inside))
+    local = sliced.withColumn("_place", F.row_number().over(inside))
     local = local.withColumns({f"_in_{n}": scans[n].within(inside) for n in names})
     ends = local.groupBy(*by, "_slice").agg(*[scans[n].total.alias(f"_end_{n}") for n in names])
     carried = ends
@@ -167,7 +181,7 @@ def scan_slices(
     merged = joined.withColumns(
         {n: scans[n].merge(F.col(f"_in_{n}"), F.col(f"_before_{n}")) for n in names}
     )
-    return merged.drop("_at", *[f"_in_{n}" for n in names], *[f"_before_{n}" for n in names])
+    return merged.drop("_place", *[f"_in_{n}" for n in names], *[f"_before_{n}" for n in names])
 
 
 def over_groups(

@@ -21,9 +21,10 @@ from tallyspark.operators.ordered import (
     sum_scan,
 )
 
-# Up to this many rows per group Spark trims each map task's share of a group
-# before the shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
-MAP_SIDE_LIMIT = 1_000
+# Up to this many rows per group each map task's share of a group is trimmed
+# before the shuffle. Spark would do so up to 1,000; with very many map tasks
+# that is still a lot of rows for one hot group.
+MAP_SIDE_LIMIT = 100
 
 
 def top_per(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int, limits: Limits = DEFAULT) -> DataFrame:
@@ -119,55 +120,53 @@ def running(
 
 
 def moving(
-    df: DataFrame, by: Sequence[str], ts: str, seconds: int, value: Column, limits: Limits = DEFAULT
+    df: DataFrame, by: Sequence[str], ts: str, seconds: int, sums: dict[str, Column], limits: Limits = DEFAULT
 ) -> DataFrame:
-    """Add ``moving_n`` and ``moving_total`` over the last ``seconds`` up to
-    each row, rows of equal time included.
+    """Sums over the last ``seconds`` up to each row, rows of equal time
+    included; null values count as zero.
 
-    Ordinary groups use Spark's range frame. In a hot group the frame itself
-    may be too big for a task, so there the value is the difference of two
-    running totals, taken now and just before the frame opens.
+    The sum is the difference of two totals that only grow: up to now, and up
+    to the last microsecond before the frame opens. Spark extends such frames
+    row by row, where a frame with two moving ends is added up anew for each
+    row. Values must be integers or decimals, for which the difference is exact.
     """
+    names = list(sums)
+    rows = df.withColumns({f"_x_{n}": F.coalesce(v, F.lit(0)) for n, v in sums.items()})
     keys = ", ".join(f"`{c}`" for c in by)
-    frame = (
-        f"over (partition by {keys} order by `{ts}` "
-        f"range between interval {seconds} seconds preceding and current row)"
-    )
-    cold, hot, _ = split_hot(df.withColumn("_v", value), by, limits)
-
-    def finish(rows: DataFrame, n: Column, total: Column) -> DataFrame:
-        return rows.withColumns({"moving_n": n.cast("long"), "moving_total": total}).select(
-            *df.columns, "moving_n", "moving_total"
-        )
-
-    done = finish(cold, F.expr(f"count(*) {frame}"), F.expr(f"sum(_v) {frame}"))
+    growing = f"over (partition by {keys} order by `{ts}` range between unbounded preceding and"
+    opens = f"interval '{seconds}.000001' second preceding"
+
+    def plain(part: DataFrame) -> DataFrame:
+        # Rows without a time come first and form a frame of their own.
+        now = {n: F.expr(f"sum(`_x_{n}`) {growing} current row)") for n in names}
+        old = {n: F.expr(f"sum(`_x_{n}`) {growing} {opens})") for n in names}
+        gone = {n: F.when(F.col(ts).isNotNull(), F.coalesce(old[n], F.lit(0))).otherwise(0) for n in names}
+        return part.withColumns({n: now[n] - gone[n] for n in names}).select(*df.columns, *names)
+
+    cold, hot, _ = split_hot(rows, by, limits)
+    done = plain(cold)
     if hot is None:
         return done
-    points = hot.groupBy(*by, ts).agg(
-        F.count(F.lit(1)).alias("_n"), F.count("_v").alias("_f"), F.sum("_v").alias("_s")
-    )
+    points = hot.groupBy(*by, ts).agg(*[F.sum(f"_x_{n}").alias(f"_x_{n}") for n in names])
     here = points.withColumns({"_at": F.col(ts), "_side": F.lit(1)})
-    opens = points.select(
+    opened = points.select(
         *by, (F.col(ts) - F.expr(f"interval {seconds} seconds")).alias(ts), F.col(ts).alias("_at"), F.lit(0).alias("_side")
     )
-    marks = here.unionByName(opens, allowMissingColumns=True)
-    order = [F.col(ts), F.col("_side")]
-    scans = {f"_c{c}": sum_scan(F.col(f"_{c}")) for c in "nfs"}
-    run = scan_groups(marks, by, order, scans, limits)
-
-    def difference(column: str) -> Column:
-        now = F.when(F.col("_side") == 1, F.col(column)).otherwise(-F.col(column))
-        return F.sum(F.coalesce(now, F.lit(0)))
-
-    frames = run.groupBy(*[F.col(c).alias(f"_k_{c}") for c in by], F.col("_at")).agg(
-        difference("_cn").alias("_fn"),
-        F.when(difference("_cf") > 0, difference("_cs")).alias("_fs"),
+    # Of equal times the opening mark comes first: the frame includes its start.
+    marks = here.unionByName(opened, allowMissingColumns=True)
+    order = [F.col(ts), F.col("_side"), F.col("_at")]
+    run = scan_groups(marks, by, order, {f"_c_{n}": sum_scan(F.col(f"_x_{n}")) for n in names}, limits)
+    frames = run.groupBy(*[F.col(c).alias(f"_key_{c}") for c in by], F.col("_at")).agg(
+        *[
+            F.sum(F.when(F.col("_side") == 1, F.col(f"_c_{n}")).otherwise(-F.coalesce(f"_c_{n}", F.lit(0)))).alias(n)
+            for n in names
+        ]
     )
     on = F.col(ts).eqNullSafe(F.col("_at"))
     for c in by:
-        on = on & F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+        on = on & F.col(c).eqNullSafe(F.col(f"_key_{c}"))
     # Joined on (key, time), which spreads the hot key.
-    extra = finish(hot.join(frames, on), F.col("_fn"), F.col("_fs"))
+    extra = hot.join(frames, on)
     return done.unionByName(
         extra.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in done.schema])
     )

@@ -103,7 +103,8 @@ def running_value(spark: SparkSession, sf: str) -> DataFrame:
 )
 def moving_hour(spark: SparkSession, sf: str) -> DataFrame:
     events = load(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    moved = windows.moving(events, ["user_id"], "ts", 3600, money("value"))
+    sums = {"moving_n": F.lit(1), "moving_total": money("value")}
+    moved = windows.moving(events, ["user_id"], "ts", 3600, sums)
     return moved.select("event_id", "user_id", "moving_n", F.col("moving_total").cast("double").alias("moving_total"))
 
 
