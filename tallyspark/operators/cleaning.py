@@ -33,7 +33,8 @@ def orphans(child: DataFrame, parent: DataFrame, foreign: str, key: str, rule: s
     Child rows are counted per key first; the anti join then sees each key once.
     """
     counts = child.where(F.col(foreign).isNotNull()).groupBy(foreign).agg(F.count(F.lit(1)).alias("_n"))
-    lost = counts.join(parent.select(key).distinct(), F.col(foreign) == F.col(key), "left_anti")
+    known = parent.select(F.col(key).alias("_key")).distinct()
+    lost = counts.join(known, F.col(foreign) == F.col("_key"), "left_anti")
     return lost.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("bad_rows")).select(F.lit(rule).alias("rule"), "bad_rows")
 
 

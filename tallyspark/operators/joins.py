@@ -36,26 +36,33 @@ def _on(pairs: Pairs) -> Column:
 
 
 def star(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
-    """Inner joins of a fact table with its dimensions (dim, left key, dim key)."""
+    """Inner joins of a fact table with its dimensions (dim, left key, dim key).
+
+    Keys of one name come out as one column.
+    """
     for dim, left, right in dims:
-        fact = fact.join(dim, F.col(left) == F.col(right))
+        fact = fact.join(dim, left if left == right else F.col(left) == F.col(right))
     return fact
 
 
-def distinct_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per key. Combined before its shuffle, so a hot key costs one
-    row per task; the shuffle is the one the join needs anyway."""
-    return df.select(*columns).distinct()
+def _matches(left: DataFrame, right: DataFrame, pairs: Pairs, how: str) -> DataFrame:
+    """Semi or anti join against one row per key of the right side.
+
+    The keys are made distinct before their shuffle, so a hot key costs one
+    row per task; the shuffle is the one the join needs anyway.
+    """
+    keys = right.select(*[F.col(r).alias(f"_key_{n}") for n, (_, r) in enumerate(pairs)]).distinct()
+    return left.join(keys, _on([(l, f"_key_{n}") for n, (l, _) in enumerate(pairs)]), how)
 
 
 def having_match(left: DataFrame, right: DataFrame, pairs: Pairs) -> DataFrame:
-    """Left rows with at least one match (left semi join)."""
-    return left.join(distinct_keys(right, [r for _, r in pairs]), _on(pairs), "left_semi")
+    """Left rows with at least one match."""
+    return _matches(left, right, pairs, "left_semi")
 
 
 def without_match(left: DataFrame, right: DataFrame, pairs: Pairs) -> DataFrame:
-    """Left rows without any match (left anti join)."""
-    return left.join(distinct_keys(right, [r for _, r in pairs]), _on(pairs), "left_anti")
+    """Left rows without any match."""
+    return _matches(left, right, pairs, "left_anti")
 
 
 def outer(
