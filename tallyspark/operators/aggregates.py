@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.operators.ordered import DEFAULT, Limits, scan_groups, sum_scan
+from tallyspark.session import pinned
 
 
 def summary(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
@@ -59,6 +60,10 @@ def unpivot(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str
     return df.unpivot(list(ids), list(columns), name, value)
 
 
+# Rank error of the sketch that brackets exact quantiles: 1/SKETCH of a group.
+SKETCH = 10_000
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
@@ -66,36 +71,61 @@ def exact_quantiles(
     fractions: dict[str, float],
     limits: Limits = DEFAULT,
 ) -> DataFrame:
-    """Interpolated quantiles per group without holding a group in one task.
-
-    Equal values are counted first; a running count over the distinct values
-    then shows which value covers each wanted rank. The built-in exact
-    percentile keeps every distinct value of a group in one buffer instead.
+    """Interpolated quantiles per group without sorting a large group.
+
+    A sketch brackets each quantile first. A second scan counts the values
+    below the bracket and keeps only those inside it, under a thousandth of
+    the group, so next to nothing is shuffled; a running count over them finds
+    the exact ranks. Groups no larger than the sketch keep all their values.
+    The built-in exact percentile holds every distinct value of a group in
+    one buffer instead.
     """
-    counts = df.where(column.isNotNull()).groupBy(*keys, column.alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    run = scan_groups(counts, keys, [F.col("_v")], {"_upto": sum_scan(F.col("_n"))}, limits)
-    sizes = counts.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.sum("_n").alias("_size"))
-    on = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
-    # One row per group on the right; adaptive execution splits a hot left key.
-    ranked = run.join(sizes, on).withColumn("_from", F.col("_upto") - F.col("_n"))
-
-    def at(rank: Column) -> Column:
+    margin = 4 / SKETCH
+    probes = sorted({q for p in fractions.values() for q in (p - margin, p + margin) if 0 < q < 1})
+    rows = df.select(*keys, column.alias("_v")).where(F.col("_v").isNotNull())
+    found = F.percentile_approx("_v", probes, SKETCH) if probes else F.array()
+    rough = rows.groupBy(*[F.col(k).alias(f"_key_{k}") for k in keys]).agg(
+        F.count(F.lit(1)).alias("_size"), found.alias("_cuts")
+    )
+    # Written, so that its size is known and decides how the rows are joined.
+    rough = pinned(rough, "brackets")
+    on = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+
+    def cut(q: float) -> Column:
+        return F.get("_cuts", F.lit(probes.index(q)))
+
+    v = F.col("_v")
+    marks = []
+    for i, p in enumerate(fractions.values()):
+        inside = F.when(v >= cut(p - margin), v) if p - margin in probes else v
+        mark = F.struct(F.lit(i).alias("i"), inside.alias("v"))
+        marks.append(F.when(v <= cut(p + margin), mark) if p + margin in probes else mark)
+    whole = F.struct(F.lit(-1).alias("i"), v.alias("v"))
+    mark = F.when(F.col("_size") > SKETCH, F.array(*marks)).otherwise(F.array(whole))
+    hits = rows.join(rough, on).select(*keys, "_size", F.explode(mark).alias("_m")).where(F.col("_m").isNotNull())
+    # Values below a bracket share the null value, which sorts first.
+    hits = hits.groupBy(*keys, "_size", F.col("_m.i").alias("_i"), F.col("_m.v").alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    hits = pinned(hits, "bracketed")
+    run = scan_groups(hits, [*keys, "_i"], [F.asc_nulls_first("_v")], {"_upto": sum_scan(F.col("_n"))}, limits)
+
+    def at(i: int, rank: Column) -> Column:
         """The value that covers a rank counted from zero."""
-        covers = (F.col("_from") <= rank) & (rank < F.col("_upto"))
+        covers = F.col("_i").isin(i, -1) & (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
         return F.max(F.when(covers, F.col("_v").cast("double")))
 
+    places = {name: F.lit(float(p)) * (F.col("_size") - 1) for name, p in fractions.items()}
     picks = []
-    for name, p in fractions.items():
-        place = F.lit(float(p)) * (F.col("_size") - 1)
-        picks.append(at(F.floor(place)).alias(f"_lo_{name}"))
-        picks.append(at(F.ceil(place)).alias(f"_hi_{name}"))
-    picked = ranked.groupBy(*keys).agg(F.max("_size").alias("_size"), *picks)
-    result = []
-    for name, p in fractions.items():
-        place = F.lit(float(p)) * (F.col("_size") - 1)
+    for i, (name, place) in enumerate(places.items()):
+        picks += [at(i, F.floor(place)).alias(f"_lo_{name}"), at(i, F.ceil(place)).alias(f"_hi_{name}")]
+    picked = run.groupBy(*keys).agg(F.max("_size").alias("_size"), *picks)
+
+    def between(name: str, place: Column) -> Column:
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        result.append((low + (high - low) * (place - F.floor(place))).alias(name))
-    return picked.select(*keys, *result)
+        return (low + (high - low) * (place - F.floor(place))).alias(name)
+
+    return picked.select(*keys, *[between(name, place) for name, place in places.items()])
 
 
 def approx_quantiles(df: DataFrame, keys: Sequence[str], column: str, fractions: dict[str, float], accuracy: int) -> DataFrame:

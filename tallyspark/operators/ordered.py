@@ -6,7 +6,7 @@ the table. ``over_groups`` looks for hot keys first, leaves all ordinary ones
 to the plain window, and cuts the few hot ones into ordered slices:
 
 1. range-partition the hot rows by key and order, which spreads one key over
-   as many tasks as it needs, and pin the slice numbers with a checkpoint;
+   as many tasks as it needs, and pin the slice numbers in a written table;
 2. compute inside each slice;
 3. reduce each slice to one row, carry values from slice to slice over those
    rows (their number is bounded by the slices, not by the data), and merge.
@@ -22,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from tallyspark.session import shared_root
+from tallyspark.session import pinned
 
 
 @dataclass(frozen=True)
@@ -156,10 +156,8 @@ def split_hot(df: DataFrame, by: Sequence[str], limits: Limits) -> tuple[DataFra
 
 def cut(hot: DataFrame, by: Sequence[str], order: Sequence[Column], slices: int) -> DataFrame:
     """Number the range partitions and pin the numbers in the shared folder."""
-    shared_root(hot.sparkSession)
-    keys = [F.col(c) for c in by]
-    ranged = hot.repartitionByRange(slices, *keys, *order)
-    return ranged.withColumn("_slice", F.spark_partition_id()).checkpoint()
+    ranged = hot.repartitionByRange(slices, *[F.col(c) for c in by], *order)
+    return pinned(ranged.withColumn("_slice", F.spark_partition_id()), "slices")
 
 
 def scan_slices(

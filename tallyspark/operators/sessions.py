@@ -33,7 +33,7 @@ def sessions(df: DataFrame, by: str, ts: str, gap_seconds: int, value: Column) -
             F.min("_from").alias("session_start"),
             F.max("_to").alias("session_end"),
             F.sum("_n").alias("events"),
-            F.sum("_v").cast("double").alias("total"),
+            F.sum("_v").alias("total"),
         )
         .drop("_no")
     )

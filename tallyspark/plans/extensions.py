@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.functions.exact import money
+from tallyspark.functions.exact import amount, cents
 from tallyspark.functions.udfs import TextLines, digit_sum, grouped_partials, trend_per_group
 from tallyspark.plans.catalogue import Catalogue
 from tallyspark.sources.tables import load
@@ -51,8 +51,8 @@ def line_quantity_partials(spark: SparkSession, sf: str) -> DataFrame:
 def daily_value_trend(spark: SparkSession, sf: str) -> DataFrame:
     """Grouped function over daily totals."""
     day = F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
-    trend = trend_per_group(load(spark, sf, "events"), "user_id", day, money("value"))
-    return trend.select("user_id", "points", F.round("slope", 6).alias("slope"))
+    trend = trend_per_group(load(spark, sf, "events"), "user_id", day, cents("value"))
+    return trend.select("user_id", "points", F.round(amount("slope"), 6).alias("slope"))
 
 
 @query(

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.functions.exact import gross, mean, money, net, quantity, total
+from tallyspark.functions.exact import amount, cents, gross, hundredths, mean, net, total
 from tallyspark.operators import aggregates, filters, joins, sets, sorting
 from tallyspark.plans.catalogue import Catalogue
 from tallyspark.session import shared_path
@@ -48,7 +48,7 @@ def table_sizes(spark: SparkSession, sf: str) -> DataFrame:
 )
 def csv_with_bad_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Orders as CSV, where open amounts read 'pending', and back."""
-    pending = F.when(F.col("o_orderstatus") == "P", "pending").otherwise(money("o_totalprice").cast("string"))
+    pending = F.when(F.col("o_orderstatus") == "P", "pending").otherwise(F.col("o_totalprice").cast("decimal(12,2)").cast("string"))
     lines = load(spark, sf, "orders").select(
         "o_orderkey", pending.alias("amount"), F.col("o_orderdate").cast("date").alias("day")
     )
@@ -93,7 +93,7 @@ def _orders_by_year(spark: SparkSession, sf: str) -> DataFrame:
 )
 def partitioned_read_back(spark: SparkSession, sf: str) -> DataFrame:
     return _orders_by_year(spark, sf).groupBy("y").agg(
-        F.count(F.lit(1)).alias("n_orders"), total(money("o_totalprice")).alias("total")
+        F.count(F.lit(1)).alias("n_orders"), total(cents("o_totalprice")).alias("total")
     )
 
 
@@ -120,7 +120,7 @@ def partition_pruned_read(spark: SparkSession, sf: str) -> DataFrame:
     """
 )
 def filtered_lineitems(spark: SparkSession, sf: str) -> DataFrame:
-    saved = (money("l_extendedprice") * F.col("l_discount").cast("decimal(4,2)")).cast("double")
+    saved = amount(hundredths("l_extendedprice") * hundredths("l_discount"), 4)
     return filters.pick(
         load(spark, sf, "lineitem"),
         ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", saved.alias("saved")],
@@ -174,7 +174,7 @@ def star_join_revenue(spark: SparkSession, sf: str) -> DataFrame:
     return aggregates.summary(
         joined,
         ["n_name", "p_type"],
-        {"n_lines": F.count(F.lit(1)), "revenue": total(net("l_extendedprice", "l_discount"))},
+        {"n_lines": F.count(F.lit(1)), "revenue": total(net("l_extendedprice", "l_discount"), 4)},
     )
 
 
@@ -203,12 +203,12 @@ def nation_revenue(spark: SparkSession, sf: str) -> DataFrame:
         .select("o_orderkey", "o_custkey")
         .join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
         .groupBy("o_custkey")
-        .agg(F.sum(F.col("r").cast("decimal(38,4)")).alias("r"))
+        .agg(F.sum("r").alias("r"))
     )
     return (
         per_customer.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("n_name")
-        .agg(F.sum("r").cast("double").alias("revenue"))
+        .agg(total(F.col("r"), 4).alias("revenue"))
     )
 
 
@@ -341,9 +341,9 @@ def click_counts_before_purchase(spark: SparkSession, sf: str) -> DataFrame:
     events = load(spark, sf, "events")
     purchases = events.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
     clicks = events.where(F.col("event_type") == "click").select("user_id", "ts", "value")
-    counted = joins.count_within(purchases, clicks, ["user_id"], "ts", 24 * 3600, money("value"))
+    counted = joins.count_within(purchases, clicks, ["user_id"], "ts", 24 * 3600, cents("value"))
     return counted.select(
-        "event_id", "user_id", F.col("n").alias("n_clicks"), F.col("total").cast("double").alias("click_value")
+        "event_id", "user_id", F.col("n").alias("n_clicks"), amount("total").alias("click_value")
     )
 
 
@@ -387,13 +387,13 @@ def pricing_summary(spark: SparkSession, sf: str) -> DataFrame:
         shipped,
         ["l_returnflag", "l_linestatus"],
         {
-            "sum_qty": total(quantity("l_quantity")),
-            "sum_base_price": total(money("l_extendedprice")),
-            "sum_disc_price": total(net("l_extendedprice", "l_discount")),
-            "sum_charge": total(gross("l_extendedprice", "l_discount", "l_tax")),
-            "avg_qty": mean(quantity("l_quantity")),
-            "avg_price": mean(money("l_extendedprice")),
-            "avg_disc": mean(F.col("l_discount").cast("decimal(4,2)")),
+            "sum_qty": total(cents("l_quantity")),
+            "sum_base_price": total(cents("l_extendedprice")),
+            "sum_disc_price": total(net("l_extendedprice", "l_discount"), 4),
+            "sum_charge": total(gross("l_extendedprice", "l_discount", "l_tax"), 6),
+            "avg_qty": mean(cents("l_quantity")),
+            "avg_price": mean(cents("l_extendedprice")),
+            "avg_disc": mean(cents("l_discount")),
             "min_price": F.min("l_extendedprice"),
             "max_price": F.max("l_extendedprice"),
             "count_order": F.count(F.lit(1)),
@@ -424,7 +424,7 @@ def _levels(spark: SparkSession, sf: str, kind: str, chosen=None) -> DataFrame:
         load(spark, sf, "orders"),
         ["o_orderstatus", "o_orderpriority"],
         kind,
-        {"n_orders": F.count(F.lit(1)), "total": total(money("o_totalprice"))},
+        {"n_orders": F.count(F.lit(1)), "total": total(cents("o_totalprice"))},
         chosen,
     )
 
@@ -456,7 +456,7 @@ _STATUS = ["F", "O", "P"]
 )
 def status_pivot(spark: SparkSession, sf: str) -> DataFrame:
     return aggregates.pivot(
-        load(spark, sf, "orders"), ["o_orderpriority"], "o_orderstatus", _STATUS, total(money("o_totalprice"))
+        load(spark, sf, "orders"), ["o_orderpriority"], "o_orderstatus", _STATUS, total(cents("o_totalprice"))
     )
 
 
@@ -484,7 +484,7 @@ _FRACTIONS = {"p05": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95}
 @query(
     "SELECT l_returnflag, "
     + ", ".join(
-        f"round(quantile_cont(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS DOUBLE), {p}), 4) AS {n}"
+        f"round(quantile_cont(l_extendedprice, {p}), 4) AS {n}"
         for n, p in _FRACTIONS.items()
     )
     + " FROM lineitem GROUP BY 1"
@@ -492,7 +492,7 @@ _FRACTIONS = {"p05": 0.05, "p25": 0.25, "median": 0.5, "p75": 0.75, "p95": 0.95}
 def price_quantiles(spark: SparkSession, sf: str) -> DataFrame:
     """Exact, interpolated."""
     exact = aggregates.exact_quantiles(
-        load(spark, sf, "lineitem"), ["l_returnflag"], money("l_extendedprice"), _FRACTIONS
+        load(spark, sf, "lineitem"), ["l_returnflag"], F.col("l_extendedprice"), _FRACTIONS
     )
     return exact.select("l_returnflag", *[F.round(n, 4).alias(n) for n in _FRACTIONS])
 

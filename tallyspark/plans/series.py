@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions import calendar, nested, text, values
-from tallyspark.functions.exact import micros, money, total
+from tallyspark.functions.exact import amount, cents, micros, total
 from tallyspark.operators import cleaning, sessions, windows
 from tallyspark.plans.catalogue import Catalogue
 from tallyspark.sources.tables import load
@@ -88,9 +88,9 @@ def next_events(spark: SparkSession, sf: str) -> DataFrame:
 )
 def running_value(spark: SparkSession, sf: str) -> DataFrame:
     events = load(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    totals = {"running_total": money("value"), "running_n": F.lit(1)}
+    totals = {"running_total": cents("value"), "running_n": F.lit(1)}
     run = windows.running(events, ["user_id"], [F.asc("ts"), F.asc("event_id")], totals)
-    return run.select("event_id", "user_id", F.col("running_total").cast("double").alias("running_total"), "running_n")
+    return run.select("event_id", "user_id", amount("running_total").alias("running_total"), "running_n")
 
 
 @query(
@@ -103,9 +103,9 @@ def running_value(spark: SparkSession, sf: str) -> DataFrame:
 )
 def moving_hour(spark: SparkSession, sf: str) -> DataFrame:
     events = load(spark, sf, "events").select("event_id", "user_id", "ts", "value")
-    sums = {"moving_n": F.lit(1), "moving_total": money("value")}
+    sums = {"moving_n": F.lit(1), "moving_total": cents("value")}
     moved = windows.moving(events, ["user_id"], "ts", 3600, sums)
-    return moved.select("event_id", "user_id", "moving_n", F.col("moving_total").cast("double").alias("moving_total"))
+    return moved.select("event_id", "user_id", "moving_n", amount("moving_total").alias("moving_total"))
 
 
 @query(
@@ -178,7 +178,7 @@ def monthly_orders(spark: SparkSession, sf: str) -> DataFrame:
         load(spark, sf, "orders"),
         "o_orderdate",
         "month",
-        {"n_orders": F.count(F.lit(1)), "total": total(money("o_totalprice"))},
+        {"n_orders": F.count(F.lit(1)), "total": total(cents("o_totalprice"))},
     )
     return calendar.growth(months, "total").withColumn("growth", F.round("growth", 8))
 
@@ -383,7 +383,8 @@ def orders_upserted(spark: SparkSession, sf: str) -> DataFrame:
     """
 )
 def event_sessions(spark: SparkSession, sf: str) -> DataFrame:
-    return sessions.sessions(load(spark, sf, "events"), "user_id", "ts", 1800, money("value"))
+    found = sessions.sessions(load(spark, sf, "events"), "user_id", "ts", 1800, cents("value"))
+    return found.withColumn("total", amount("total"))
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.functions.exact import money, total
+from tallyspark.functions.exact import cents, hundredths, total
 from tallyspark.plans.catalogue import Catalogue
 from tallyspark.sources.tables import load, load_stream
 from tallyspark.streaming.joins import enrich, match
@@ -17,7 +17,7 @@ CATALOGUE = Catalogue()
 query = CATALOGUE.query
 
 def _aggs() -> dict:
-    return {"n": F.count(F.lit(1)), "total": total(money("value"))}
+    return {"n": F.count(F.lit(1)), "total": total(cents("value"))}
 
 
 @query(
@@ -116,10 +116,7 @@ def streamed_click_matches(spark: SparkSession, sf: str) -> DataFrame:
 )
 def streamed_user_state(spark: SparkSession, sf: str) -> DataFrame:
     """Custom state per user."""
-    cents = (money("value") * 100).cast("long")
-    history = finished(
-        running_state(load_stream(spark, sf, "events"), "user_id", F.xxhash64("event_id"), cents), "state"
-    )
+    history = finished(running_state(load_stream(spark, sf, "events"), "user_id", hundredths("value")), "state")
     return latest_state(history).select(
         F.col("key").alias("user_id"), "n", F.col("total").alias("cents"), F.col("peak").alias("peak_cents")
     )

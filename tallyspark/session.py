@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators count on. Adaptive execution splits skewed
 # partitions of a join; the "force" flag lets it do so even where the split
@@ -61,3 +61,14 @@ def shared_root(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing has used yet."""
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def pinned(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table in the shared folder, computed once.
+
+    Unlike a plan, the table cannot come out differently when a lost executor
+    makes Spark compute something again, and it survives the executors.
+    """
+    path = shared_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -9,45 +9,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-# One key's rows are shared among this many states.
-SHARDS = 64
 
 
-def running_state(stream: DataFrame, key: str, spread: Column, value: Column, shards: int = SHARDS) -> DataFrame:
-    """(key, shard, version, n, total, peak) after every micro-batch that
-    touched the shard: count, sum and maximum so far.
+def partials(rows: DataFrame) -> DataFrame:
+    """(key, n, total, peak) of (key, value) rows, one row per key and Arrow batch."""
 
-    A key with a third of all rows would make one state, and the one task
-    that owns it, the bottleneck. Its rows are therefore dealt out by
-    ``spread`` (a hash of something that varies within a key) and
-    ``latest_state`` adds the shards up. Values are integers (cents, say), so
+    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.groupby("key", dropna=False)["value"].agg(n="size", total="sum", peak="max").reset_index()
+
+    return rows.mapInPandas(reduce, "key bigint, n bigint, total bigint, peak bigint")
+
+
+def running_state(stream: DataFrame, key: str, value: Column) -> DataFrame:
+    """(key, version, n, total, peak) after every micro-batch that touched the
+    key: count, sum and maximum so far.
+
+    Rows are reduced batch by batch before the shuffle. A key with a third of
+    all rows so reaches its state as one short row per ten thousand of them,
+    and not as the rows themselves. Values are whole numbers (cents, say), so
     sums are exact in any order.
     """
-    dealt = stream.select(
-        F.col(key).alias("key"), F.pmod(spread, F.lit(shards)).cast("int").alias("shard"), value.cast("long").alias("value")
-    )
-    schema = "key bigint, shard int, version bigint, n bigint, total bigint, peak bigint"
+    rows = stream.select(F.col(key).alias("key"), value.cast("long").alias("value")).where(F.col("value").isNotNull())
 
     def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         version, n, total, peak = state.get if state.exists else (0, 0, 0, None)
         for batch in batches:
-            n += len(batch)
-            total += int(batch["value"].sum())
-            top = int(batch["value"].max())
+            n += int(batch["n"].sum())
+            total += int(batch["total"].sum())
+            top = int(batch["peak"].max())
             peak = top if peak is None else max(peak, top)
         state.update((version + 1, n, total, peak))
-        yield pd.DataFrame(
-            {"key": [group[0]], "shard": [group[1]], "version": [version + 1], "n": [n], "total": [total], "peak": [peak]}
-        )
-
-    return dealt.groupBy("key", "shard").applyInPandasWithState(
-        step, schema, "version bigint, n bigint, total bigint, peak bigint", "append", GroupStateTimeout.NoTimeout
+        yield pd.DataFrame({"key": [group[0]], "version": [version + 1], "n": [n], "total": [total], "peak": [peak]})
+
+    return partials(rows).groupBy("key").applyInPandasWithState(
+        step,
+        "key bigint, version bigint, n bigint, total bigint, peak bigint",
+        "version bigint, n bigint, total bigint, peak bigint",
+        "append",
+        GroupStateTimeout.NoTimeout,
     )
 
 
 def latest_state(history: DataFrame) -> DataFrame:
-    """(key, n, total, peak): the newest state of each shard, added up."""
-    newest = history.groupBy("key", "shard").agg(F.max_by(F.struct("n", "total", "peak"), "version").alias("s"))
-    return newest.groupBy("key").agg(
-        F.sum("s.n").alias("n"), F.sum("s.total").alias("total"), F.max("s.peak").alias("peak")
-    )
+    """(key, n, total, peak): the newest state of each key."""
+    newest = history.groupBy("key").agg(F.max_by(F.struct("n", "total", "peak"), "version").alias("s"))
+    return newest.select("key", "s.n", "s.total", "s.peak")

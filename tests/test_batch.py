@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.functions import calendar, nested, text, values
-from tallyspark.functions.exact import mean, money, total
+from tallyspark.functions.exact import cents, mean, total
 from tallyspark.functions.udfs import digit_sum, grouped_partials, trend_per_group
 from tallyspark.operators import aggregates, cleaning, filters, joins, sessions, sets, sorting, windows
 from tallyspark.session import shared_path
@@ -73,7 +73,7 @@ def test_null_safe_filter(holes):
 
 
 def test_aggregates_skip_nulls(holes):
-    got = aggregates.summary(holes, ["k"], {"t": total(money("v")), "m": mean(money("v")), "n": F.count("v")})
+    got = aggregates.summary(holes, ["k"], {"t": total(cents("v")), "m": mean(cents("v")), "n": F.count("v")})
     assert rows(got) == sorted([(1, 2.0, 2.0, 1), (None, 5.0, 5.0, 1), (2, None, None, 0)], key=repr)
 
 
@@ -113,13 +113,26 @@ def test_approximate_quantiles_within_rank_bound(spark, graded):
 
 def test_exact_quantiles_interpolate(spark):
     df = spark.createDataFrame([("a", v) for v in (1.0, 2.0, 2.0, 10.0)] + [("b", 7.0), ("c", None)], "g string, v double")
-    got = aggregates.exact_quantiles(df, ["g"], money("v"), {"median": 0.5, "p90": 0.9, "top": 1.0})
+    got = aggregates.exact_quantiles(df, ["g"], F.col("v"), {"median": 0.5, "p90": 0.9, "top": 1.0})
     assert [tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in rows(got)] == [
         ("a", 2.0, 7.6, 10.0),
         ("b", 7.0, 7.0, 7.0),
     ]
 
 
+def test_exact_quantiles_of_large_groups(spark):
+    """Large enough for brackets: clumped values, ties at the wanted ranks, a hot group."""
+    n = 300_000
+    group = F.when(F.col("id") % 3 != 0, "hot").when(F.col("id") % 3000 == 0, "tiny").otherwise("rest")
+    value = F.when(F.col("id") % 7 < 3, F.lit(500.0)).otherwise((F.xxhash64("id") % 100_003).cast("double"))
+    df = spark.range(n).select(group.alias("g"), value.alias("v")).repartition(6)
+    wanted = {"least": 0.0, "low": 0.001, "q1": 0.25, "half": 0.5, "odd": 0.61803, "high": 0.9999, "most": 1.0}
+    got = aggregates.exact_quantiles(df, ["g"], F.col("v"), wanted)
+    want = df.groupBy("g").agg(*[F.percentile("v", F.lit(p)).alias(name) for name, p in wanted.items()])
+    close = lambda r: tuple(round(x, 6) if isinstance(x, float) else x for x in r)
+    assert [close(r) for r in rows(got)] == [close(r) for r in rows(want)]
+
+
 def test_ties_are_broken_by_the_last_column(spark):
     df = spark.createDataFrame([(1, 5, i) for i in (3, 1, 2)] + [(1, 9, 4)], "g int, v int, id int")
     order = [F.asc("v"), F.asc("id")]
@@ -187,7 +200,7 @@ def test_sessions_join_at_exactly_the_gap(spark):
     half = timedelta(minutes=30)
     data = [(1, T0), (1, T0 + half), (1, T0 + 2 * half + timedelta(microseconds=1)), (2, T0)]
     df = spark.createDataFrame(data, "u bigint, ts timestamp_ntz").withColumn("v", F.lit(1.0))
-    got = sessions.sessions(df, "u", "ts", 1800, money("v")).select("u", "session_start", "session_end", "events", "total")
+    got = sessions.sessions(df, "u", "ts", 1800, cents("v")).select("u", "session_start", "session_end", "events", "total")
     last = T0 + 2 * half + timedelta(microseconds=1)
     assert rows(got) == sorted([(1, T0, T0 + half, 2, 2.0), (1, last, last, 1, 1.0), (2, T0, T0, 1, 1.0)], key=repr)
 

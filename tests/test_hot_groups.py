@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.functions import nested
-from tallyspark.functions.exact import money
+from tallyspark.functions.exact import cents
 from tallyspark.operators import aggregates, joins, ordered, windows
 from tallyspark.operators.ordered import Limits
 from tallyspark.sources.tables import load
@@ -77,7 +77,7 @@ def test_descending_order_with_nulls(spark, skewed):
 
 def test_running(spark, skewed):
     order = [F.asc("ts"), F.asc("event_id")]
-    totals = {"t": money("value"), "n": F.lit(1)}
+    totals = {"t": cents("value"), "n": F.lit(1)}
     agree(lambda lim: windows.running(skewed, ["user_id"], order, totals, lim), spark)
 
 
@@ -88,15 +88,15 @@ def test_ranks(spark, skewed):
 
 
 def test_moving(spark, skewed):
-    sums = {"n": F.lit(1), "t": money("value")}
+    sums = {"n": F.lit(1), "t": cents("value")}
     agree(lambda lim: windows.moving(skewed, ["user_id"], "ts", 3600, sums, lim), spark)
 
 
 def test_moving_equals_spark_range_frame(skewed):
     frame = "over (partition by user_id order by ts range between interval 1 hour preceding and current row)"
-    value = "coalesce(cast(value as decimal(12,2)), 0)"
+    value = "coalesce(cast(rint(value * 100) as decimal(18,0)), 0)"
     want = skewed.select("event_id", F.expr(f"count(*) {frame}"), F.expr(f"sum({value}) {frame}"))
-    ours = windows.moving(skewed, ["user_id"], "ts", 3600, {"n": F.lit(1), "t": money("value")})
+    ours = windows.moving(skewed, ["user_id"], "ts", 3600, {"n": F.lit(1), "t": cents("value")})
     assert rows(ours.select("event_id", "n", "t")) == rows(want)
 
 
@@ -135,12 +135,12 @@ def test_as_of(spark, skewed):
 def test_count_within(spark, skewed):
     left = skewed.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
     right = skewed.where(F.col("event_type") == "click").select("user_id", "ts", "value")
-    agree(lambda lim: joins.count_within(left, right, ["user_id"], "ts", 7200, money("value"), lim), spark)
+    agree(lambda lim: joins.count_within(left, right, ["user_id"], "ts", 7200, cents("value"), lim), spark)
 
 
 def test_exact_quantiles(spark, skewed):
     wanted = {"low": 0.1, "median": 0.5, "high": 0.99}
-    agree(lambda lim: aggregates.exact_quantiles(skewed, ["user_id"], money("value"), wanted, lim), spark)
+    agree(lambda lim: aggregates.exact_quantiles(skewed, ["user_id"], cents("value"), wanted, lim), spark)
 
 
 @pytest.mark.parametrize("how", ["left", "right", "full"])
