@@ -102,6 +102,15 @@ def last_known_scan(value: Column) -> Scan:
     )
 
 
+def min_scan(value: Column) -> Scan:
+    return Scan(
+        within=lambda w: F.min(value).over(_so_far(w)),
+        total=F.min(value),
+        carry=lambda w: F.min("_total").over(_earlier(w)),
+        merge=F.least,
+    )
+
+
 def first_scan(value: Column) -> Scan:
     boxed = F.struct(value.alias("x"))
     return Scan(

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.exact import micros
+from tallyspark.operators.ordered import DEFAULT, Limits, Scan, min_scan, over_groups, scan_slices
 
 
 def sessions(df: DataFrame, by: str, ts: str, gap_seconds: int, value: Column) -> DataFrame:
@@ -39,25 +40,36 @@ def sessions(df: DataFrame, by: str, ts: str, gap_seconds: int, value: Column) -
     )
 
 
-def funnel(df: DataFrame, by: str, ts: str, kind: str, steps: Sequence[str]) -> DataFrame:
+def funnel(
+    df: DataFrame, by: str, ts: str, kind: str, steps: Sequence[str], limits: Limits = DEFAULT
+) -> DataFrame:
     """Per key the time each step was first reached after the one before it.
 
-    Column ``step_<n>`` is null from the first step a key did not reach. Each
-    step joins its events to one row per key and keeps a minimum, which is
-    combined before the shuffle.
+    Column ``step_<n>`` is null from the first step a key did not reach; keys
+    that never took the first step are left out. One scan and one shuffle:
+    along each key's events a running minimum tells when the step before was
+    first reached, and an event counts for its step if it lies later.
     """
-    reached = df.where(F.col(kind) == steps[0]).groupBy(by).agg(F.min(ts).alias("step_1"))
-    chain = reached
-    latest = reached.select(F.col(by).alias("_by"), F.col("step_1").alias("_since"))
-    for n, step in enumerate(steps[1:], start=2):
-        name = f"step_{n}"
-        later = (
-            df.where(F.col(kind) == step)
-            .select(by, ts)
-            .join(latest, (F.col(by) == F.col("_by")) & (F.col(ts) > F.col("_since")))
-            .groupBy(F.col(by).alias("_by"))
-            .agg(F.min(ts).alias(name))
-        )
-        chain = chain.join(later, F.col(by) == F.col("_by"), "left").drop("_by")
-        latest = later.withColumnRenamed(name, "_since")
-    return chain
+    events = df.where(F.col(kind).isin(list(steps))).select(by, ts, kind)
+    names = [f"step_{n}" for n in range(1, len(steps) + 1)]
+    order = [F.asc(ts)]
+    in_time = Window.partitionBy(by).orderBy(*order)
+
+    def along(rows: DataFrame, scan: Callable[[DataFrame, Scan], DataFrame]) -> DataFrame:
+        rows = rows.withColumn(names[0], F.when(F.col(kind) == steps[0], F.col(ts)))
+        for before, name, step in zip(names, names[1:], steps[1:]):
+            # Strictly later, so the order among equal times does not matter.
+            hit = (F.col(kind) == step) & (F.col(ts) > F.col("_since"))
+            rows = scan(rows, min_scan(F.col(before))).withColumn(name, F.when(hit, F.col(ts))).drop("_since")
+        return rows
+
+    reached = over_groups(
+        events,
+        [by],
+        order,
+        lambda rows: along(rows, lambda part, s: part.withColumn("_since", s.within(in_time))),
+        lambda rows: along(rows, lambda part, s: scan_slices(part, [by], order, {"_since": s})),
+        limits,
+    )
+    first = reached.groupBy(by).agg(*[F.min(name).alias(name) for name in names])
+    return first.where(F.col(names[0]).isNotNull())

@@ -12,7 +12,7 @@ from tallyspark.operators import aggregates, filters, joins, sets, sorting
 from tallyspark.plans.catalogue import Catalogue
 from tallyspark.session import shared_path
 from tallyspark.sources.partitioned import read_by, write_by
-from tallyspark.sources.tables import SCHEMAS, load
+from tallyspark.sources.tables import SCHEMAS, ask, load
 from tallyspark.sources.text import read_text, write_text
 
 CATALOGUE = Catalogue()
@@ -401,6 +401,20 @@ def pricing_summary(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_SEGMENTS = """
+    SELECT c_mktsegment, o_orderpriority, count(*) AS n_orders, max(o_totalprice) AS dearest,
+           count(DISTINCT o_custkey) AS n_buyers
+    FROM {customer} JOIN {orders} ON c_custkey = o_custkey
+    WHERE c_acctbal > 0 GROUP BY c_mktsegment, o_orderpriority HAVING count(*) > 1
+"""
+
+
+@query(_SEGMENTS.replace("{", "").replace("}", ""))
+def segment_orders_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """SQL text, run by Spark."""
+    return ask(spark, sf, _SEGMENTS)
+
+
 @query("SELECT l_returnflag, count(DISTINCT l_partkey) AS distinct_l_partkey FROM lineitem GROUP BY 1")
 def distinct_parts(spark: SparkSession, sf: str) -> DataFrame:
     return aggregates.distinct_counts(load(spark, sf, "lineitem"), ["l_returnflag"], "l_partkey")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from tallyspark.session import shared_path
 
 
-def run_available(stream: DataFrame, out: str, checkpoint: str) -> list[dict]:
+def run_available(stream: DataFrame, out: str, checkpoint: str) -> list:
     """Process all input not yet seen and append the result to ``out``.
 
     The trigger still works in micro-batches. Progress and state live in
@@ -23,7 +23,7 @@ def run_available(stream: DataFrame, out: str, checkpoint: str) -> list[dict]:
         .start(out)
     )
     query.awaitTermination()
-    return [dict(p) if isinstance(p, dict) else p for p in query.recentProgress]
+    return query.recentProgress
 
 
 def finished(stream: DataFrame, label: str) -> DataFrame:

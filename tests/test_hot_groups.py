@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions import nested
 from tallyspark.functions.exact import cents
-from tallyspark.operators import aggregates, joins, ordered, windows
+from tallyspark.operators import aggregates, joins, ordered, sessions, windows
 from tallyspark.operators.ordered import Limits
 from tallyspark.sources.tables import load
 
@@ -161,3 +161,8 @@ def test_outer_with_keys_of_unequal_width(spark, skewed):
     )
     out = joins.outer(left, right, [("a", "b")], "left", None, TIGHT)
     assert out.where("b is not null").count() == 3 and out.count() == 10
+
+
+def test_funnel(spark, skewed):
+    steps = ["view", "click", "purchase", "error"]
+    agree(lambda lim: sessions.funnel(skewed, "user_id", "ts", "event_type", steps, lim), spark)
