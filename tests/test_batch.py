@@ -202,7 +202,7 @@ def test_sessions_join_at_exactly_the_gap(spark):
     df = spark.createDataFrame(data, "u bigint, ts timestamp_ntz").withColumn("v", F.lit(1.0))
     got = sessions.sessions(df, "u", "ts", 1800, cents("v")).select("u", "session_start", "session_end", "events", "total")
     last = T0 + 2 * half + timedelta(microseconds=1)
-    assert rows(got) == sorted([(1, T0, T0 + half, 2, 2.0), (1, last, last, 1, 1.0), (2, T0, T0, 1, 1.0)], key=repr)
+    assert rows(got) == sorted([(1, T0, T0 + half, 2, 200), (1, last, last, 1, 100), (2, T0, T0, 1, 100)], key=repr)
 
 
 def test_funnel_steps_must_follow_each_other(spark):
@@ -229,6 +229,17 @@ def test_set_operations_with_repeats_and_nulls(spark):
         sets.combine(a, b, "minus")
 
 
+def test_many_copies_are_dealt_out(spark):
+    a = spark.range(50_000).select((F.col("id") % 4).alias("x"))
+    b = spark.range(50_000).select(F.when(F.col("id") < 30_000, 1).otherwise(9).cast("bigint").alias("x"))
+    got = sets._copies(a, b, lambda in_a, in_b: in_a - in_b, copies_per_task=700)
+    assert rows(got.groupBy("x").count()) == [(0, 12_500), (2, 12_500), (3, 12_500)]
+    spread = got.groupBy(F.spark_partition_id()).count().count()
+    assert spread >= 4
+    both = sets._copies(a, b, F.least, copies_per_task=700)
+    assert rows(both.groupBy("x").count()) == [(1, 12_500)]
+
+
 def test_dedupe_keeps_the_first_of_each(spark):
     df = spark.createDataFrame([(3, "a"), (1, "a"), (2, None), (4, None), (5, "")], "id int, s string")
     assert rows(cleaning.dedupe(df, ["s"], [F.asc("id")])) == sorted([(1, "a"), (2, None), (5, "")], key=repr)
