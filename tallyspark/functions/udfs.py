@@ -1,4 +1,4 @@
-"""Extension points in Python, Arrow-batched, for what has no built-in form.
+"""Extension points in Python, for what has no built-in form.
 
 A Python function is opaque to the optimiser and pays for moving its data, so
 these stay small helpers; the grouping around them is Spark's.
@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,18 +57,22 @@ def trend_per_group(df: DataFrame, key: str, position: Column, value: Column) ->
         F.sum(value).cast("double").alias("y")
     )
 
-    def fit(group: pd.DataFrame) -> pd.DataFrame:
-        x = group["x"].to_numpy() - group["x"].mean()
-        y = group["y"].to_numpy()
+    def fit(group: pa.Table) -> pa.Table:
+        x, y = group.column("x").to_numpy(), group.column("y").to_numpy()
+        x = x - x.mean()
         spread = float((x * x).sum())
-        slope = float((x * y).sum() / spread) if spread > 0 else np.nan
-        return pd.DataFrame({"key": [group["key"].iloc[0]], "points": [len(group)], "slope": [slope]})
+        slope = float((x * y).sum() / spread) if spread > 0 else None
+        return pa.table(
+            {
+                "key": group.column("key").slice(0, 1),
+                "points": pa.array([len(x)], pa.int64()),
+                "slope": pa.array([slope], pa.float64()),
+            }
+        )
 
     key_type = points.schema["key"].dataType.simpleString()
-    fitted = points.groupBy("key").applyInPandas(fit, f"key {key_type}, points bigint, slope double")
-    return fitted.select(
-        F.col("key").alias(key), "points", F.when(~F.isnan("slope"), F.col("slope")).alias("slope")
-    )
+    fitted = points.groupBy("key").applyInArrow(fit, f"key {key_type}, points bigint, slope double")
+    return fitted.withColumnRenamed("key", key)
 
 
 LINE = T.StructType(
@@ -80,7 +84,8 @@ LINE = T.StructType(
 )
 
 
-@F.udtf(returnType=LINE, useArrow=True)
+# Called once per text: Arrow batches of one row would only add work.
+@F.udtf(returnType=LINE, useArrow=False)
 class TextLines:
     """One row per non-blank line of a whole text, numbered from 1."""
 

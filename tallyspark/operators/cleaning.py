@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 def dedupe(df: DataFrame, columns: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row, by ``order``, of each set of rows equal in ``columns``.
 
-    A hash leads the grouping: rows sort by one long and compare whole values
-    only where the hashes meet. Each map task passes on one row per value, so
-    a value with very many copies stays cheap.
+    Texts are compared by their SHA-256 digest, so a text that is not itself
+    wanted is read once and neither sorted nor shuffled. Each map task passes
+    on one row per value, so a value with very many copies stays cheap.
     """
-    first = Window.partitionBy("_hash", *columns).orderBy(*order)
-    hashed = df.withColumn("_hash", F.xxhash64(*columns))
-    return hashed.withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") == 1).drop("_hash", "_nth")
+    texts = {f.name for f in df.schema if f.dataType.simpleString() in ("string", "binary")}
+    keys = {f"_key_{c}": F.unhex(F.sha2(c, 256)) if c in texts else F.col(c) for c in columns}
+    first = Window.partitionBy(*keys).orderBy(*order)
+    keyed = df.withColumns(keys).withColumn("_nth", F.row_number().over(first))
+    return keyed.where(F.col("_nth") == 1).drop("_nth", *keys)
 
 
 def row_rules(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

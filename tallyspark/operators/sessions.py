@@ -8,25 +8,41 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.exact import micros
-from tallyspark.operators.ordered import DEFAULT, Limits, Scan, min_scan, over_groups, scan_slices
+from tallyspark.operators.ordered import DEFAULT, Limits, Scan, min_scan, over_groups, scan_slices, split_hot
 
 
-def sessions(df: DataFrame, by: str, ts: str, gap_seconds: int, value: Column) -> DataFrame:
+def sessions(
+    df: DataFrame, by: str, ts: str, gap_seconds: int, value: Column, limits: Limits = DEFAULT
+) -> DataFrame:
     """(by, session_start, session_end, events, total): runs of events at most
-    ``gap_seconds`` apart. ``session_end`` is the last event.
+    ``gap_seconds`` apart. ``session_end`` is the last event. As in Spark's own
+    session windows, an event without a time belongs to none.
 
-    Events are first reduced to time cells one gap wide. Two events of one
-    cell are always in one session, so only the cells need to be chained, and
-    a key has at most (time span / gap) of them however many events it has.
+    The events of an ordinary key are chained one by one. Those of a hot key
+    are first reduced to time cells one gap wide: two events of one cell are
+    always in one session, so only the cells need chaining, and there are at
+    most (time span / gap) of them however many events the key has.
     """
     gap = gap_seconds * 1_000_000
-    cell = F.floor(micros(ts) / F.lit(float(gap))).alias("_cell")
-    cells = df.groupBy(by, cell).agg(
-        F.min(ts).alias("_from"), F.max(ts).alias("_to"), F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_v")
+    events = df.where(F.col(ts).isNotNull()).select(by, F.col(ts).alias("_ts"), value.alias("_v"))
+    cold, hot, _ = split_hot(events, [by], limits)
+    runs = cold.select(by, F.col("_ts").alias("_from"), F.col("_ts").alias("_to"), F.lit(1).cast("long").alias("_n"), "_v")
+    done = _chained(runs, by, gap)
+    if hot is None:
+        return done
+    cell = F.floor(micros("_ts") / F.lit(float(gap))).alias("_cell")
+    cells = hot.groupBy(by, cell).agg(
+        F.min("_ts").alias("_from"), F.max("_ts").alias("_to"), F.count(F.lit(1)).alias("_n"), F.sum("_v").alias("_v")
     )
-    in_time = Window.partitionBy(by).orderBy("_cell")
-    quiet = micros("_from") - micros(F.lag("_to").over(in_time))
-    opened = cells.withColumn("_new", (F.coalesce(quiet, F.lit(gap + 1)) > gap).cast("int"))
+    extra = _chained(cells, by, gap)
+    return done.unionByName(extra.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in done.schema]))
+
+
+def _chained(runs: DataFrame, by: str, gap: int) -> DataFrame:
+    """Sessions from runs of events that do not overlap: (by, _from, _to, _n, _v)."""
+    in_time = Window.partitionBy(by).orderBy("_from").rowsBetween(Window.unboundedPreceding, 0)
+    quiet = micros("_from") - micros(F.lag("_to").over(Window.partitionBy(by).orderBy("_from")))
+    opened = runs.withColumn("_new", (F.coalesce(quiet, F.lit(gap + 1)) > gap).cast("int"))
     numbered = opened.withColumn("_no", F.sum("_new").over(in_time))
     return (
         numbered.groupBy(by, "_no")

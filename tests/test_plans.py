@@ -75,6 +75,12 @@ def test_groups_are_trimmed_before_the_shuffle(spark, small, name):
     assert optimized(spark, small, name).count("WindowGroupLimit") >= 2
 
 
+def test_texts_are_hashed_and_not_shuffled(spark, small):
+    text = optimized(spark, small, "distinct_documents")
+    shuffled = re.search(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", text).group(1)
+    assert "_key_text" in shuffled and not re.search(r"(^|[ ,])text#", shuffled)
+
+
 def test_top_k_does_not_sort_everything(spark, small):
     assert "TakeOrderedAndProject" in optimized(spark, small, "dearest_orders")
     assert "TakeOrderedAndProject" in optimized(spark, small, "nearest_vectors")

@@ -96,10 +96,11 @@ def test_within_pairs(events, cases):
     assert got == want
 
 
-def test_sessions(events, cases):
+@pytest.mark.parametrize("limits", LIMITS)
+def test_sessions(events, cases, limits):
     got = sorted(
         (r.k, (r.session_start - T0).seconds, (r.session_end - T0).seconds, r.events)
-        for r in sessions.sessions(events, "k", "ts", 4, F.col("v")).collect()
+        for r in sessions.sessions(events, "k", "ts", 4, F.col("v"), limits).collect()
     )
     want = []
     for key, rows in cases.items():
