@@ -277,7 +277,9 @@ def nearest_vectors(spark: SparkSession, sf: str) -> DataFrame:
     """The 20 vectors most like vector 0, which is looked up as one row."""
     embeddings = load(spark, sf, "embeddings")
     asked = embeddings.where(F.col("vec_id") == 0).select("embedding").first()
-    return nested.nearest(embeddings, "vec_id", "embedding", asked["embedding"], 20)
+    # Without vector 0 there is nothing to compare with, and every similarity is null.
+    query_vector = asked["embedding"] if asked else [0.0]
+    return nested.nearest(embeddings, "vec_id", "embedding", query_vector, 20)
 
 
 @query(

@@ -12,7 +12,8 @@ def enrich(stream: DataFrame, dim: DataFrame, on: tuple[str, str], how: str = "l
     """Stateless join with a table that has one row per key.
 
     The table is read again for each micro-batch. Catalyst broadcasts it only
-    below its size threshold.
+    below its size threshold; above it, adaptive execution (which Spark keeps
+    on for stateless streams) splits a hot key of the stream.
     """
     return stream.join(dim, F.col(on[0]) == F.col(on[1]), how)
 
