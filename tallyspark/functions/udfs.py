@@ -56,6 +56,7 @@ def trend_per_group(df: DataFrame, key: str, position: Column, value: Column) ->
     points = df.groupBy(F.col(key).alias("key"), position.cast("double").alias("x")).agg(
         F.sum(value).cast("double").alias("y")
     )
+    points = points.dropna(subset=["x", "y"])
 
     def fit(group: pa.Table) -> pa.Table:
         x, y = group.column("x").to_numpy(), group.column("y").to_numpy()

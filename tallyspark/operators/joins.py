@@ -152,10 +152,11 @@ def as_of(
     Both sides are merged into one ordered stream per key and the last right
     row seen so far is carried on: no pairs are formed, whatever the counts.
     ``tie`` (a column of both) decides between right rows of equal time; the
-    columns in ``take`` come out as they are named, null without a match.
+    columns in ``take`` come out as they are named, null without a match. As
+    in any join, a null key or time matches nothing.
     """
     hit = F.struct(*[F.col(c) for c in take])
-    seen = right.select(*by, ts, tie, F.lit(0).alias("_side"), hit.alias("_hit"))
+    seen = right.dropna(subset=[*by, ts]).select(*by, ts, tie, F.lit(0).alias("_side"), hit.alias("_hit"))
     hit_type = seen.schema["_hit"].dataType
     asked = left.withColumns({"_side": F.lit(1), "_hit": F.lit(None).cast(hit_type)})
     both = asked.unionByName(seen, allowMissingColumns=True)
@@ -177,9 +178,9 @@ def count_within(
     key 0 to ``seconds`` before it.
 
     Both sides form one stream of rows over which moving sums are kept; the
-    pairs themselves are never formed.
+    pairs themselves are never formed. A null key or time matches nothing.
     """
-    seen = right.select(*by, ts, F.lit(1).alias("_one"), value.alias("_value"))
+    seen = right.dropna(subset=[*by, ts]).select(*by, ts, F.lit(1).alias("_one"), value.alias("_value"))
     both = left.withColumn("_asks", F.lit(True)).unionByName(seen, allowMissingColumns=True)
     sums = {"n": F.col("_one"), "total": F.col("_value")}
     return moving(both, by, ts, seconds, sums, limits).where(F.col("_asks")).select(*left.columns, "n", "total")

@@ -23,7 +23,7 @@ def partials(rows: DataFrame) -> DataFrame:
 
 def running_state(stream: DataFrame, key: str, value: Column) -> DataFrame:
     """(key, version, n, total, peak) after every micro-batch that touched the
-    key: count, sum and maximum so far.
+    key: count, sum and maximum of its values so far, nulls left out.
 
     Rows are reduced batch by batch before the shuffle. A key with a third of
     all rows so reaches its state as one short row per ten thousand of them,

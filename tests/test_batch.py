@@ -190,10 +190,13 @@ def test_interval_join_before_1970(spark):
 
 def test_as_of_takes_equal_times_and_the_last_tie(spark):
     left = spark.createDataFrame([(1, 10, T0), (2, 11, T0), (None, 12, T0)], "u int, id int, ts timestamp_ntz")
-    right = spark.createDataFrame([(1, 1, T0, "x"), (1, 2, T0, "y"), (2, 3, T0 + timedelta(microseconds=1), "z")],
-                                  "u int, id int, ts timestamp_ntz, v string")
+    later = T0 + timedelta(microseconds=1)
+    seen = [(1, 1, T0, "x"), (1, 2, T0, "y"), (2, 3, later, "z"), (None, 4, T0, "no key"), (2, 5, None, "no time")]
+    right = spark.createDataFrame(seen, "u int, id int, ts timestamp_ntz, v string")
     got = joins.as_of(left, right, ["u"], "ts", "id", ["v"]).select("id", "v")
     assert rows(got) == [(10, "y"), (11, None), (12, None)]
+    counted = joins.count_within(left, right, ["u"], "ts", 60, F.lit(1)).select("id", "n")
+    assert rows(counted) == [(10, 2), (11, 0), (12, 0)]
 
 
 def test_sessions_join_at_exactly_the_gap(spark):
@@ -310,3 +313,5 @@ def test_python_functions_on_nulls_and_zero(spark):
     assert rows(spark.createDataFrame([(0,), (-909,), (10**15 + 7,)], "n bigint").select(digit_sum("n"))) == [(0,), (18,), (8,)]
     one = trend_per_group(df.where("k = 0"), "k", F.lit(1), F.col("v"))
     assert rows(one) == [(0, 1, None)]
+    line = spark.createDataFrame([(1, 0, 1), (1, 1, 3), (1, 3, None), (1, None, 9), (1, 2, 5)], "k bigint, x int, v int")
+    assert rows(trend_per_group(line, "k", F.col("x"), F.col("v"))) == [(1, 3, 2.0)]
