@@ -3,7 +3,7 @@ reaches the final task as one partial row per map task."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -33,22 +33,30 @@ def levels(
     kind: str,
     aggs: dict[str, Column],
     sets: Sequence[Sequence[str]] | None = None,
+    merge: dict[str, Callable[[str], Column]] | None = None,
 ) -> DataFrame:
     """Subtotals: ``rollup``, ``cube`` or explicit grouping ``sets``.
 
     ``level`` is the grouping id, which tells a subtotal from a null key.
+
+    Rows are first aggregated by all keys, and the few results are rolled up.
+    Rolling up the rows themselves would copy every row once per level. The
+    aggregates must therefore add up: sums and counts do as they are, others
+    name the function that merges them (``F.max``, say) in ``merge``; a mean
+    is a sum and a count.
     """
+    if kind not in ("rollup", "cube", "sets"):
+        raise ValueError(f"kind must be rollup, cube or sets, not {kind!r}")
+    finest = df.groupBy(*keys).agg(*[column.alias(name) for name, column in aggs.items()])
     if kind == "rollup":
-        grouped = df.rollup(*keys)
+        grouped = finest.rollup(*keys)
     elif kind == "cube":
-        grouped = df.cube(*keys)
-    elif kind == "sets":
-        chosen = [[F.col(c) for c in s] for s in sets or []]
-        grouped = df.groupingSets(chosen, *keys)
+        grouped = finest.cube(*keys)
     else:
-        raise ValueError(f"kind must be rollup, cube or sets, not {kind!r}")
-    columns = [column.alias(name) for name, column in aggs.items()]
-    return grouped.agg(F.grouping_id().cast("int").alias("level"), *columns)
+        grouped = finest.groupingSets([[F.col(c) for c in s] for s in sets or []], *keys)
+    merge = merge or {}
+    merged = [merge.get(name, F.sum)(name).alias(name) for name in aggs]
+    return grouped.agg(F.grouping_id().cast("int").alias("level"), *merged)
 
 
 def pivot(df: DataFrame, keys: Sequence[str], column: str, values: Sequence[str], agg: Column) -> DataFrame:

@@ -428,19 +428,22 @@ def distinct_parts_approx(spark: SparkSession, sf: str) -> DataFrame:
 def _levels_sql(grouping: str) -> str:
     return f"""
     SELECT o_orderstatus, o_orderpriority, CAST(GROUPING(o_orderstatus, o_orderpriority) AS INTEGER) AS level,
-           count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS total
+           count(*) AS n_orders, CAST(sum(CAST(o_totalprice AS DECIMAL(12,2))) AS DOUBLE) AS total,
+           max(o_totalprice) AS dearest
     FROM orders GROUP BY {grouping}
     """
 
 
 def _levels(spark: SparkSession, sf: str, kind: str, chosen=None) -> DataFrame:
-    return aggregates.levels(
+    found = aggregates.levels(
         load(spark, sf, "orders"),
         ["o_orderstatus", "o_orderpriority"],
         kind,
-        {"n_orders": F.count(F.lit(1)), "total": total(cents("o_totalprice"))},
+        {"n_orders": F.count(F.lit(1)), "total": F.sum(cents("o_totalprice")), "dearest": F.max("o_totalprice")},
         chosen,
+        {"dearest": F.max},
     )
+    return found.withColumn("total", amount("total"))
 
 
 @query(_levels_sql("ROLLUP (o_orderstatus, o_orderpriority)"))

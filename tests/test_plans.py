@@ -81,6 +81,16 @@ def test_texts_are_hashed_and_not_shuffled(spark, small):
     assert "_key_text" in shuffled and not re.search(r"(^|[ ,])text#", shuffled)
 
 
+@pytest.mark.parametrize("name", ["order_rollup", "order_cube", "order_grouping_sets"])
+def test_rows_are_aggregated_before_they_are_rolled_up(spark, small, name):
+    text = optimized(spark, small, name)
+    tree = text[: text.index("(1) Scan")]
+    lines = [line for line in tree.splitlines() if re.search(r"Expand|Exchange|Scan", line)]
+    kinds = [re.search(r"(Expand|Exchange|Scan)", line).group(1) for line in lines]
+    # From the top: the merging shuffle, the copies per level, the shuffle of the rows' aggregates.
+    assert kinds == ["Exchange", "Expand", "Exchange", "Scan"]
+
+
 def test_top_k_does_not_sort_everything(spark, small):
     assert "TakeOrderedAndProject" in optimized(spark, small, "dearest_orders")
     assert "TakeOrderedAndProject" in optimized(spark, small, "nearest_vectors")
