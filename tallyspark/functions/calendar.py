@@ -6,22 +6,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Calendar units no finer than a day: all days Spark can represent make fewer
+# than four million periods, which one task can order.
+UNITS = ("year", "quarter", "month", "week", "day")
+
+
 def period(ts: str, unit: str) -> Column:
     """Start of the period, zoneless like its input."""
+    if unit not in UNITS:
+        raise ValueError(f"unit must be one of {UNITS}, not {unit!r}")
     return F.date_trunc(unit, F.col(ts)).cast("timestamp_ntz")
 
 
 def by_period(df: DataFrame, ts: str, unit: str, aggs: dict[str, Column]) -> DataFrame:
+    """One row per period that occurs, in column ``period``."""
     return df.groupBy(period(ts, unit).alias("period")).agg(*[a.alias(n) for n, a in aggs.items()])
 
 
 def growth(series: DataFrame, value: str) -> DataFrame:
-    """Add ``previous`` and ``growth`` (relative, null after a zero).
-
-    The series has one row per calendar period, so one task can order it.
-    """
-    in_time = Window.orderBy("period")
-    before = F.lag(value).over(in_time)
+    """Add ``previous`` and ``growth`` (relative, null after a zero) to what
+    ``by_period`` returns."""
+    before = F.lag(value).over(Window.orderBy("period"))
     return series.withColumn("previous", before).withColumn(
         "growth", F.try_divide(F.col(value) - F.col("previous"), F.col("previous"))
     )

@@ -245,7 +245,7 @@ def returned_lines_with_orders(spark: SparkSession, sf: str) -> DataFrame:
         [("o_orderkey", "l_orderkey")],
         "right",
         {"o_orderpriority": "none"},
-    )
+    ).select("l_orderkey", "l_linenumber", "l_suppkey", "o_orderkey", "o_orderpriority")
 
 
 _YEARS = """

@@ -16,6 +16,7 @@ from tallyspark.streaming.windows import stream_dedupe, stream_sessions, windowe
 CATALOGUE = Catalogue()
 query = CATALOGUE.query
 
+
 def _aggs() -> dict:
     return {"n": F.count(F.lit(1)), "total": total(cents("value"))}
 
@@ -62,8 +63,8 @@ def sliding_windows(spark: SparkSession, sf: str) -> DataFrame:
     """
 )
 def streamed_sessions(spark: SparkSession, sf: str) -> DataFrame:
-    stream = load_stream(spark, sf, "events")
-    return finished(stream_sessions(stream, "ts", "30 minutes", "1 hour", ["user_id"], _aggs()), "sessions")
+    found = stream_sessions(load_stream(spark, sf, "events"), "ts", "30 minutes", "1 hour", ["user_id"], _aggs())
+    return finished(found.select("user_id", "session_start", "session_end", "n", "total"), "sessions")
 
 
 @query("SELECT event_id, ts, user_id, event_type FROM events")

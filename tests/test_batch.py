@@ -280,6 +280,8 @@ def test_growth_after_zero_is_null(spark):
     df = spark.createDataFrame([(datetime(2024, m, 1), v) for m, v in ((1, 0.0), (2, 4.0), (3, 6.0))], "period timestamp_ntz, v double")
     got = calendar.growth(df, "v").select("v", "previous", "growth")
     assert rows(got) == sorted([(0.0, None, None), (4.0, 0.0, None), (6.0, 4.0, 0.5)], key=repr)
+    with pytest.raises(ValueError):
+        calendar.by_period(df, "period", "second", {})
 
 
 def test_buckets(spark):
