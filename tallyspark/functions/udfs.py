@@ -6,7 +6,7 @@ these stay small helpers; the grouping around them is Spark's.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
@@ -29,24 +29,34 @@ def digit_sum(values: pd.Series) -> pd.Series:
 def grouped_partials(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """A user-defined aggregate in partial form: (keys, n, total, peak).
 
-    ``mapInPandas`` reduces each Arrow batch, never a whole group, and the
+    ``mapInArrow`` reduces each Arrow batch, never a whole group, and the
     partial rows are merged by built-in aggregates. The group may have any
     size, unlike with a grouped Pandas function, which holds it in one task.
     Values are whole numbers, so that merging is exact.
     """
     keys = list(keys)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys).schema)
-
-    def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.groupby(keys, dropna=False)[value].agg(n="count", total="sum", peak="max").reset_index()
-
-    parts = df.select(*keys, value).mapInPandas(partials, f"{schema}, n bigint, total bigint, peak bigint")
+    rows = df.select(*keys, F.col(value).cast("long").alias("_value"))
+    parts = rows.mapInArrow(batch_partials(keys, "_value"), f"{schema}, n bigint, total bigint, peak bigint")
     return parts.groupBy(*keys).agg(
         F.sum("n").alias("n"), F.sum("total").alias("total"), F.max("peak").alias("peak")
     )
 
 
+def batch_partials(keys: list[str], value: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A function that gives, per batch and key, the number, sum and maximum
+    of the non-null values. Made here so that it travels to the workers whole."""
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grouped = pa.Table.from_batches([batch]).group_by(keys)
+            found = grouped.aggregate([(value, "count"), (value, "sum"), (value, "max")])
+            found = found.select([*keys, f"{value}_count", f"{value}_sum", f"{value}_max"])
+            yield from found.rename_columns([*keys, "n", "total", "peak"]).to_batches()
+
+    return reduce
+
+
 def trend_per_group(df: DataFrame, key: str, position: Column, value: Column) -> DataFrame:
     """(key, points, slope): least-squares line through one total per position.
 

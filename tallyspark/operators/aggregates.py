@@ -102,19 +102,26 @@ def exact_quantiles(
     def cut(q: float) -> Column:
         return F.get("_cuts", F.lit(probes.index(q)))
 
-    v = F.col("_v")
-    marks = []
-    for i, p in enumerate(fractions.values()):
-        inside = F.when(v >= cut(p - margin), v) if p - margin in probes else v
-        mark = F.struct(F.lit(i).alias("i"), inside.alias("v"))
-        marks.append(F.when(v <= cut(p + margin), mark) if p + margin in probes else mark)
+    v, large = F.col("_v"), F.col("_size") > SKETCH
+    joined = rows.join(rough, on)
+    inside, below = [], []
+    for p in fractions.values():
+        low = v >= cut(p - margin) if p - margin in probes else F.lit(True)
+        high = v <= cut(p + margin) if p + margin in probes else F.lit(True)
+        inside.append(low & high)
+        below.append(F.count_if(~low))
+    # Nearly all rows of a large group fall outside every bracket and are only counted.
+    marks = [F.when(ok, F.struct(F.lit(i).alias("i"), v.alias("v"))) for i, ok in enumerate(inside)]
     whole = F.struct(F.lit(-1).alias("i"), v.alias("v"))
-    mark = F.when(F.col("_size") > SKETCH, F.array(*marks)).otherwise(F.array(whole))
-    hits = rows.join(rough, on).select(*keys, "_size", F.explode(mark).alias("_m")).where(F.col("_m").isNotNull())
-    # Values below a bracket share the null value, which sorts first.
-    hits = hits.groupBy(*keys, "_size", F.col("_m.i").alias("_i"), F.col("_m.v").alias("_v")).agg(
-        F.count(F.lit(1)).alias("_n")
+    mark = F.explode(F.when(large, F.array(*marks)).otherwise(F.array(whole))).alias("_m")
+    near = joined.where(~large | reduce(Column.__or__, inside)).select(*keys, "_size", mark)
+    near = near.where(F.col("_m").isNotNull()).groupBy(
+        *keys, "_size", F.col("_m.i").alias("_i"), F.col("_m.v").alias("_v")
     )
+    counts = joined.where(large).groupBy(*keys, "_size").agg(F.array(*below).alias("_below"))
+    under = counts.select(*keys, "_size", F.posexplode("_below").alias("_i", "_n"))
+    # Values below a bracket share the null value, which sorts first.
+    hits = near.agg(F.count(F.lit(1)).alias("_n")).unionByName(under, allowMissingColumns=True)
     hits = pinned(hits, "bracketed")
     run = scan_groups(hits, [*keys, "_i"], [F.asc_nulls_first("_v")], {"_upto": sum_scan(F.col("_n"))}, limits)
 
@@ -138,9 +145,8 @@ def exact_quantiles(
 
 def approx_quantiles(df: DataFrame, keys: Sequence[str], column: str, fractions: dict[str, float], accuracy: int) -> DataFrame:
     """Quantiles whose rank is off by at most 1/accuracy of the group."""
-    return df.groupBy(*keys).agg(
-        *[F.percentile_approx(column, p, accuracy).alias(name) for name, p in fractions.items()]
-    )
+    found = df.groupBy(*keys).agg(F.percentile_approx(column, list(fractions.values()), accuracy).alias("_q"))
+    return found.select(*keys, *[F.get("_q", F.lit(i)).alias(name) for i, name in enumerate(fractions)])
 
 
 def spread(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:

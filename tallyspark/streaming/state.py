@@ -9,17 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tallyspark.functions.udfs import batch_partials
 
 
-def partials(rows: DataFrame) -> DataFrame:
-    """(key, n, total, peak) of (key, value) rows, one row per key and Arrow batch."""
-
-    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.groupby("key", dropna=False)["value"].agg(n="size", total="sum", peak="max").reset_index()
-
-    return rows.mapInPandas(reduce, "key bigint, n bigint, total bigint, peak bigint")
-
 
 def running_state(stream: DataFrame, key: str, value: Column) -> DataFrame:
     """(key, version, n, total, peak) after every micro-batch that touched the
@@ -42,7 +34,8 @@ def running_state(stream: DataFrame, key: str, value: Column) -> DataFrame:
         state.update((version + 1, n, total, peak))
         yield pd.DataFrame({"key": [group[0]], "version": [version + 1], "n": [n], "total": [total], "peak": [peak]})
 
-    return partials(rows).groupBy("key").applyInPandasWithState(
+    reduced = rows.mapInArrow(batch_partials(["key"], "value"), "key bigint, n bigint, total bigint, peak bigint")
+    return reduced.groupBy("key").applyInPandasWithState(
         step,
         "key bigint, version bigint, n bigint, total bigint, peak bigint",
         "version bigint, n bigint, total bigint, peak bigint",

@@ -108,7 +108,7 @@ def test_aggregates_combine_before_the_shuffle(spark, small):
 
 def test_python_sees_only_needed_columns(spark, small):
     text = optimized(spark, small, "line_quantity_partials")
-    assert "MapInPandas" in text
+    assert "MapInArrow" in text
     assert set(re.search(r"ReadSchema: struct<([^>]*)>", text).group(1).split(",")) == {
         "l_quantity:double", "l_returnflag:string", "l_linestatus:string"
     }
