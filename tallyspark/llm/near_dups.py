@@ -7,14 +7,16 @@ on each side, 2 * m * k minhashes in all, serve m * m tables, where separate
 tables would take 2 * m * m * k. A pair of sets of similarity s shares a table
 with probability (1 - (1 - s^k)^m)^2: 0.9997 at 0.75 with the defaults.
 
-Sets that are alike become one node first. Inside a table's bucket nodes are
-not paired with each other: each is held against a few of the bucket, verified
-on the full sets, and links join nodes to components. A bucket whose nodes are
-all in one component is done; in the others the nodes that were held against
-are retired and the next ones taken, until no bucket is left with two
-components. Thus every pair of a bucket has been verified, or is connected
-already: no bucket is capped. Table keys are made in two steps, first by the
-first collection; only nodes that meet another there get their pairs made.
+Sets that are alike become one node first, and buckets of the same nodes one
+bucket. In a few rounds every node is held against one or four others that all
+nodes of its buckets agree on, verified on the full sets, and links join nodes
+to components; copies of one text thus find each other without pairs. Only
+buckets with two components or more stay open. For these, all pairs that are
+left are verified: those of different components that the exact bounds on the
+intersection (by set size, and by shingles that no other open node has) do not
+rule out. So every pair of a bucket has been verified, is ruled out, or is
+connected already: no bucket is capped. Table keys are made in two steps, first
+by the first collection; only nodes that meet another there get their pairs.
 
 Nulls: a null text is an empty one; a text without a word has an empty set and
 is linked with nothing. A null id is never a component's smallest unless all
@@ -44,7 +46,7 @@ class Tables:
     share: int = 75  # linked if 100 * intersection >= share * union
     keys: int = 16  # m: keys in each of the two collections
     hashes: int = 3  # k: minhashes in a key
-    held_against: int = 8  # nodes of a bucket that the others are compared with at a time
+    rounds: int = 4  # in which nodes are held against few others before the rest is
     # Pairs are dropped unverified if fewer minhashes agree than would for one
     # linked pair in 10^7 or less: half of 96 where three quarters are expected.
     least_agreeing: int = 48
@@ -178,8 +180,10 @@ def _table_keys(nodes: DataFrame) -> DataFrame:
     shared = firsts.select("node", "i", "left").join(met, ["i", "left"]).join(nodes.select("node", "right_keys"), "node")
     pairs = shared.select("node", "i", "left", F.posexplode("right_keys").alias("j", "right"))
     keyed = pinned(pairs.select(F.xxhash64("i", "left", "j", "right").alias("key"), "node"), "table-keys")
-    full = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    return keyed.join(full, "key")
+    # Buckets of the same nodes are alike; one of them is enough.
+    alike = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x")]
+    full = keyed.groupBy("key").agg(*alike).where("n > 1").groupBy("n", "s", "x").agg(F.min("key").alias("key"))
+    return keyed.join(full.select("key"), "key")
 
 
 def _agreeing(a: Column, b: Column, hashes: int) -> Column:
@@ -231,39 +235,75 @@ def _merge(groups: DataFrame, links: DataFrame) -> DataFrame:
     return pinned(moved.select("node", F.coalesce("label", "group").alias("group")), "groups")
 
 
+def _open(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """(key, node, group) of the buckets that hold two groups or more."""
+    known = rows.select("key", "node").join(groups, "node")
+    split = known.groupBy("key").agg(F.min("group").alias("a"), F.max("group").alias("b")).where("a <> b").select("key")
+    return pinned(known.join(split, "key"), "open-buckets")
+
+
+def _few(rows: DataFrame, turn: int, count: int) -> DataFrame:
+    """(u, v): every node with one node for each of ``count`` orders, the first among all of its buckets."""
+    orders = range(count)
+
+    def order(p: int) -> Column:
+        first = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(4 * turn + p))
+        return F.struct(first.alias("o"), F.col("node").alias("v"), F.col("group").alias("g"))
+
+    heads = rows.groupBy("key").agg(*[F.min(order(p)).alias(f"h{p}") for p in orders])
+    met = rows.join(heads, "key")
+    each = met.groupBy("node").agg(*[F.min(F.when(F.col(f"h{p}.g") != F.col("group"), F.col(f"h{p}"))).alias(f"h{p}") for p in orders])
+    pairs = each.select("node", F.explode(F.array(*[F.col(f"h{p}.v") for p in orders])).alias("head")).where("head IS NOT NULL")
+    return pairs.select(F.least("node", "head").alias("u"), F.greatest("node", "head").alias("v")).distinct()
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            found = [np.frombuffer(b.as_buffer(), np.int64) for b in batch.column(1).slice(at, 256)]
+            nodes = np.repeat(batch.column(0).slice(at, 256).to_numpy(), [len(f) for f in found])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(np.concatenate(found))], ["node", "token"])
+
+
+def _rest(rows: DataFrame, nodes: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """(u, v): the pairs of open buckets that may be linked and aren't connected."""
+    members = rows.select("node").distinct()
+    tokens = sets.join(members, "node", "left_semi").mapInArrow(_tokens, "node long, token long")
+    lone = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
+    lone = lone.groupBy("node").agg(F.count(F.lit(1)).alias("lone"))
+    facts = members.join(nodes.select("node", "n_shingles"), "node").join(lone, "node", "left")
+    facts = facts.select("node", F.col("n_shingles").alias("n"), (F.col("n_shingles") - F.coalesce("lone", F.lit(0))).alias("common"))
+    # The intersection has common shingles only.
+    able = pinned(facts.where(100 * F.col("common") >= share * F.col("n")), "able")
+    a = rows.join(able, "node").alias("a")
+    b = rows.join(able, "node").alias("b")
+    most = F.least("a.common", "b.common")
+    near = (
+        (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.group") != F.col("b.group"))
+        & (100 * most >= share * (F.col("a.n") + F.col("b.n") - most))
+    )
+    return a.join(b, near).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
+
+
 def groups_of(docs: DataFrame, nodes: DataFrame, tables: Tables = Tables()) -> DataFrame:
     """(node, group) for the nodes that share a bucket with another."""
     rows = pinned(_table_keys(nodes), "buckets")
     linker = _Linker(docs, nodes, tables)
     linker.prepare(rows)
     groups = pinned(rows.select("node").distinct().withColumn("group", F.col("node")), "groups")
-    # First each node against the smallest that it meets anywhere: copies of one text find each other.
-    least = rows.groupBy("key").agg(F.min("node").alias("v"))
-    first = rows.join(least, "key").groupBy(F.col("node").alias("u")).agg(F.min("v").alias("v"))
-    groups = _merge(groups, linker.links(first.where("u <> v")))
     tested = None
-    while True:
-        sizes = groups.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
-        facts = groups.join(sizes, "group")
-        known = rows.join(facts, "node")
-        split = known.groupBy("key").agg(F.min("group").alias("a"), F.max("group").alias("b")).where("a <> b").select("key")
-        rows = pinned(known.join(split, "key").select("key", "node", "group", "members"), "open-buckets")
+    for turn in range(tables.rounds + 1):
+        rows = _open(rows, groups)
         if rows.isEmpty():
-            return groups
-        # Those of the smallest groups first: against them the rest is settled soonest.
-        n = tables.held_against
-        deal = F.pmod(F.xxhash64("node"), F.lit(n))
-        each = [F.min(F.when(deal == i, F.struct("members", "node"))).alias(f"r{i}") for i in range(n)]
-        reps = pinned(rows.groupBy("key").agg(*each).select("key", F.explode(F.array(*[F.col(f"r{i}") for i in range(n)])).alias("r")).where("r IS NOT NULL").select("key", F.col("r.node").alias("rep")), "held")
-        against = reps.join(groups.select(F.col("node").alias("rep"), F.col("group").alias("rep_group")), "rep")
-        met = rows.join(against, "key").where("group <> rep_group")
-        pairs = met.select(F.least("node", "rep").alias("u"), F.greatest("node", "rep").alias("v")).distinct()
+            break
+        last = turn == tables.rounds
+        pairs = _rest(rows, nodes, linker.sets, tables.share) if last else _few(rows, turn, 4 if turn else 1)
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
         pairs = pinned(pairs, "pairs")
         tested = pairs if tested is None else tested.union(pairs)
         groups = _merge(groups, linker.links(pairs))
-        rows = rows.join(reps.withColumnRenamed("rep", "node"), ["key", "node"], "left_anti").select("key", "node")
+    return groups
 
 
 def near_duplicates(docs: DataFrame, keep: Sequence[str] = ("doc_id",), tables: Tables = Tables()) -> DataFrame:
