@@ -86,28 +86,30 @@ def base_failed(rules: Rules = Rules()) -> Column:
 
 def trusted() -> Column:
     """The rule that picks the target: running text without junk, by the statistics alone."""
-    letters = F.length(F.regexp_replace(F.coalesce("text", F.lit("")), "[^A-Z]", ""))
+    text = F.coalesce("text", F.lit(""))
+    capitals = F.length(text) - F.length(_without(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
     return (
         (F.col("n_words") >= 50) & (F.col("n_symbols") == 0) & (F.col("n_dup_lines") == 0)
-        & (F.size(F.array_distinct("_words")) * 3 > F.col("n_words")) & (letters * 10 < F.col("word_chars"))
+        & (F.size(F.array_distinct("_words")) * 3 > F.col("n_words")) & (capitals * 10 < F.length(text))
     )
 
 
-def _grams(buckets: int) -> Column:
-    """The buckets of a text's words and pairs of neighbouring words, from ``_hashes``."""
-    single = F.transform("_hashes", lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
-    pairs = F.transform(
-        F.slice("_hashes", F.lit(1), F.greatest(F.size("_hashes") - 1, F.lit(0))),
-        lambda h, i: F.pmod(F.xxhash64(h, F.get("_hashes", i + 1)), F.lit(buckets)).cast("int"),
-    )
-    return F.concat(single, pairs)
+def _grams() -> Column:
+    """Hashes of a text's words and pairs of neighbouring words, from ``_hashes``."""
+    later = F.slice("_hashes", F.lit(2), F.size("_hashes"))
+    pairs = F.zip_with(F.slice("_hashes", F.lit(1), F.size(later)), later, lambda a, b: F.xxhash64(a, b))
+    return F.concat("_hashes", pairs)
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod("gram", F.lit(buckets)).cast("int").alias("bucket")
 
 
 def ratios(docs: DataFrame, trust: Column | None = None, rules: Rules = Rules()) -> DataFrame:
     """(bucket, ratio): log p_target - log p_raw for every bucket, from all documents."""
     known = statistics(docs.select("text"), rules).withColumn("_target", trusted() if trust is None else trust)
     hashed = known.select("_target", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
-    grams = hashed.select("_target", F.explode(_grams(rules.buckets)).alias("bucket"))
+    grams = hashed.select("_target", F.explode(_grams()).alias("gram")).select("_target", _bucket(rules.buckets))
     counted = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count_if("_target").alias("target"))
     every = docs.sparkSession.range(rules.buckets).select(F.col("id").cast("int").alias("bucket"))
     counted = pinned(every.join(counted, "bucket", "left").fillna(0, ["raw", "target"]), "gram-counts")
@@ -122,7 +124,7 @@ def judged(docs: DataFrame, trust: Column | None = None, rules: Rules = Rules())
     table = ratios(docs, trust, rules)
     rows = repeated_words(statistics(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_row")), rules), rules)
     facts = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    grams = rows.select("_row", *facts, F.explode_outer(_grams(rules.buckets)).alias("bucket"))
+    grams = rows.select("_row", *facts, F.explode_outer(_grams()).alias("gram")).select("_row", *facts, _bucket(rules.buckets))
     # As many rows as there are buckets, whatever the corpus.
     met = grams.join(F.broadcast(table), "bucket", "left")
     summed = met.groupBy("_row").agg(*[F.max(c).alias(c) for c in facts], F.avg("ratio").alias("score"))
