@@ -53,22 +53,24 @@ class _Ids:
         self.clear()
 
     def clear(self) -> None:
+        outer = self
+
+        class Words(dict):
+            def __missing__(self, word: str) -> np.ndarray:
+                found = np.array([outer.number(g) for g in _grams(word, outer.longest)], np.int64)
+                if len(word) < 64:
+                    self[word] = found
+                return found
+
         self.ids: dict[str, int] = {}
         self.names: list[str] = []
-        self.words: dict[str, np.ndarray] = {}
+        self.words: dict[str, np.ndarray] = Words()
 
-    def of(self, word: str) -> np.ndarray:
-        found = self.words.get(word)
+    def number(self, gram: str) -> int:
+        found = self.ids.get(gram)
         if found is None:
-            numbers = []
-            for g in _grams(word, self.longest):
-                if g not in self.ids:
-                    self.ids[g] = len(self.names)
-                    self.names.append(g)
-                numbers.append(self.ids[g])
-            found = np.array(numbers, np.int32)
-            if len(word) < 64:
-                self.words[word] = found
+            found = self.ids[gram] = len(self.names)
+            self.names.append(gram)
         return found
 
     def trim(self) -> bool:
@@ -142,7 +144,7 @@ def _judge(learned: list[tuple[str, list[str]]], shape: Shape):
                 return NONE, 0.0
             if ids.trim():
                 known = 0
-            numbers = np.concatenate([ids.of(w) for w in words])
+            numbers = np.concatenate(list(map(ids.words.__getitem__, words)))
             while len(ids.names) > ranks.shape[1]:
                 ranks = np.concatenate([ranks, np.full_like(ranks, -2)], axis=1)
                 order_of = np.concatenate([order_of, np.zeros_like(order_of)])
