@@ -19,7 +19,6 @@ and texts that are null teach nothing.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,81 +28,98 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 NONE = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+_OTHERS = re.compile(r"[\W\d_]+")
+# A code point takes 21 bits, so that up to three make one number in the order of code points.
+_BITS, _LONGEST = 21, 3
+_BLANK = ord(" ")
 
 
 @dataclass(frozen=True)
 class Shape:
     longest: int = 3  # characters of an n-gram
     ranks: int = 300  # n-grams of a profile
-
-
-def _grams(word: str, longest: int) -> list[str]:
-    padded = f" {word} "
-    return [padded[i : i + n] for n in range(1, longest + 1) for i in range(len(padded) - n + 1) if padded[i : i + n] != " "]
-
-
-class _Ids:
-    """Numbers for n-grams, and per word the numbers of its n-grams. Bounded: starts afresh when full."""
-
-    WORDS, GRAMS = 400_000, 200_000
-
-    def __init__(self, longest: int) -> None:
-        self.longest = longest
-        self.clear()
-
-    def clear(self) -> None:
-        outer = self
-
-        class Words(dict):
-            def __missing__(self, word: str) -> bytes:
-                found = np.array([outer.number(g) for g in _grams(word, outer.longest)], np.int32).tobytes()
-                if len(word) < 64:
-                    self[word] = found
-                return found
-
-        self.ids: dict[str, int] = {}
-        self.names: list[str] = []
-        self.words: dict[str, bytes] = Words()  # bytes are put together faster than arrays
-
-    def number(self, gram: str) -> int:
-        found = self.ids.get(gram)
-        if found is None:
-            found = self.ids[gram] = len(self.names)
-            self.names.append(gram)
-        return found
-
-    def trim(self) -> bool:
-        """To be called between texts; True if the numbers so far are void."""
-        full = len(self.words) > self.WORDS or len(self.names) > self.GRAMS
-        if full:
-            self.clear()
-        return full
-
-
-def _learner(longest: int):
+    slice: int = 1 << 20  # characters of a text that are counted at a time
+    batch: int = 1 << 21  # n-grams that are put together before they are counted, while learning
+
+    def __post_init__(self) -> None:
+        if not 1 <= self.longest <= _LONGEST:
+            raise ValueError(f"n-grams have 1 to {_LONGEST} characters, not {self.longest}")
+
+
+def _grams(text: str, shape: Shape) -> Iterator[np.ndarray]:
+    """The n-grams of a text as numbers, with repeats, slice by slice; none without a letter."""
+    words = _OTHERS.sub(" ", text.lower()).strip()
+    if not words:
+        return
+    # Neighbours share the blank between them: each word has one on either side.
+    points = np.frombuffer(f" {words} ".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    for at in range(0, len(points), shape.slice):
+        part = points[at : at + shape.slice + _LONGEST - 1]
+        own = min(shape.slice, len(part))
+        found = part[:own] << (2 * _BITS)
+        out = [found[part[:own] != _BLANK]]
+        if shape.longest > 1:
+            found = found[: len(part) - 1] | part[1 : own + 1] << _BITS
+            out.append(found)
+        if shape.longest > 2:
+            inner = part[1 : min(own, len(part) - 2) + 1] != _BLANK  # else it stands in two words
+            out.append((found[: len(inner)] | part[2 : own + 2])[inner])
+        yield np.concatenate(out)
+
+
+def _counted(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each number once, in order, and how often it was there."""
+    if not len(grams):
+        return grams, np.empty(0, np.int64)
+    grams = np.sort(grams)
+    first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+    return grams[first], np.diff(np.append(first, len(grams)))
+
+
+def _counts(text: str, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
+    codes, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    for grams in _grams(text, shape):
+        some, n = _counted(grams)
+        if not len(codes):
+            codes, counts = some, n
+            continue
+        codes, place = np.unique(np.concatenate([codes, some]), return_inverse=True)
+        both = np.concatenate([counts, n])
+        counts = np.zeros(len(codes), np.int64)
+        np.add.at(counts, place, both)
+    return codes, counts
+
+
+def _name(code: int) -> str:
+    mask = (1 << _BITS) - 1
+    return "".join(chr(c) for c in (code >> 2 * _BITS, code >> _BITS & mask, code & mask) if c)
+
+
+def _code(gram: str) -> int:
+    return sum(ord(c) << _BITS * (_LONGEST - 1 - i) for i, c in enumerate(gram))
+
+
+def _learner(shape: Shape):
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, Counter] = {}
-
-        def flush() -> pa.RecordBatch:
-            rows = []
-            for lang, words in counts.items():
-                grams: Counter = Counter()
-                for word, n in words.items():
-                    for g in _grams(word, longest):
-                        grams[g] += n
-                rows += [(lang, g, n) for g, n in grams.items()]
-            counts.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], ["lang", "gram", "n"]
-            )
+        waiting: dict[str, list[np.ndarray]] = {}
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang, grams in waiting.items():
+                codes, n = _counted(np.concatenate(grams))
+                langs = pa.DictionaryArray.from_arrays(np.zeros(len(codes), np.int32), pa.array([lang])).cast(pa.string())
+                yield pa.RecordBatch.from_arrays([langs, pa.array(codes), pa.array(n, pa.int64())], ["lang", "gram", "n"])
+            waiting.clear()
 
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts.setdefault(lang, Counter()).update(_LETTERS.findall(text.lower()))
-                if sum(map(len, counts.values())) > 300_000:
-                    yield flush()
-        yield flush()
+                for grams in _grams(text, shape):
+                    waiting.setdefault(lang, []).append(grams)
+                    size += len(grams)
+                    if size > shape.batch:
+                        yield from flush()
+                        size = 0
+        yield from flush()
 
     return learn
 
@@ -115,56 +131,40 @@ def profiles(docs: DataFrame, learn_from: Column, shape: Shape = Shape()) -> lis
     each language, whatever the number of documents.
     """
     rows = docs.where(learn_from).where("text IS NOT NULL AND lang IS NOT NULL").select("text", F.col("lang").cast("string").alias("lang"))
-    parts = rows.mapInArrow(_learner(shape.longest), "lang string, gram string, n long")
+    parts = rows.mapInArrow(_learner(shape), "lang string, gram long, n long")
     counted = parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     best = counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= shape.ranks)
     found: dict[str, list[str]] = {}
     for r in sorted(best.collect(), key=lambda r: (r["lang"], r["rank"])):
-        found.setdefault(r["lang"], []).append(r["gram"])
+        found.setdefault(r["lang"], []).append(_name(r["gram"]))
     return sorted(found.items())
 
 
 def _judge(learned: list[tuple[str, list[str]]], shape: Shape):
     langs = [lang for lang, _ in learned]
-    places = [{g: i for i, g in enumerate(grams)} for _, grams in learned]
     far = shape.ranks
+    known = np.array(sorted({_code(g) for _, grams in learned for g in grams}), np.int64)
+    places = np.full((len(langs), len(known) + 1), -1, np.int32)  # the last column: in no profile
+    for k, (_, grams) in enumerate(learned):
+        places[k, np.searchsorted(known, [_code(g) for g in grams])] = np.arange(len(grams))
+
+    def score(text: str | None) -> tuple[str, float]:
+        codes, counts = _counts(text, shape) if text and langs else ((), ())
+        if not len(codes):
+            return NONE, 0.0
+        if len(codes) > shape.ranks:  # those below the last rank's count can't get in
+            stay = counts >= np.partition(counts, -shape.ranks)[-shape.ranks]
+            codes, counts = codes[stay], counts[stay]
+        codes = codes[np.argsort(-counts, kind="stable")][: shape.ranks]  # equal counts stay in order
+        at = np.searchsorted(known, codes)
+        at[known[np.minimum(at, len(known) - 1)] != codes] = len(known)
+        at = places[:, at]
+        out = np.where(at >= 0, np.abs(at - np.arange(len(codes))), far).sum(axis=1)
+        best = int(np.argmin(out))
+        return langs[best], 1.0 - float(out[best]) / (far * len(codes))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _Ids(shape.longest)
-        ranks = np.full((len(langs), 1024), -1, np.int32)  # by language and n-gram number; -2: not looked up yet
-        ranks[:] = -2
-        order_of = np.zeros(1024, np.int64)  # code points of the n-gram as one number, to settle ties
-        known = 0
-
-        def score(text: str | None) -> tuple[str, float]:
-            nonlocal ranks, order_of, known
-            words = _LETTERS.findall(text.lower()) if text else []
-            if not words or not langs:
-                return NONE, 0.0
-            if ids.trim():
-                known = 0
-            numbers = np.frombuffer(b"".join(map(ids.words.__getitem__, words)), np.int32)
-            while len(ids.names) > ranks.shape[1]:
-                ranks = np.concatenate([ranks, np.full_like(ranks, -2)], axis=1)
-                order_of = np.concatenate([order_of, np.zeros_like(order_of)])
-            for i in range(known, len(ids.names)):
-                g = ids.names[i]
-                order_of[i] = sum(ord(c) << (21 * (2 - k)) for k, c in enumerate(g[:3]))
-                for k, place in enumerate(places):
-                    ranks[k, i] = place.get(g, -1)
-            known = len(ids.names)
-            counts = np.bincount(numbers)
-            seen = np.flatnonzero(counts)
-            if len(seen) > shape.ranks:  # those below the last rank's count can't get in
-                least = np.partition(counts[seen], -shape.ranks)[-shape.ranks]
-                seen = seen[counts[seen] >= least]
-            seen = seen[np.lexsort((order_of[seen], -counts[seen]))][: shape.ranks]
-            at = ranks[:, seen]
-            out = np.where(at >= 0, np.abs(at - np.arange(len(seen))), far).sum(axis=1)
-            best = int(np.argmin(out))
-            return langs[best], 1.0 - float(out[best]) / (far * len(seen))
-
         for batch in batches:
             found = [score(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays(

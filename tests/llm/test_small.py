@@ -441,6 +441,20 @@ def test_rank_distance_by_hand():
     assert out[2]["lang_pred"] == "x" and out[2]["score"] == pytest.approx(1 - 1 / 6)
 
 
+def test_grams_by_brute_force():
+    texts = ["Ab ab, a", "x", "  ", "7", "Ünï 𐐀𐐁 ab_cd1ef", "straße " * 50, "a" * 100]
+    for text in texts:
+        want = Counter()
+        for word in re.findall(r"[^\W\d_]+", text.lower()):
+            padded = f" {word} "
+            want.update(g for n in (1, 2, 3) for i in range(len(padded) - n + 1) if (g := padded[i : i + n]) != " ")
+        for size in (1, 2, 7, 1 << 20):
+            codes, counts = language._counts(text, language.Shape(slice=size))
+            assert [language._name(int(c)) for c in codes] == sorted(want)
+            assert counts.tolist() == [want[g] for g in sorted(want)]
+    assert all(language._name(language._code(g)) == g for g in ("a", " a", "a b", "𐐀𐐁"))
+
+
 def test_crc_of_pieces(spark):
     rows = packing.pieces(documents(spark, ["hello"]), packing.tokenizer_path(), ["doc_id"]).select("ids", F.crc32("ids").alias("c")).collect()
     assert rows[0]["c"] == zlib.crc32(rows[0]["ids"])
