@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Arrow batches are bounded by bytes, too: ten thousand long rows would fill a worker.
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # State on local disk with changes logged to the checkpoint: large state
     # neither fills the heap nor is written whole with every micro-batch.
