@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-# Calendar units no finer than a day: all days Spark can represent make fewer
-# than four million periods, which one task can order.
-UNITS = ("year", "quarter", "month", "week", "day")
+UNITS = ("year", "quarter", "month", "week", "day", "hour", "minute")
 
 
 def period(ts: str, unit: str) -> Column:
@@ -23,11 +21,18 @@ def by_period(df: DataFrame, ts: str, unit: str, aggs: dict[str, Column]) -> Dat
     return df.groupBy(period(ts, unit).alias("period")).agg(*[a.alias(n) for n, a in aggs.items()])
 
 
-def growth(series: DataFrame, value: str) -> DataFrame:
+def growth(series: DataFrame, value: str, unit: str) -> DataFrame:
     """Add ``previous`` and ``growth`` (relative, null after a zero) to what
-    ``by_period`` returns."""
-    before = F.lag(value).over(Window.orderBy("period"))
-    return series.withColumn("previous", before).withColumn(
+    ``by_period`` returns.
+
+    The previous value is that of the calendar period just before, null where
+    that one does not occur. A join finds it, so no task orders all periods.
+    """
+    if unit not in UNITS:
+        raise ValueError(f"unit must be one of {UNITS}, not {unit!r}")
+    step = F.expr("interval 3 month" if unit == "quarter" else f"interval 1 {unit}")
+    before = series.select((F.col("period") + step).alias("_next"), F.col(value).alias("previous"))
+    return series.join(before, F.col("period") == F.col("_next"), "left").drop("_next").withColumn(
         "growth", F.try_divide(F.col(value) - F.col("previous"), F.col("previous"))
     )
 

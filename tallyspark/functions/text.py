@@ -12,16 +12,26 @@ def clean(value: Column | str) -> Column:
     return F.lower(F.trim(F.regexp_replace(value, r"\s+", " ")))
 
 
+def title(value: Column | str) -> Column:
+    """Cleaned, each word with a capital."""
+    return F.initcap(clean(value))
+
+
 def host(url: Column | str) -> Column:
-    """Host of a URL without port; empty string if there is none."""
+    """Host of a URL without user and port; empty string if there is none.
+
+    What Spark's parser refuses (a blank in the path, say) is read by pattern.
+    """
     url = F.col(url) if isinstance(url, str) else url
-    return F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#:]+)", 1))
+    pattern = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:@\[]+)"
+    return F.lower(F.coalesce(F.try_parse_url(url, F.lit("HOST")), F.regexp_extract(url, pattern, 1)))
 
 
 def url_parameter(url: Column | str, name: str) -> Column:
     """Value of a query parameter; empty string if there is none."""
     url = F.col(url) if isinstance(url, str) else url
-    return F.regexp_extract(url, rf"[?&]{name}=([^&#]*)", 1)
+    query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
+    return F.regexp_extract(query, rf"(?:^|&)\Q{name}\E=([^&]*)", 1)
 
 
 def words(value: Column | str) -> Column:

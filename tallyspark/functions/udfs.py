@@ -8,22 +8,27 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-@F.pandas_udf(T.LongType())
-def digit_sum(values: pd.Series) -> pd.Series:
-    """Sum of the decimal digits of whole numbers."""
-    left = values.abs()
-    out = left * 0
-    while (left > 0).any():
-        out = out + left % 10
-        left = left // 10
-    return out
+@F.arrow_udf(T.LongType())
+def digit_sum(values: pa.Array) -> pa.Array:
+    """Sum of the decimal digits of whole numbers; null stays null.
+
+    The integers never become floats, and unsigned magnitudes hold the
+    smallest long, too.
+    """
+    missing = values.is_null().to_numpy(zero_copy_only=False)
+    left = np.abs(values.cast(pa.int64()).fill_null(0).to_numpy()).astype(np.uint64)
+    out = np.zeros(len(left), np.int64)
+    while left.any():
+        out += (left % 10).astype(np.int64)
+        left //= 10
+    return pa.array(out, pa.int64(), mask=missing)
 
 
 def grouped_partials(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -32,9 +37,12 @@ def grouped_partials(df: DataFrame, keys: Sequence[str], value: str) -> DataFram
     ``mapInArrow`` reduces each Arrow batch, never a whole group, and the
     partial rows are merged by built-in aggregates. The group may have any
     size, unlike with a grouped Pandas function, which holds it in one task.
-    Values are whole numbers, so that merging is exact.
+    Values are whole numbers, so that merging is exact; others are refused.
     """
     keys = list(keys)
+    kind = df.schema[value].dataType
+    if not (isinstance(kind, T.IntegralType) or isinstance(kind, T.DecimalType) and kind.scale == 0):
+        raise TypeError(f"{value} must hold whole numbers, not {kind.simpleString()}")
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys).schema)
     rows = df.select(*keys, F.col(value).cast("long").alias("_value"))
     parts = rows.mapInArrow(batch_partials(keys, "_value"), f"{schema}, n bigint, total bigint, peak bigint")

@@ -41,12 +41,15 @@ def levels(
 
     Rows are first aggregated by all keys, and the few results are rolled up.
     Rolling up the rows themselves would copy every row once per level. The
-    aggregates must therefore add up: sums and counts do as they are, others
-    name the function that merges them (``F.max``, say) in ``merge``; a mean
-    is a sum and a count.
+    aggregates must therefore be mergeable, and ``merge`` names the function
+    for each: ``F.sum`` for sums and counts, ``F.max`` for a maximum; a mean
+    is a sum and a count. As in SQL, a table without rows has a grand total.
     """
     if kind not in ("rollup", "cube", "sets"):
         raise ValueError(f"kind must be rollup, cube or sets, not {kind!r}")
+    merge = merge or {}
+    if set(merge) != set(aggs):
+        raise ValueError(f"merge must name a function for each of {sorted(aggs)}")
     finest = df.groupBy(*keys).agg(*[column.alias(name) for name, column in aggs.items()])
     if kind == "rollup":
         grouped = finest.rollup(*keys)
@@ -54,9 +57,15 @@ def levels(
         grouped = finest.cube(*keys)
     else:
         grouped = finest.groupingSets([[F.col(c) for c in s] for s in sets or []], *keys)
-    merge = merge or {}
-    merged = [merge.get(name, F.sum)(name).alias(name) for name in aggs]
-    return grouped.agg(F.grouping_id().cast("int").alias("level"), *merged)
+    merged = [merge[name](name).alias(name) for name in aggs]
+    found = grouped.agg(F.grouping_id().cast("int").alias("level"), *merged)
+    if kind == "sets" and all(sets or [["none"]]):
+        return found
+    # The grand total of no rows is merged with that of all; only subtotals go through this.
+    nulls = [F.lit(None).cast(finest.schema[k].dataType).alias(k) for k in keys]
+    nothing = df.where(F.lit(False)).agg(*[column.alias(name) for name, column in aggs.items()])
+    nothing = nothing.select(*nulls, F.lit(2 ** len(keys) - 1).alias("level"), *aggs)
+    return found.unionByName(nothing).groupBy(*keys, "level").agg(*merged)
 
 
 def pivot(df: DataFrame, keys: Sequence[str], column: str, values: Sequence[str], agg: Column) -> DataFrame:
@@ -86,8 +95,11 @@ def exact_quantiles(
     the group, so next to nothing is shuffled; a running count over them finds
     the exact ranks. Groups no larger than the sketch keep all their values.
     The built-in exact percentile holds every distinct value of a group in
-    one buffer instead.
+    one buffer instead. Without keys the whole table is one group.
     """
+    if not keys:
+        whole_table = exact_quantiles(df.withColumn("_all", F.lit(0)), ["_all"], column, fractions, limits)
+        return whole_table.drop("_all")
     margin = 4 / SKETCH
     probes = sorted({q for p in fractions.values() for q in (p - margin, p + margin) if 0 < q < 1})
     rows = df.select(*keys, column.alias("_v")).where(F.col("_v").isNotNull())

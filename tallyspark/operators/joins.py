@@ -22,7 +22,6 @@ from tallyspark.operators.ordered import (
     Limits,
     hot_groups,
     join_small,
-    keys_table,
     last_known_scan,
     scan_groups,
 )
@@ -73,7 +72,10 @@ def outer(
     fill: dict | None = None,
     limits: Limits = DEFAULT,
 ) -> DataFrame:
-    """Left, right or full outer join, nulls of unmatched rows filled.
+    """Left, right or full outer join; ``fill`` values stand in for the columns
+    of a side without a match, while nulls of matched rows stay.
+
+    Keys of one name come out as one column, from whichever side is there.
 
     Spark cannot split a hot key on the null-supplying side of an outer join,
     and on neither side of a full one. Keys that are hot there take another
@@ -82,13 +84,18 @@ def outer(
     """
     if how not in ("left", "right", "full"):
         raise ValueError(f"how must be left, right or full, not {how!r}")
+    same = [l for l, r in pairs if l == r]
+    sides = {c: "_in_right" for c in right.columns} | {c: "_in_left" for c in left.columns}
+    left = left.withColumn("_in_left", F.lit(True))
+    right = right.withColumnsRenamed({c: f"_right_{c}" for c in same}).withColumn("_in_right", F.lit(True))
+    pairs = [(l, f"_right_{r}" if r in same and l == r else r) for l, r in pairs]
     l_keys, r_keys = [p[0] for p in pairs], [p[1] for p in pairs]
     unsplit = {"left": [(right, r_keys)], "right": [(left, l_keys)], "full": [(right, r_keys), (left, l_keys)]}[how]
     tables = []
     for side, keys in unsplit:
         found = hot_groups(side, keys, limits)
-        if found:
-            tables.append(keys_table(side, keys, [row[:-1] for row in found]).toDF(*l_keys))
+        if found is not None:
+            tables.append(found.select(*keys).toDF(*l_keys))
     if not tables:
         whole = left.join(right, _on(pairs), how)
     else:
@@ -101,9 +108,9 @@ def outer(
             join_small(left, l_hot, l_keys, "left_semi"), join_small(right, r_hot, r_keys, "left_semi"), pairs, how
         )
         whole = cold.unionByName(hot)
-    if fill:
-        whole = whole.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fill.items()})
-    return whole
+    whole = whole.withColumns({c: F.coalesce(c, f"_right_{c}") for c in same})
+    filled = {c: F.when(F.col(sides[c]).isNull(), F.lit(v)).otherwise(F.col(c)) for c, v in (fill or {}).items()}
+    return whole.withColumns(filled).drop("_in_left", "_in_right", *[f"_right_{c}" for c in same])
 
 
 def _outer_by_parts(left: DataFrame, right: DataFrame, pairs: Pairs, how: str) -> DataFrame:
@@ -119,22 +126,34 @@ def _outer_by_parts(left: DataFrame, right: DataFrame, pairs: Pairs, how: str) -
 
 
 def within(
-    left: DataFrame, right: DataFrame, on: tuple[str, str], times: tuple[str, str], seconds: int
+    left: DataFrame,
+    right: DataFrame,
+    on: tuple[str, str] | Pairs,
+    times: tuple[str, str],
+    seconds: int,
+    least: int = 0,
 ) -> DataFrame:
-    """Inner join: equal key, and the right time 0 to ``seconds`` before the left.
+    """Inner join: equal keys, and the right time ``least`` to ``seconds``
+    before the left (negative: after it). ``on`` is one pair of keys or several.
 
     Both sides get a time bucket as wide as the interval, and right rows go to
     their own bucket and the next. That turns the range into an equi join on
-    (key, bucket) with a residual test, so only neighbours in time meet.
+    (keys, bucket) with a residual test, so only neighbours in time meet.
     """
-    width = seconds * 1_000_000
+    if seconds < least:
+        raise ValueError(f"an interval from {least} to {seconds} seconds is empty")
+    pairs = [on] if isinstance(on[0], str) else list(on)
+    span = (seconds - least) * 1_000_000
+    width = max(span, 1)
     l_ts, r_ts = times
-    l = left.withColumn("_l_at", micros(l_ts)).withColumn("_l_cell", F.expr(f"floor(_l_at / {width}D)").cast("long"))
+    cell = "(({0} - pmod({0}, {1}L)) div {1}L)"
+    # The left time moved back by the least distance is the latest that may match.
+    l = left.withColumn("_l_at", micros(l_ts) - F.lit(least * 1_000_000)).withColumn("_l_cell", F.expr(cell.format("_l_at", width)))
     r = right.withColumn("_r_at", micros(r_ts))
-    r = r.withColumn("_r_first", F.expr(f"floor(_r_at / {width}D)").cast("long"))
+    r = r.withColumn("_r_first", F.expr(cell.format("_r_at", width)))
     r = r.withColumn("_r_cell", F.explode(F.array(F.col("_r_first"), F.col("_r_first") + 1)))
     gap = F.col("_l_at") - F.col("_r_at")
-    joined = l.join(r, _on([on, ("_l_cell", "_r_cell")]) & (gap >= 0) & (gap <= width))
+    joined = l.join(r, _on([*pairs, ("_l_cell", "_r_cell")]) & (gap >= 0) & (gap <= span))
     return joined.drop("_l_at", "_l_cell", "_r_at", "_r_first", "_r_cell")
 
 

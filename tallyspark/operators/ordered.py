@@ -29,14 +29,12 @@ from tallyspark.session import pinned
 class Limits:
     """When a group counts as hot.
 
-    Groups above ``rows_per_task`` are cut, the largest ``hot_groups`` of them.
-    A group that is missed, by that limit or by the sample, goes through the
-    plain window: slower, never wrong.
+    Every group above ``rows_per_task`` is cut, into as many slices as its rows
+    need. One that the sample misses goes through the plain window: slower,
+    never wrong.
     """
 
     rows_per_task: int = 5_000_000
-    hot_groups: int = 1_000
-    max_slices: int = 20_000
     # A hot group shows up in the sample with at least this many rows.
     sample_hits: int = 10_000
 
@@ -122,17 +120,21 @@ def first_scan(value: Column) -> Scan:
 
 
 def join_small(df: DataFrame, small: DataFrame, columns: Sequence[str], how: str) -> DataFrame:
-    """Join on equal columns, null equal to null, with a side of bounded size."""
+    """Join on equal columns, null equal to null, with a side that has few rows.
+
+    Spark broadcasts it if its size allows.
+    """
     renamed = small.withColumnsRenamed({c: f"_key_{c}" for c in columns})
     on = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in columns])
-    return df.join(F.broadcast(renamed), on, how).drop(*[f"_key_{c}" for c in columns])
+    return df.join(renamed, on, how).drop(*[f"_key_{c}" for c in columns])
 
 
-def hot_groups(df: DataFrame, by: Sequence[str], limits: Limits) -> list[tuple]:
-    """(key.., rows) of the groups above the limit, at most ``hot_groups``.
+def hot_groups(df: DataFrame, by: Sequence[str], limits: Limits) -> DataFrame | None:
+    """(key.., _n) of the groups above the limit as a written table; None if there are none.
 
     One scan of the key columns. Only a sample is counted (all rows where the
-    limit is small), combined per task before the shuffle.
+    limit is small), combined per task before the shuffle. However many keys
+    are found, they stay off the driver.
     """
     keys = df.select(*by)
     if limits.fraction < 1:
@@ -141,25 +143,18 @@ def hot_groups(df: DataFrame, by: Sequence[str], limits: Limits) -> list[tuple]:
         keys.groupBy(*by)
         .agg((F.count(F.lit(1)) / limits.fraction).cast("long").alias("_n"))
         .where(F.col("_n") > limits.rows_per_task)
-        .orderBy(F.desc("_n"))
-        .limit(limits.hot_groups)
     )
-    return [tuple(row) for row in found.collect()]
-
-
-def keys_table(df: DataFrame, by: Sequence[str], keys: Sequence[tuple]) -> DataFrame:
-    """Found keys as a table, each once. It has no more rows than the limits
-    allow, so broadcasting it is safe whatever the data."""
-    return df.sparkSession.createDataFrame(sorted(set(keys), key=repr), df.select(*by).schema)
+    found = pinned(found, "hot-keys")
+    return None if found.isEmpty() else found
 
 
 def split_hot(df: DataFrame, by: Sequence[str], limits: Limits) -> tuple[DataFrame, DataFrame | None, int]:
     """(ordinary rows, hot rows or None, number of slices for the hot rows)."""
     found = hot_groups(df, by, limits)
-    if not found:
+    if found is None:
         return df, None, 0
-    keys = keys_table(df, by, [row[:-1] for row in found])
-    slices = min(limits.max_slices, math.ceil(sum(row[-1] for row in found) / limits.rows_per_task))
+    keys = found.select(*by)
+    slices = math.ceil(found.agg(F.sum("_n")).first()[0] / limits.rows_per_task)
     return join_small(df, keys, by, "left_anti"), join_small(df, keys, by, "left_semi"), slices
 
 

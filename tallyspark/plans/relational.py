@@ -430,7 +430,7 @@ def _levels(spark: SparkSession, sf: str, kind: str, chosen=None) -> DataFrame:
         kind,
         {"n_orders": F.count(F.lit(1)), "total": F.sum(cents("o_totalprice")), "dearest": F.max("o_totalprice")},
         chosen,
-        {"dearest": F.max},
+        {"n_orders": F.sum, "total": F.sum, "dearest": F.max},
     )
     return found.withColumn("total", amount("total"))
 

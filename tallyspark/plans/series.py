@@ -180,7 +180,7 @@ def monthly_orders(spark: SparkSession, sf: str) -> DataFrame:
         "month",
         {"n_orders": F.count(F.lit(1)), "total": total(cents("o_totalprice"))},
     )
-    return calendar.growth(months, "total").withColumn("growth", F.round("growth", 8))
+    return calendar.growth(months, "total", "month").withColumn("growth", F.round("growth", 8))
 
 
 @query(

@@ -12,7 +12,6 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tallyspark.functions.udfs import batch_partials
 
 
-
 def running_state(stream: DataFrame, key: str, value: Column) -> DataFrame:
     """(key, version, n, total, peak) after every micro-batch that touched the
     key: count, sum and maximum of its values so far, nulls left out.
@@ -22,6 +21,7 @@ def running_state(stream: DataFrame, key: str, value: Column) -> DataFrame:
     and not as the rows themselves. Values are whole numbers (cents, say), so
     sums are exact in any order.
     """
+    kind = stream.schema[key].dataType.simpleString()
     rows = stream.select(F.col(key).alias("key"), value.cast("long").alias("value")).where(F.col("value").isNotNull())
 
     def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -34,10 +34,10 @@ def running_state(stream: DataFrame, key: str, value: Column) -> DataFrame:
         state.update((version + 1, n, total, peak))
         yield pd.DataFrame({"key": [group[0]], "version": [version + 1], "n": [n], "total": [total], "peak": [peak]})
 
-    reduced = rows.mapInArrow(batch_partials(["key"], "value"), "key bigint, n bigint, total bigint, peak bigint")
+    reduced = rows.mapInArrow(batch_partials(["key"], "value"), f"key {kind}, n bigint, total bigint, peak bigint")
     return reduced.groupBy("key").applyInPandasWithState(
         step,
-        "key bigint, version bigint, n bigint, total bigint, peak bigint",
+        f"key {kind}, version bigint, n bigint, total bigint, peak bigint",
         "version bigint, n bigint, total bigint, peak bigint",
         "append",
         GroupStateTimeout.NoTimeout,

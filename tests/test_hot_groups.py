@@ -43,7 +43,7 @@ def agree(make, spark):
 
 
 def test_hot_keys_are_found(skewed):
-    found = {row[0] for row in ordered.hot_groups(skewed, ["user_id"], TIGHT)}
+    found = {row[0] for row in ordered.hot_groups(skewed, ["user_id"], TIGHT).collect()}
     assert found == {7, None}
 
 
@@ -57,7 +57,7 @@ def test_the_hot_key_is_spread(skewed):
 def test_a_sample_finds_them_too(skewed):
     limits = Limits(rows_per_task=100, sample_hits=50)
     assert limits.fraction == 0.5
-    assert {row[0] for row in ordered.hot_groups(skewed, ["user_id"], limits)} == {7, None}
+    assert {row[0] for row in ordered.hot_groups(skewed, ["user_id"], limits).collect()} == {7, None}
 
 
 def test_change(spark, skewed):
