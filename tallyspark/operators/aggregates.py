@@ -50,7 +50,15 @@ def levels(
     merge = merge or {}
     if set(merge) != set(aggs):
         raise ValueError(f"merge must name a function for each of {sorted(aggs)}")
-    finest = df.groupBy(*keys).agg(*[column.alias(name) for name, column in aggs.items()])
+    made = [column.alias(name) for name, column in aggs.items()]
+    finest = df.groupBy(*keys).agg(*made)
+    total = kind != "sets" or any(not s for s in sets or [])
+    if total:
+        # What the aggregates are over no rows joins the grand total; alone in a subtotal it goes.
+        nothing = df.where(F.lit(False)).agg(*made).first().asDict()
+        blank = [F.lit(nothing.get(f.name)).cast(f.dataType).alias(f.name) for f in finest.schema]
+        one = df.sparkSession.range(0, 1, 1, 1).select(*blank, F.lit(True).alias("_blank"))
+        finest = finest.withColumn("_blank", F.lit(False)).unionByName(one)
     if kind == "rollup":
         grouped = finest.rollup(*keys)
     elif kind == "cube":
@@ -58,14 +66,11 @@ def levels(
     else:
         grouped = finest.groupingSets([[F.col(c) for c in s] for s in sets or []], *keys)
     merged = [merge[name](name).alias(name) for name in aggs]
-    found = grouped.agg(F.grouping_id().cast("int").alias("level"), *merged)
-    if kind == "sets" and all(sets or [["none"]]):
-        return found
-    # The grand total of no rows is merged with that of all; only subtotals go through this.
-    nulls = [F.lit(None).cast(finest.schema[k].dataType).alias(k) for k in keys]
-    nothing = df.where(F.lit(False)).agg(*[column.alias(name) for name, column in aggs.items()])
-    nothing = nothing.select(*nulls, F.lit(2 ** len(keys) - 1).alias("level"), *aggs)
-    return found.unionByName(nothing).groupBy(*keys, "level").agg(*merged)
+    level = F.grouping_id().cast("int").alias("level")
+    if not total:
+        return grouped.agg(level, *merged)
+    found = grouped.agg(level, *merged, F.min("_blank").alias("_blank"))
+    return found.where((F.col("level") == 2 ** len(keys) - 1) | ~F.col("_blank")).drop("_blank")
 
 
 def pivot(df: DataFrame, keys: Sequence[str], column: str, values: Sequence[str], agg: Column) -> DataFrame:
