@@ -173,16 +173,18 @@ def _verifier(share: int):
 
 
 def _table_keys(nodes: DataFrame) -> DataFrame:
-    """(key, node) for the buckets with two nodes or more."""
+    """(key, slot, node) for the buckets with two nodes or more; the slot numbers the table."""
     firsts = nodes.select("node", "right_keys", F.posexplode("left_keys").alias("i", "left"))
     # A node stays with those of its first keys that another node has, too.
     met = firsts.groupBy("i", "left").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("i", "left")
     shared = firsts.select("node", "i", "left").join(met, ["i", "left"]).join(nodes.select("node", "right_keys"), "node")
-    pairs = shared.select("node", "i", "left", F.posexplode("right_keys").alias("j", "right"))
-    keyed = pinned(pairs.select(F.xxhash64("i", "left", "j", "right").alias("key"), "node"), "table-keys")
-    # Buckets of the same nodes are alike; one of them is enough.
+    pairs = shared.select("node", "i", "left", F.size("right_keys").alias("m"), F.posexplode("right_keys").alias("j", "right"))
+    slot = (F.col("i") * F.col("m") + F.col("j")).alias("slot")
+    keyed = pinned(pairs.select(F.xxhash64("i", "left", "j", "right").alias("key"), slot, "node"), "table-keys")
+    # Buckets of the same nodes are alike; the one of the first table is enough.
     alike = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x")]
-    full = keyed.groupBy("key").agg(*alike).where("n > 1").groupBy("n", "s", "x").agg(F.min("key").alias("key"))
+    full = keyed.groupBy("key").agg(F.min("slot").alias("slot"), *alike).where("n > 1")
+    full = full.groupBy("n", "s", "x").agg(F.min_by("key", F.struct("slot", "key")).alias("key"))
     return keyed.join(full.select("key"), "key")
 
 
@@ -236,8 +238,8 @@ def _merge(groups: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _open(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """(key, node, group) of the buckets that hold two groups or more."""
-    known = rows.select("key", "node").join(groups, "node")
+    """(key, slot, node, group) of the buckets that hold two groups or more."""
+    known = rows.select("key", "slot", "node").join(groups, "node")
     split = known.groupBy("key").agg(F.min("group").alias("a"), F.max("group").alias("b")).where("a <> b").select("key")
     return pinned(known.join(split, "key"), "open-buckets")
 
@@ -266,21 +268,33 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rest(rows: DataFrame, nodes: DataFrame, sets: DataFrame, share: int) -> DataFrame:
-    """(u, v): the pairs of open buckets that may be linked and aren't connected."""
+    """(u, v): the pairs of open buckets that may be linked and aren't connected.
+
+    Close nodes meet in many tables; a pair is made in the first of them only.
+    That bucket is there: of alike buckets the first table's stays, and one
+    that isn't open has both nodes in one group.
+    """
     members = rows.select("node").distinct()
     tokens = sets.join(members, "node", "left_semi").mapInArrow(_tokens, "node long, token long")
     lone = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
     lone = lone.groupBy("node").agg(F.count(F.lit(1)).alias("lone"))
-    facts = members.join(nodes.select("node", "n_shingles"), "node").join(lone, "node", "left")
-    facts = facts.select("node", F.col("n_shingles").alias("n"), (F.col("n_shingles") - F.coalesce("lone", F.lit(0))).alias("common"))
+    known = nodes.select("node", "n_shingles", "left_keys", "right_keys")
+    facts = members.join(known, "node").join(lone, "node", "left")
+    common = (F.col("n_shingles") - F.coalesce("lone", F.lit(0))).alias("common")
+    facts = facts.select("node", F.col("n_shingles").alias("n"), common, "left_keys", "right_keys")
     # The intersection has common shingles only.
     able = pinned(facts.where(100 * F.col("common") >= share * F.col("n")), "able")
     a = rows.join(able, "node").alias("a")
     b = rows.join(able, "node").alias("b")
     most = F.least("a.common", "b.common")
+
+    def first(keys: str) -> Column:
+        return F.array_position(F.zip_with(f"a.{keys}", f"b.{keys}", lambda x, y: x == y), True) - 1
+
     near = (
         (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.group") != F.col("b.group"))
         & (100 * most >= share * (F.col("a.n") + F.col("b.n") - most))
+        & (F.col("a.slot") == first("left_keys") * F.size("a.right_keys") + first("right_keys"))
     )
     return a.join(b, near).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
 
