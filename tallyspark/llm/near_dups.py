@@ -13,8 +13,8 @@ nodes of its buckets agree on, verified on the full sets, and links join nodes
 to components; copies of one text thus find each other without pairs. Only
 buckets with two components or more stay open. For these, all pairs that are
 left are verified: those of different components that the exact bounds on the
-intersection (by set size, and by shingles that no other open node has) do not
-rule out. So every pair of a bucket has been verified, is ruled out, or is
+intersection (by set size, by shingles that no other open node has, and by bits
+that the other's sketch lacks) do not rule out. So every pair of a bucket has been verified, is ruled out, or is
 connected already: no bucket is capped. Table keys are made in two steps, first
 by the first collection; only nodes that meet another there get their pairs.
 
@@ -142,6 +142,17 @@ def signed(docs: DataFrame, keep: Sequence[str], tables: Tables = Tables()) -> D
     return rows.mapInArrow(_signer(tables), schema)
 
 
+def sketch(found: np.ndarray) -> np.ndarray:
+    """The set's hashes as bits, some eight for each up to 16,384, in whole longs.
+
+    A bit of one set that another lacks stands for one shingle at least that the other lacks.
+    """
+    bits = 1 << min(14, max(9, (8 * len(found) - 1).bit_length()))
+    mask = np.zeros(bits, bool)
+    mask[(found & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(mask, bitorder="little").view(np.int64)
+
+
 def _sets(tables: Tables):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,8 +160,12 @@ def _sets(tables: Tables):
                 found = [shingles(t, tables.words) for t in batch.column(0).slice(at, 256).to_pylist()]
                 found = [f for f in found if len(f)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([xxhash.xxh3_128_digest(f.tobytes()) for f in found], pa.binary()), pa.array([f.tobytes() for f in found], pa.binary())],
-                    ["digest", "shingles"],
+                    [
+                        pa.array([xxhash.xxh3_128_digest(f.tobytes()) for f in found], pa.binary()),
+                        pa.array([f.tobytes() for f in found], pa.binary()),
+                        pa.array([sketch(f) for f in found], pa.list_(pa.int64())),
+                    ],
+                    ["digest", "shingles", "sketch"],
                 )
 
     return make
@@ -208,9 +223,9 @@ class _Linker:
         wanted = members.select("node").distinct().join(self.nodes.select("node", "doc_id", "digest"), "node")
         ids = wanted.select("doc_id").distinct()
         texts = self.docs.alias("l").join(ids.alias("r"), F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")), "left_semi").select("text")
-        made = texts.mapInArrow(_sets(self.tables), "digest binary, shingles binary")
+        made = texts.mapInArrow(_sets(self.tables), "digest binary, shingles binary, sketch array<long>")
         # An id may stand for several texts, and a set for several ids of equal digests.
-        found = made.join(wanted.select("node", "digest"), "digest").dropDuplicates(["node"]).select("node", "shingles")
+        found = made.join(wanted.select("node", "digest"), "digest").dropDuplicates(["node"]).select("node", "shingles", "sketch")
         self.sets = pinned(found, "sets")
 
     def links(self, pairs: DataFrame) -> DataFrame:
@@ -267,6 +282,21 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(np.concatenate(found))], ["node", "token"])
 
 
+def _missing(a: Column, b: Column) -> Column:
+    """At least so many shingles of the first sketch's set are not in the second's.
+
+    The longer sketch is folded once; 0 is said of lengths that differ by more.
+    """
+    length = F.least(F.size(a), F.size(b))
+
+    def folded(s: Column) -> Column:
+        halves = F.zip_with(F.slice(s, 1, length), F.slice(s, length + 1, length), lambda x, y: x.bitwiseOR(y))
+        return F.when(F.size(s) == length, s).otherwise(halves)
+
+    bits = F.zip_with(folded(a), folded(b), lambda x, y: F.bit_count(x.bitwiseAND(F.bitwise_not(y))))
+    return F.when(F.greatest(F.size(a), F.size(b)) <= 2 * length, F.aggregate(bits, F.lit(0), lambda n, x: n + x)).otherwise(0)
+
+
 def _rest(rows: DataFrame, nodes: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     """(u, v): the pairs of open buckets that may be linked and aren't connected.
 
@@ -275,18 +305,21 @@ def _rest(rows: DataFrame, nodes: DataFrame, sets: DataFrame, share: int) -> Dat
     that isn't open has both nodes in one group.
     """
     members = rows.select("node").distinct()
-    tokens = sets.join(members, "node", "left_semi").mapInArrow(_tokens, "node long, token long")
+    tokens = sets.select("node", "shingles").join(members, "node", "left_semi").mapInArrow(_tokens, "node long, token long")
     lone = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
     lone = lone.groupBy("node").agg(F.count(F.lit(1)).alias("lone"))
     known = nodes.select("node", "n_shingles", "left_keys", "right_keys")
-    facts = members.join(known, "node").join(lone, "node", "left")
+    facts = members.join(known, "node").join(sets.select("node", "sketch"), "node").join(lone, "node", "left")
     common = (F.col("n_shingles") - F.coalesce("lone", F.lit(0))).alias("common")
-    facts = facts.select("node", F.col("n_shingles").alias("n"), common, "left_keys", "right_keys")
+    facts = facts.select("node", F.col("n_shingles").alias("n"), common, "left_keys", "right_keys", "sketch")
     # The intersection has common shingles only.
     able = pinned(facts.where(100 * F.col("common") >= share * F.col("n")), "able")
     a = rows.join(able, "node").alias("a")
     b = rows.join(able, "node").alias("b")
     most = F.least("a.common", "b.common")
+    # Solved for the intersection: what is dear to compute must stand once, or Spark computes it first for all.
+    least = share * (F.col("a.n") + F.col("b.n"))
+    a_not_b, b_not_a = (_missing(F.col(f"{x}.sketch"), F.col(f"{y}.sketch")) for x, y in ("ab", "ba"))
 
     def first(keys: str) -> Column:
         return F.array_position(F.zip_with(f"a.{keys}", f"b.{keys}", lambda x, y: x == y), True) - 1
@@ -295,6 +328,8 @@ def _rest(rows: DataFrame, nodes: DataFrame, sets: DataFrame, share: int) -> Dat
         (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.group") != F.col("b.group"))
         & (100 * most >= share * (F.col("a.n") + F.col("b.n") - most))
         & (F.col("a.slot") == first("left_keys") * F.size("a.right_keys") + first("right_keys"))
+        & ((100 + share) * (F.col("a.n") - a_not_b) >= least)
+        & ((100 + share) * (F.col("b.n") - b_not_a) >= least)
     )
     return a.join(b, near).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
 
