@@ -245,6 +245,19 @@ def test_one_group_of_many_near_copies(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == dict(enumerate(label))
 
 
+@pytest.mark.parametrize("sizes", [(1, 1), (60, 70), (64, 65), (300, 400), (3000, 2500), (4, 900)])
+def test_sketches_never_miss_less_than_they_say(spark, sizes):
+    rng = np.random.default_rng(sum(sizes))
+    shared = rng.integers(0, 1 << 63, min(sizes) * 4 // 5).astype(np.uint64)
+    sets = [np.unique(np.concatenate([shared, rng.integers(0, 1 << 63, n - len(shared)).astype(np.uint64)])) for n in sizes]
+    rows = spark.createDataFrame([tuple(near_dups.sketch(s).tolist() for s in sets)], "a array<long>, b array<long>")
+    said = rows.select(near_dups._missing(F.col("a"), F.col("b")), near_dups._missing(F.col("b"), F.col("a"))).first()
+    lacking = [len(np.setdiff1d(sets[0], sets[1])), len(np.setdiff1d(sets[1], sets[0]))]
+    assert all(0 <= s <= n for s, n in zip(said, lacking))
+    if sizes == (300, 400):
+        assert all(s >= 0.7 * n for s, n in zip(said, lacking))  # and they say something
+
+
 def test_near_duplicates_of_odd_rows(odd, none):
     got = near_dups.near_duplicates(odd).collect()
     assert len(got) == len(ODD) and {r["component_id"] for r in got if r["doc_id"] in (3, 7, None)} == {3}
