@@ -8,7 +8,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.exact import micros
-from tallyspark.operators.ordered import DEFAULT, Limits, Scan, min_scan, over_groups, scan_slices, split_hot
+from tallyspark.operators.ordered import (
+    DEFAULT,
+    Limits,
+    Scan,
+    cut,
+    min_scan,
+    over_groups,
+    previous_scan,
+    scan_slices,
+    split_hot,
+    sum_scan,
+)
 
 
 def sessions(
@@ -20,12 +31,12 @@ def sessions(
 
     The events of an ordinary key are chained one by one. Those of a hot key
     are first reduced to time cells one gap wide: two events of one cell are
-    always in one session, so only the cells need chaining, and there are at
-    most (time span / gap) of them however many events the key has.
+    always in one session, so only the cells need chaining. A short gap leaves
+    almost as many cells as events; they are chained in slices.
     """
     gap = gap_seconds * 1_000_000
     events = df.where(F.col(ts).isNotNull()).select(by, F.col(ts).alias("_ts"), value.alias("_v"))
-    cold, hot, _ = split_hot(events, [by], limits)
+    cold, hot, slices = split_hot(events, [by], limits)
     runs = cold.select(by, F.col("_ts").alias("_from"), F.col("_ts").alias("_to"), F.lit(1).cast("long").alias("_n"), "_v")
     done = _chained(runs, by, gap)
     if hot is None:
@@ -34,16 +45,33 @@ def sessions(
     cells = hot.groupBy(by, cell).agg(
         F.min("_ts").alias("_from"), F.max("_ts").alias("_to"), F.count(F.lit(1)).alias("_n"), F.sum("_v").alias("_v")
     )
-    extra = _chained(cells, by, gap)
+    extra = _chained_in_slices(cells, by, gap, slices)
     return done.unionByName(extra.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in done.schema]))
 
 
 def _chained(runs: DataFrame, by: str, gap: int) -> DataFrame:
     """Sessions from runs of events that do not overlap: (by, _from, _to, _n, _v)."""
     in_time = Window.partitionBy(by).orderBy("_from").rowsBetween(Window.unboundedPreceding, 0)
-    quiet = micros("_from") - micros(F.lag("_to").over(Window.partitionBy(by).orderBy("_from")))
-    opened = runs.withColumn("_new", (F.coalesce(quiet, F.lit(gap + 1)) > gap).cast("int"))
-    numbered = opened.withColumn("_no", F.sum("_new").over(in_time))
+    before = F.lag("_to").over(Window.partitionBy(by).orderBy("_from"))
+    opened = runs.withColumn("_new", _opens(before, gap))
+    return _added_up(opened.withColumn("_no", F.sum("_new").over(in_time)), by)
+
+
+def _chained_in_slices(runs: DataFrame, by: str, gap: int, slices: int) -> DataFrame:
+    """The same for keys with too many runs for one task."""
+    order = [F.asc("_from")]
+    sliced = cut(runs, [by], order, slices)
+    known = scan_slices(sliced, [by], order, {"_before": previous_scan(F.col("_to"))})
+    opened = known.withColumn("_new", _opens(F.col("_before"), gap)).drop("_before")
+    return _added_up(scan_slices(opened, [by], order, {"_no": sum_scan(F.col("_new"))}), by)
+
+
+def _opens(before: Column, gap: int) -> Column:
+    """1 for a run that opens a session: the first of its key, or one after a longer silence."""
+    return (F.coalesce(micros("_from") - micros(before), F.lit(gap + 1)) > gap).cast("int")
+
+
+def _added_up(numbered: DataFrame, by: str) -> DataFrame:
     return (
         numbered.groupBy(by, "_no")
         .agg(

@@ -167,6 +167,21 @@ def test_sessions(spark, skewed):
     agree(lambda lim: sessions.sessions(skewed, "user_id", "ts", 1200, cents("value"), lim), spark)
 
 
+def test_sessions_of_a_gap_shorter_than_the_silences(spark, monkeypatch):
+    """One user, an event each ten seconds, a gap of one: every cell is a session."""
+    events = spark.range(600).select(
+        F.lit(1).alias("user_id"), F.timestamp_seconds(F.col("id") * 10).cast("timestamp_ntz").alias("ts"), F.lit(2).alias("v")
+    )
+    whole = []
+    monkeypatch.setattr(sessions, "_chained", lambda runs, by, gap, f=sessions._chained: whole.append(runs.count()) or f(runs, by, gap))
+    got = sessions.sessions(events, "user_id", "ts", 1, F.col("v"), TIGHT)
+    assert whole == [0]  # no hot key goes through one window
+    assert got.count() == 600
+    assert got.agg(F.sum("events"), F.sum("total"), F.max("events")).first() == (600, 1200, 1)
+    far = sessions.sessions(events, "user_id", "ts", 10, F.col("v"), TIGHT).collect()
+    assert [(r.events, r.total) for r in far] == [(600, 1200)]
+
+
 def test_funnel(spark, skewed):
     steps = ["view", "click", "purchase", "error"]
     agree(lambda lim: sessions.funnel(skewed, "user_id", "ts", "event_type", steps, lim), spark)
