@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,6 +29,10 @@ RUNTIME_CONF = {
 }
 
 
+# Folders made for local sessions without one, by application.
+_OWN_ROOTS: dict[str, str] = {}
+
+
 def build_session(master: str, shuffle_partitions: int, **conf: str) -> SparkSession:
     """A session for tests and benchmarks on one machine."""
     builder = (
@@ -52,18 +57,19 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it.
 
-    Only a local session may fall back to a folder of its own.
+    Only a session of one process may fall back to a folder of its own. The
+    session's checkpoint folder is read, never set.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="tallyspark-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root
+    # "local", "local[8]", "local[8,2]": one process; local-cluster has executors of its own.
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_ROOTS:
+        _OWN_ROOTS[app] = tempfile.mkdtemp(prefix="tallyspark-")
+    return _OWN_ROOTS[app]
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
