@@ -13,7 +13,8 @@ def run_available(stream: DataFrame, out: str, checkpoint: str) -> list:
     The trigger still works in micro-batches. Progress and state live in
     ``checkpoint``: after a failure, or when more input has come, the same
     call goes on where the last one stopped, and the file sink drops a batch
-    it already holds. Returns the progress reports of the batches.
+    it already holds. Returns the progress reports of the latest batches: Spark
+    keeps ``spark.sql.streaming.numRecentProgressUpdates`` of them, 100 by default.
     """
     query = (
         stream.writeStream.format("parquet")
