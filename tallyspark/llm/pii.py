@@ -13,6 +13,12 @@ security numbers, IPv4 addresses, dates, and the values of passwords, tokens
 and keys. What fails its validation is left alone, and so is the rest of the
 text.
 
+Telephone numbers are any ten digits after +1, parted by a blank, dot or dash or
+not at all, with or without brackets about the first three; the same without +1
+where brackets or dots and dashes part them, as blanks alone or nothing would
+take any number; and 8 to 15 digits after another country's code. Numbers whose
+area code and exchange begin with 2 to 9 are a format of their own.
+
 Nulls: a null text stays null and has nothing replaced. Empty texts stay. Rows
 are independent of each other, so repeated rows get the same answer.
 """
@@ -142,15 +148,34 @@ def _iban(text: str, permute: Permute) -> str | None:
     return "".join(c if c == " " else next(it) for c in text)
 
 
+def _ranked_national(digits: str) -> tuple[str, int, int]:
+    """(kind, how many, rank) of ten digits: area code and exchange both begin with 2 to 9, or they don't."""
+    area, office, line = int(digits[:3]), int(digits[3:6]), int(digits[6:])
+    if area >= 200 and office >= 200:
+        return "phone", 800 * 800 * 10_000, ((area - 200) * 800 + office - 200) * 10_000 + line
+    # First those of the area codes below 200, with any exchange, then the exchanges below 200.
+    place = area * 1000 + office if area < 200 else 200 * 1000 + (area - 200) * 200 + office
+    return "phone/01", (200 * 1000 + 800 * 200) * 10_000, place * 10_000 + line
+
+
+def _unranked_national(kind: str, n: int, x: int, permute: Permute) -> str:
+    place, line = divmod(permute(kind, n, x), 10_000)
+    if kind == "phone":
+        area, office = place // 800 + 200, place % 800 + 200
+    elif place < 200 * 1000:
+        area, office = divmod(place, 1000)
+    else:
+        area, office = (place - 200 * 1000) // 200 + 200, (place - 200 * 1000) % 200
+    return f"{area:03d}{office:03d}{line:04d}"
+
+
 def _phone(text: str, permute: Permute) -> str | None:
     digits = _only_digits(text)
     national = digits[1:] if len(digits) == 11 and digits[0] == "1" else digits
     if not text.startswith("+") or digits[0] == "1":
-        if len(national) != 10 or national[0] in "01" or national[3] in "01":
+        if len(national) != 10:
             return None
-        area, office, line = int(national[:3]) - 200, int(national[3:6]) - 200, int(national[6:])
-        x = permute("phone", 800 * 800 * 10_000, (area * 800 + office) * 10_000 + line)
-        new = f"{x // 8_000_000 + 200}{x // 10_000 % 800 + 200}{x % 10_000:04d}"
+        new = _unranked_national(*_ranked_national(national), permute)
         return _into(text, digits[: len(digits) - 10] + new)
     if not 8 <= len(digits) <= 15:
         return None
@@ -247,7 +272,7 @@ _FINDERS: list[tuple[str, str, re.Pattern, Callable[[str, Permute], str | None]]
     ("ip", ".", re.compile(r"(?<![0-9A-Za-z.])(?P<v>[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3})(?![0-9A-Za-z]|\.[0-9])"), _ip),
     ("date", "-/.", re.compile(r"(?<![0-9A-Za-z./\-])(?P<v>[0-9]{4}([-/.])[0-9]{2}\2[0-9]{2}|[0-9]{2}([/.])[0-9]{2}\3[0-9]{4})(?![0-9A-Za-z]|[./\-][0-9])"), _date),
     ("ssn", "-", re.compile(r"(?<![0-9A-Za-z\-])(?P<v>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9A-Za-z]|-[0-9])"), _ssn),
-    ("phone", "+()-.", re.compile(r"(?<![0-9A-Za-z+])(?P<v>(?:\+?1[ .\-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[.\-])[2-9][0-9]{2}[.\-][0-9]{4})" + _END), _phone),
+    ("phone", "+()-.", re.compile(r"(?<![0-9A-Za-z+])(?P<v>\+1[ .\-]?(?:\([0-9]{3}\)|[0-9]{3})[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}|(?:1[ .\-]?)?(?:\([0-9]{3}\)[ .\-]?[0-9]{3}[ .\-]?|[0-9]{3}[.\-][0-9]{3}[.\-])[0-9]{4})" + _END), _phone),
     ("phone", "+", re.compile(r"(?<![0-9A-Za-z+])(?P<v>\+[2-9][0-9](?:[ .\-]?\(?[0-9]{2,4}\)?){2,5})" + _END), _phone),
     ("card", "", re.compile(_EDGE + r"(?P<v>[0-9]{13,19}|[0-9]{4}([ \-])[0-9]{4}\2[0-9]{4}\2[0-9]{1,7}|[0-9]{4}([ \-])[0-9]{6}\3[0-9]{5})" + _END), _card),
 ]

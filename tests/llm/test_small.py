@@ -69,6 +69,44 @@ def test_pseudonyms_leave_the_rest_alone():
         assert pii.pseudonymised(text, f) == (text, [])
 
 
+PHONES = [
+    "+1 (017) 555-7713", "+1 (988) 155-2485", "+14155552671", "+1 415 555 2671", "(415) 555 2671", "+1.017.555.7713", "+1-199-000-0000",
+    "(012) 055-7713", "012-555-7713", "1-123-555-2671", "(415)5552671", "+1(415)-555-2671", "+1 (999) 199-9999", "+1 000 000 0000",
+]
+
+
+@pytest.mark.parametrize("value", PHONES)
+def test_every_telephone_number_is_found(value):
+    f = pii.Feistel(b"k")
+    text = f"call {value}, or not"
+    new, spans = pii.pseudonymised(text, f)
+    assert [k for _, _, k in spans] == ["phone"] and value not in new
+    (s, e, _), = spans
+    assert re.sub("[0-9]", "9", new[s:e]) == re.sub("[0-9]", "9", value)
+    assert pii.pseudonymised(new, f, back=True)[0] == text
+    # One number, one pseudonym, whatever parts its digits.
+    digits = lambda t: re.sub("[^0-9]", "", t)[-10:]
+    assert digits(pii.pseudonymised(f"+1{digits(value)}", f)[0]) == digits(new[s:e])
+
+
+def test_telephone_numbers_are_permuted_within_their_format():
+    same = lambda kind, n, x: x
+    for area in (0, 17, 199, 200, 555, 999):
+        for office in (0, 199, 200, 999):
+            digits = f"{area:03d}{office:03d}0042"
+            kind, n, x = pii._ranked_national(digits)
+            assert 0 <= x < n and pii._unranked_national(kind, n, x, same) == digits
+    ends = [pii._unranked_national("phone/01", 3_600_000_000, x, same) for x in (0, 1_999_999_999, 2_000_000_000, 3_599_999_999)]
+    assert ends == ["0000000000", "1999999999", "2000000000", "9991999999"]
+    # Those that begin with 2 to 9 keep the pseudonyms they had.
+    assert pii.pseudonymised(VALUES["phone"], pii.Feistel(b"k"))[0] == "+1 (577) 781-3025"
+
+
+@pytest.mark.parametrize("text", ["100 200 3000", "4155552671", "14155552671", "+1 415 555 267", "+1 415 555 26711", "1 415 555 2671", "a+1x 5"])
+def test_other_numbers_are_no_telephone_numbers(text):
+    assert pii.pseudonymised(text, pii.Feistel(b"k")) == (text, [])
+
+
 @pytest.mark.parametrize("n", [2, 3, 10, 97, 1000])
 def test_feistel_is_a_permutation(n):
     f = pii.Feistel(b"k")
