@@ -30,7 +30,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def under_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by pseudonyms of the same format."""
-    new = pii.pseudonyms(docs, "corpus").drop("spans")
+    new = pii.pseudonyms(docs, "corpus", spans=None)
     if "n_chars" in docs.columns:
         new = new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return new

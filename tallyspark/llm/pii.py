@@ -316,7 +316,7 @@ def pseudonymised(text: str, feistel: Feistel, back: bool = False) -> tuple[str,
 SPANS = ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType()), StructField("kind", StringType())]))
 
 
-def _replacer(key: bytes, back: bool):
+def _replacer(key: bytes, back: bool, spans_name: str | None):
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         feistel = Feistel(key)
         spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
@@ -326,18 +326,26 @@ def _replacer(key: bytes, back: bool):
             for text in batch.column(at).to_pylist():
                 new, found = pseudonymised(text, feistel, back) if text else (text, [])
                 texts.append(new)
-                spans.append([dict(zip(("start", "end", "kind"), f)) for f in found])
-            columns = list(batch.columns)
+                if spans_name:
+                    spans.append([dict(zip(("start", "end", "kind"), f)) for f in found])
+            columns, names = list(batch.columns), list(batch.schema.names)
             columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, spans_type)], [*batch.schema.names, "spans"])
+            if spans_name:
+                columns, names = [*columns, pa.array(spans, spans_type)], [*names, spans_name]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return replace
 
 
-def pseudonyms(docs: DataFrame, key: str, back: bool = False) -> DataFrame:
-    """``docs`` with pseudonyms in ``text``, and ``spans``: where they stand and of what kind they are."""
-    rows = docs.drop("spans") if "spans" in docs.columns else docs
-    return rows.mapInArrow(_replacer(key.encode(), back), StructType([*rows.schema.fields, StructField("spans", SPANS)]))
+def pseudonyms(docs: DataFrame, key: str, back: bool = False, spans: str | None = "spans") -> DataFrame:
+    """``docs`` with pseudonyms in ``text``, and where they stand and of what kind they are in a column named ``spans``.
+
+    A column of ``docs`` of that name gives way to it, so name another to keep
+    both; with None there are the columns of ``docs`` alone, all of them.
+    """
+    rows = docs.drop(spans) if spans in docs.columns else docs
+    added = [StructField(spans, SPANS)] if spans else []
+    return rows.mapInArrow(_replacer(key.encode(), back, spans), StructType([*rows.schema.fields, *added]))
 
 
 def replaced_count(spans: str = "spans") -> Column:

@@ -11,6 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tallyspark.llm import language, mixing, near_dups, packing, pii, quality_mil, quality_rules, sharding, topk, url_filter
 from tallyspark.llm.components import components
 
@@ -120,6 +121,13 @@ def test_pseudonyms_of_tables(odd, none):
     assert pii.pseudonyms(none, "k").count() == 0
 
 
+def test_pseudonyms_keep_columns_of_clashing_names(spark, odd):
+    staged = corpus_pipeline.under_pseudonyms(spark, odd, "")
+    assert staged.columns == odd.columns and {r["spans"] for r in staged.collect()} == {"y"}
+    got = pii.pseudonyms(documents(spark, ["call +14155552671"]), "k", spans="places").first()
+    assert got["spans"] == "y" and [p["kind"] for p in got["places"]] == ["phone"]
+
+
 # ---- 2 ----
 
 
