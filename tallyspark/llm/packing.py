@@ -42,7 +42,9 @@ class ChunkEncoder:
 
     White space parts tokens in this vocabulary, so a text's ids are those of
     its chunks in order, and a chunk that was met before needs no encoding. Of
-    the chunks met, the last ``MOST`` to twice ``MOST`` are kept.
+    the chunks met, the last ``MOST`` to twice ``MOST`` are kept. The names of
+    special tokens in a text are those tokens, as for the tokenizer; they hold
+    no white space, and a chunk with one is left to the tokenizer.
     """
 
     MOST = 600_000
@@ -54,7 +56,6 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.names = _byte_names()
         self.older: dict[bytes, bytes] = {}

@@ -332,6 +332,19 @@ def test_encoder_agrees_with_the_tokenizer():
         assert np.frombuffer(encoder.encode(t), "<u4").tolist() == want
 
 
+def test_encoder_agrees_with_a_tokenizer_of_its_own():
+    from tokenizers import Tokenizer
+
+    path = packing.tokenizer_path()
+    encoder, tokenizer = packing.ChunkEncoder(path), Tokenizer.from_file(path)
+    assert np.frombuffer(encoder.encode("a <|endoftext|> hi"), "<u4").tolist() == [320, 49407, 1883]
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>", "<", "Word", "\u00e9", "a\u0301", "'s", "...", " ", "\n", "7", "\xa0", "\u6f22"]
+    rng = random.Random(7)
+    for _ in range(600):
+        t = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 9)))
+        assert np.frombuffer(encoder.encode(t), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_fullest_bins(seed):
     rng = random.Random(seed)
