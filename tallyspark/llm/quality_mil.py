@@ -6,8 +6,9 @@ attention weighs the passages, the weighted mean of their encodings is scored,
 and only the document's label teaches which passages matter.
 
 The model is fitted on the driver to a bounded sample of labelled rows
-(``Settings.sample`` documents, picked by a hash); scoring runs over all
-passages of all documents in the executors.
+(``Settings.sample`` documents, picked by a hash, of which whole or sampled
+passages up to ``Settings.sample_words``; no length is left out); scoring runs
+over all passages of all documents in the executors.
 
 Nulls: a null text is an empty one; a text without a word is one passage whose
 figures are all 0, so it gets a score like any other. Rows without a label, or
@@ -33,6 +34,7 @@ class Settings:
     passage: int = 100  # words
     sample: int = 4_000  # labelled documents to learn from, at most
     sample_words: int = 2_000_000  # words to learn from, at most: long texts make the sample smaller
+    teaching: int = 200  # passages of one document to learn from, at most
     hidden: int = 16
     attention: int = 8
     rounds: int = 300
@@ -200,11 +202,20 @@ def fit(bags: Sequence[np.ndarray], labels: np.ndarray, settings: Settings = Set
     return Model(shift, scale, w)
 
 
+def _picked(bag: np.ndarray, most: int) -> np.ndarray:
+    """At most so many passages, by a hash of their figures, in the text's order."""
+    if len(bag) <= most:
+        return bag
+    hashes = np.array([xxhash.xxh3_64_intdigest(row.tobytes()) for row in bag], np.uint64)
+    return bag[np.sort(np.argsort(hashes, kind="stable")[:most])]
+
+
 def _featurer(settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [passages(t, settings.passage).astype("<f4").tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["label", "figures"])
+            bags = (passages(t, settings.passage).astype("<f4") for t in batch.column(2).to_pylist())
+            found = [_picked(bag, settings.teaching).tobytes() for bag in bags]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], ["place", "label", "figures"])
 
     return run
 
@@ -219,17 +230,18 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, learn_from: Column, se
     wanted = wanted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.sample)
     # No more rows than the sample may have, so sending them to every task is safe.
     texts = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
-    figures = texts.select("label", "text").mapInArrow(_featurer(settings), "label int, figures binary")
-    # The bound on words, in passages, with the shortest first: what reaches the driver has a fixed size.
-    size = (F.length("figures") / (4 * FEATURES)).alias("passages")
-    ordered = figures.orderBy(F.length("figures"), F.xxhash64("figures")).limit(settings.sample).select("label", "figures", size)
+    rows = texts.select(F.xxhash64("doc_id").alias("place"), "label", "text")
+    figures = rows.mapInArrow(_featurer(settings), "place long, label int, figures binary")
+    # The bound on words, in passages, is filled in the order of the id's hash, whatever the length;
+    # who comes last teaches with as many passages as there is room for.
+    ordered = figures.orderBy("place", F.xxhash64("figures")).limit(settings.sample)
     bags, targets, room = [], [], settings.sample_words // settings.passage
     for r in ordered.toLocalIterator():
-        room -= int(r["passages"])
-        if room < 0:
+        if room <= 0:
             break
-        bags.append(np.frombuffer(r["figures"], "<f4").reshape(-1, FEATURES).astype(float))
+        bags.append(_picked(np.frombuffer(r["figures"], "<f4").reshape(-1, FEATURES), room).astype(float))
         targets.append(min(max(r["label"], 0), 1))
+        room -= len(bags[-1])
     if len(set(targets)) < 2:
         return None
     return fit(bags, np.array(targets, float), settings)

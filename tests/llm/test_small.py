@@ -209,6 +209,26 @@ def test_quality_learns_and_scores_odd_rows(spark, odd, none):
     assert {r["score"] for r in quality_mil.scored(odd, None, ["doc_id"]).collect()} == {0.5}
 
 
+def test_quality_learns_from_long_texts_beyond_the_bound(spark):
+    rng = random.Random(8)
+    texts = [text_of(rng, 80, 5000) + "." for _ in range(60)] + ["junk ### $$$ " * 200 for _ in range(60)]
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame([(i, int(i < 60), 0) for i in range(120)], "doc_id long, quality int, toxic int")
+    # Room for 60 passages: the short texts, all good, would fill it.
+    model = quality_mil.learn(docs, labels, "quality", F.lit(True), quality_mil.Settings(sample_words=6_000))
+    got = {r["doc_id"]: r["score"] for r in quality_mil.scored(docs, model, ["doc_id"]).collect()}
+    assert all((got[i] > 0.5) == (i < 60) for i in range(120))
+
+
+def test_passages_taught_are_picked_by_hash():
+    bag = np.random.default_rng(9).normal(0, 1, (300, quality_mil.FEATURES)).astype("<f4")
+    some = quality_mil._picked(bag, 40)
+    at = [int(np.flatnonzero((bag == row).all(axis=1))[0]) for row in some]
+    assert len(at) == 40 and at == sorted(at) and at[0] < 60 and at[-1] > 240  # from all over the text
+    assert (quality_mil._picked(some, 40) == some).all() and len(quality_mil._picked(bag, 300)) == 300
+    assert {row.tobytes() for row in quality_mil._picked(some, 10)} == {row.tobytes() for row in quality_mil._picked(bag, 10)}
+
+
 def test_quality_gradient_lowers_the_loss():
     rng = np.random.default_rng(0)
     bags = [rng.normal(i % 2, 1, (1 + i % 4, 6)) for i in range(80)]
