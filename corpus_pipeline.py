@@ -65,5 +65,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-# MinHash, hashed draws and a tokenizer are beyond SQL; tests hold the stages against brute force.
+# MinHash, hashed draws and a tokenizer are beyond SQL; test_tables.py holds each stage against plain Python.
 ORACLE_SQL = None
