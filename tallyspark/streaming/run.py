@@ -27,9 +27,14 @@ def run_available(stream: DataFrame, out: str, checkpoint: str) -> list:
     return query.recentProgress
 
 
-def finished(stream: DataFrame, label: str) -> DataFrame:
-    """The whole result of a stream as a batch table in the shared folder."""
+def finished(stream: DataFrame, label: str, kept: str | None = None) -> DataFrame:
+    """The whole result of a stream as a batch table in the shared folder.
+
+    With a folder ``kept`` the result and the state stay there, and a later
+    call with it goes on: windows and sessions that were open come out once
+    newer input has closed them. Without it each call starts afresh.
+    """
     spark = stream.sparkSession
-    out = shared_path(spark, f"{label}-out")
-    run_available(stream, out, shared_path(spark, f"{label}-state"))
+    out = f"{kept}/out" if kept else shared_path(spark, f"{label}-out")
+    run_available(stream, out, f"{kept}/state" if kept else shared_path(spark, f"{label}-state"))
     return spark.read.schema(stream.schema).parquet(out)

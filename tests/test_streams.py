@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.streaming.joins import enrich, match
-from tallyspark.streaming.run import run_available
+from tallyspark.streaming.run import finished, run_available
 from tallyspark.streaming.state import latest_state, running_state
 from tallyspark.streaming.windows import stream_dedupe, stream_sessions, windowed
 
@@ -140,3 +140,16 @@ def test_state_goes_on_after_a_restart(feed):
     feed.add((1000, 7, 0), (-4, 8, 1))
     feed.run(stream())
     assert rows(latest_state(feed.result())) == [(7, 21, 1210, 1000), (8, 2, 1, 5)]
+
+
+def test_a_kept_result_goes_on(feed):
+    def result(kept):
+        found = stream_sessions(feed.stream(), "ts", "30 minutes", "10 minutes", ["u"], aggs())
+        return rows(finished(found.select("u", "session_start", "n"), "kept", kept).select("u", "n"))
+
+    kept = str(feed.root / "kept")
+    feed.add((1, 1, 0), (2, 1, 10), (3, 2, 200))
+    assert result(kept) == [(1, 2)]  # user 2 is still open
+    feed.add((4, 2, 210), (5, 3, 900))
+    assert result(kept) == [(1, 2), (2, 2)]
+    assert result(kept) == [(1, 2), (2, 2)]
