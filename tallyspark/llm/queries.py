@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import language, mixing, near_dups, packing, pii, quality_mil, quality_rules, sharding, topk, url_filter
+from tallyspark.llm import language, lexicon, mixing, near_dups, packing, pii, quality_mil, quality_rules, sharding, topk, url_filter
 from tallyspark.llm.common import hold_out, table
 from tallyspark.plans.catalogue import Catalogue
 
@@ -123,3 +123,16 @@ def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Base statistics and the n-gram likelihood verdict of every document."""
     found = quality_rules.judged(table(spark, sf, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
+
+
+@query()
+def op13_lexicon_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Every text's ids by the lexicon of the corpus, and the text of the ids."""
+    path = packing.tokenizer_path("byte_bpe_50k.json")
+    ids = lexicon.encoded(table(spark, sf, "documents"), path, ["doc_id"])
+    back = lexicon.decoded(ids, path)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary")
+    return back.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
