@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import language, lexicon, mixing, near_dups, packing, pii, quality_mil, quality_rules, sharding, topk, url_filter
+from tallyspark.llm import alignment, language, lexicon, mixing, near_dups, packing, pii, quality_mil, quality_rules, sharding, topk, url_filter
 from tallyspark.llm.common import hold_out, table
 from tallyspark.plans.catalogue import Catalogue
 
@@ -136,3 +136,12 @@ def op13_lexicon_bpe(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op12_aligned_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """How two tokenizers' tokens of every text are linked, and how common these links are."""
+    paths = packing.tokenizer_path("byte_bpe_50k.json"), packing.tokenizer_path("piece_bpe_32k.model")
+    found = alignment.aligned(table(spark, sf, "documents").withColumn("doc_id", F.col("doc_id").cast("long")), *paths, ["doc_id"])
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
