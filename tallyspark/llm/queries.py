@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import alignment, language, lexicon, mixing, near_dups, packing, pii, quality_mil, quality_rules, sharding, topk, url_filter
+from tallyspark.llm import alignment, language, lexicon, mixing, near_dups, packing, phrases, pii, quality_mil, quality_rules, sharding, topk, url_filter
 from tallyspark.llm.common import hold_out, table
 from tallyspark.plans.catalogue import Catalogue
 
@@ -145,3 +145,36 @@ def op12_aligned_tokens(spark: SparkSession, sf: str) -> DataFrame:
     found = alignment.aligned(table(spark, sf, "documents").withColumn("doc_id", F.col("doc_id").cast("long")), *paths, ["doc_id"])
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
+@query(
+    r"""
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang,
+             unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+      FROM documents),
+    worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+    totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang),
+    grams AS (
+      SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS p
+      FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM worded, (VALUES (1), (2), (3), (4), (5)) AS t(k))),
+    often AS (SELECT lang, k, p, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+    split_ AS (SELECT lang, k, p, f AS a, string_split(p, ' ') AS w FROM often WHERE k > 1),
+    covered AS (
+      SELECT lang, array_to_string(w[i : i + m - 1], ' ') AS p, max(a) AS longer
+      FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS i FROM split_, (VALUES (2), (3), (4)) AS t(m) WHERE m < k) GROUP BY ALL),
+    kept AS (SELECT s.* FROM split_ s LEFT JOIN covered c USING (lang, p) WHERE c.longer IS NULL OR 100 * c.longer < 100 * s.a),
+    cuts AS (
+      SELECT c.lang, c.p, a, n, j, l.f AS l, r.f AS r,
+             CAST((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+      FROM (SELECT *, unnest(range(1, k)) AS j FROM kept) c JOIN totals USING (lang)
+      JOIN often l ON l.lang = c.lang AND l.p = array_to_string(c.w[1 : j], ' ')
+      JOIN often r ON r.lang = c.lang AND r.p = array_to_string(c.w[j + 1 : c.k], ' ')),
+    lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank, p AS phrase, a, l, r, n, score
+    FROM lowest QUALIFY rank <= 2000
+    """
+)
+def op11_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    """The 2,000 best phrases of each language."""
+    return phrases.collocations(table(spark, sf, "documents").select("lang", "text"))
