@@ -213,7 +213,7 @@ class PairTable:
     @staticmethod
     def arrays(rows: Sequence[tuple[int, list[int], bytes, bytes]], buckets: int) -> dict[str, np.ndarray]:
         """The tables of (bucket, bits of each level, bits, keys by number), to be shipped."""
-        levels = max((len(r[1]) for r in rows), default=1)
+        levels = max([1, *(len(r[1]) for r in rows)])
         sizes, at = np.zeros((levels, buckets), np.int64), np.zeros((levels, buckets), np.int64)
         place = 0
         for bucket, own, _, _ in rows:
