@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,6 +78,10 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+# Where the tables that ``pinned`` gave are written.
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def pinned(df: DataFrame, label: str) -> DataFrame:
     """The rows as a table in the shared folder, computed once.
 
@@ -85,4 +90,18 @@ def pinned(df: DataFrame, label: str) -> DataFrame:
     """
     path = shared_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FOLDERS[table] = path
+    return table
+
+
+def released(*tables: DataFrame | None) -> None:
+    """Delete tables that ``pinned`` gave and that nothing reads any more, not even to compute a lost part anew.
+
+    That is so once all that was made of them is itself pinned.
+    """
+    for table in tables:
+        if table is not None and table in _FOLDERS:
+            spark = table.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop(table))
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
