@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyspark.session import pinned
+from tallyspark.session import pinned, released
 
-__all__ = ["BLANKS", "ascii_lower", "held", "hold_out", "pinned", "running_offsets", "table", "word_count", "words"]
+__all__ = ["BLANKS", "Memo", "ascii_lower", "held", "hold_out", "pinned", "released", "running_offsets", "table", "word_count", "word_hashes", "words"]
 
 # The blanks between words: space and the ASCII controls from tab to carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -76,5 +77,29 @@ def running_offsets(
     return out.drop("_bucket", *[f"_in_{n}" for n in sums], *[f"_base_{n}" for n in sums])
 
 
+class Memo(dict):
+    """Results of a function of bytes, kept for ``most`` short arguments and then begun anew.
+
+    Make one for each task, not one for each worker: a worker outlives its
+    tasks, and what it holds is missing from the executor's shuffles.
+    """
+
+    def __init__(self, fn: Callable[[bytes], object], most: int = 50_000) -> None:
+        super().__init__()
+        self.fn, self.most = fn, most
+
+    def __missing__(self, key: bytes) -> object:
+        found = self.fn(key)
+        if len(key) < 64:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = found
+        return found
+
+
+def word_hashes() -> Memo:
+    return Memo(xxhash.xxh3_64_intdigest)
+
+
 def parts_for(rows: int, per_part: int) -> int:
     return max(1, math.ceil(rows / per_part))

@@ -141,7 +141,7 @@ def profiles(docs: DataFrame, learn_from: Column, shape: Shape = Shape()) -> lis
     return sorted(found.items())
 
 
-def _judge(learned: list[tuple[str, list[str]]], shape: Shape):
+def _scorer(learned: list[tuple[str, list[str]]], shape: Shape):
     langs = [lang for lang, _ in learned]
     far = shape.ranks
     known = np.array(sorted({_code(g) for _, grams in learned for g in grams}), np.int64)
@@ -164,7 +164,12 @@ def _judge(learned: list[tuple[str, list[str]]], shape: Shape):
         best = int(np.argmin(out))
         return langs[best], 1.0 - float(out[best]) / (far * len(codes))
 
+    return score
+
+
+def _judges(learned: list[tuple[str, list[str]]], shape: Shape):
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = _scorer(learned, shape)
         for batch in batches:
             found = [score(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -175,6 +180,16 @@ def _judge(learned: list[tuple[str, list[str]]], shape: Shape):
     return judge
 
 
+def _filters(learned: list[tuple[str, list[str]]], least: float, shape: Shape):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = _scorer(learned, shape)
+        for batch in batches:
+            found = map(score, batch.column(batch.schema.names.index("text")).to_pylist())
+            yield batch.filter(pa.array([lang != NONE and s >= least for lang, s in found], pa.bool_()))
+
+    return keep
+
+
 def identify(docs: DataFrame, learned: list[tuple[str, list[str]]], shape: Shape = Shape(), keep: list[str] | None = None) -> DataFrame:
     """The kept columns (all, unless named) with ``lang_pred`` and ``score``.
 
@@ -184,12 +199,10 @@ def identify(docs: DataFrame, learned: list[tuple[str, list[str]]], shape: Shape
     names = [c for c in (docs.columns if keep is None else keep) if c not in ("lang_pred", "score")]
     rows = docs.select(*[f"`{c}`" for c in names], F.col("text").alias("_text"))
     schema = rows.drop("_text").schema.add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(_judge(learned, shape), schema)
+    return rows.mapInArrow(_judges(learned, shape), schema)
 
 
 def accepted(docs: DataFrame, learned: list[tuple[str, list[str]]], least: float = 0.2, shape: Shape = Shape()) -> DataFrame:
     """The documents that are in some learned language: not those without a letter, nor those
     whose n-grams the nearest profile hardly has."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
-    judged = identify(docs.select(whole, "text"), learned, shape, keep=["_doc"])
-    return judged.where((F.col("lang_pred") != NONE) & (F.col("score") >= least)).select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])
+    return docs.mapInArrow(_filters(learned, least, shape), docs.schema)

@@ -152,8 +152,19 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     return taken.drop("_row")
 
 
-# A word with the blanks after it; blanks before the first word stand alone.
-_EDGE = r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])"
+# A word with the blanks after it.
+_SPACED = r"(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+)"
+
+
+def _blocks(text: Column, start: Column, length: int) -> Column:
+    """The text in blocks of its source's stream, in which it starts at that word.
+
+    The first block is filled by as many words as it still takes; blanks before
+    the first word belong to it.
+    """
+    room = F.format_string("{1,%d}", length - start % length)
+    pattern = F.concat(F.lit(r"^[\x20\x09-\x0D]*+" + _SPACED), room, F.lit(f"|{_SPACED}{{1,{length}}}"))
+    return F.regexp_extract_all(text, pattern, F.lit(0))
 
 
 def mixed_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
@@ -164,20 +175,18 @@ def mixed_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     those of ``docs``; ``n_chars`` is that of the new text.
     """
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")  # names may clash with ours
-    base = pinned(_sized(docs, whole), "mix-documents")
+    base = pinned(_sized(docs, whole), "mix-documents")  # the text once, inside
     _, pieces = _pieces(base.select("doc_id", "source", "size", "_mark", "_row"), mix)
     plans = pieces.where("_times > 0").groupBy("_row").agg(
-        F.array_sort(F.collect_list(F.struct("_from", "_to", "_times"))).alias("_plan"), F.max("_times").alias("_most")
+        F.array_sort(F.collect_list(F.struct("block", "_times"))).alias("_plan"), F.max("_times").alias("_most"), F.first("_start").alias("_start")
     )
-    rows = base.join(plans, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_most"))))
-    marks = F.split("_doc.text", _EDGE)
-    # Blanks before the first word belong to it.
-    led = F.element_at(marks, 1).rlike(r"^[\x20\x09-\x0D]")
-    joined = F.concat(F.array(F.concat(F.element_at(marks, 1), F.element_at(marks, 2))), F.slice(marks, 3, F.size(marks)))
-    rows = rows.withColumn("_words", F.when(led, joined).otherwise(marks))
+    cut = base.join(plans, "_row").withColumn("_blocks", _blocks(F.col("_doc.text"), F.col("_start"), mix.block_words))
+    # Spark keeps what stands below an explode: in a lambda the blocks would be cut anew for each of them.
+    rows = cut.select("_doc", "_blocks", "_plan", "_start", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_most"))).alias("_copy"))
     parts = F.filter("_plan", lambda p: p["_times"] >= F.col("_copy"))
-    taken = F.transform(parts, lambda p: F.slice("_words", (p["_from"] + 1).cast("int"), (p["_to"] - p["_from"]).cast("int")))
-    rows = rows.withColumn("_text", F.array_join(F.flatten(taken), ""))
+    first = F.floor(F.col("_start") / mix.block_words)
+    taken = F.transform(parts, lambda p: F.element_at("_blocks", (p["block"] - first + 1).cast("int")))
+    rows = rows.withColumn("_text", F.array_join(taken, ""))
     new = {"text": F.col("_text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import pinned, running_offsets
+from tallyspark.llm.common import Memo, pinned, running_offsets
 
 CAPACITY = 2048
 
@@ -42,12 +42,12 @@ class ChunkEncoder:
 
     White space parts tokens in this vocabulary, so a text's ids are those of
     its chunks in order, and a chunk that was met before needs no encoding. Of
-    the chunks met, the last ``MOST`` to twice ``MOST`` are kept. The names of
+    the chunks met, the last ``MOST`` at most are kept. The names of
     special tokens in a text are those tokens, as for the tokenizer; they hold
     no white space, and a chunk with one is left to the tokenizer.
     """
 
-    MOST = 600_000
+    MOST = 50_000
     _MARKS = frozenset(b"!#$%&()*+,-./:;<=>?@[]^_`{|}~")
     # Letters that lower-case one to one and are in normal form already, then marks of ASCII but the apostrophe.
     _PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
@@ -58,18 +58,10 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.names = _byte_names()
-        self.older: dict[bytes, bytes] = {}
-        outer = self
+        self.forget()
 
-        class Chunks(dict):
-            def __missing__(self, chunk: bytes) -> bytes:
-                found = outer.older.get(chunk) or outer._encode(chunk)
-                if len(chunk) < 64:
-                    self[chunk] = found
-                return found
-
-        self.new = Chunks
-        self.chunks: dict[bytes, bytes] = Chunks()
+    def forget(self) -> None:
+        self.chunks = Memo(self._encode, self.MOST)
 
     def _encode(self, chunk: bytes) -> bytes:
         if chunk.isalpha():  # letters of ASCII
@@ -92,8 +84,6 @@ class ChunkEncoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if len(self.chunks) > self.MOST:
-            self.older, self.chunks = self.chunks, self.new()
         return b"".join(map(self.chunks.__getitem__, text.encode().split()))
 
 
@@ -136,6 +126,7 @@ def _cutter(path: str, closing: int, capacity: int):
                     rows, pieces, starts, ids, size = [], [], [], [], 0
             if rows:
                 yield out()
+        encoder.forget()
 
     return cut
 
