@@ -6,7 +6,8 @@ among the values of its format, the rank is permuted by a keyed Feistel network
 that walks until it is back in the format's range, and the rank's value takes
 its place in the text. The same value becomes the same pseudonym in every
 document, separators and lengths stay, check digits are made right, and who has
-the key can turn pseudonyms back.
+the key can turn pseudonyms back. The key is a setting of the session, never
+part of this code.
 
 Kinds: e-mail addresses, card numbers, IBANs, telephone numbers, US social
 security numbers, IPv4 addresses, dates, and the values of passwords, tokens
@@ -19,25 +20,45 @@ where brackets or dots and dashes part them, as blanks alone or nothing would
 take any number; and 8 to 15 digits after another country's code. Numbers whose
 area code and exchange begin with 2 to 9 are a format of their own.
 
+Not found: dates with one digit for the day or month, or with its name, IPv6
+addresses, and ten digits without a mark of a telephone number.
+
 Nulls: a null text stays null and has nothing replaced. Empty texts stay. Rows
-are independent of each other, so repeated rows get the same answer.
+are independent of each other, so repeated rows get the same answer. An empty
+table gives an empty result. Time grows in proportion to a text's length.
 """
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import hashlib
 import math
 import re
+import secrets
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 _ROUNDS = 10
 
+# The setting that names the key, and the keys of sessions without it.
+KEY_SETTING = "spark.tallyspark.pseudonym.key"
+_SESSION_KEYS: dict[str, str] = {}
+
+
+def session_key(spark: SparkSession) -> str:
+    """The key that the session is given in ``KEY_SETTING``.
+
+    Without one, a random key that lasts as long as the application: values stay
+    linked across its documents, and nobody can turn the pseudonyms back.
+    """
+    given = spark.conf.get(KEY_SETTING, None)
+    return given or _SESSION_KEYS.setdefault(spark.sparkContext.applicationId, secrets.token_hex(32))
+
 
 class Feistel:
     """A keyed permutation of 0..n-1 for any n, and its inverse."""
@@ -270,7 +291,7 @@ _FINDERS: list[tuple[str, str, re.Pattern, Callable[[str, Permute], str | None]]
     ("email", "@", re.compile(r"(?<![A-Za-z0-9._%+\-])(?P<v>[A-Za-z0-9](?:[A-Za-z0-9._%+\-]{0,62}[A-Za-z0-9_%+\-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]{0,61}[A-Za-z0-9])?\.)+[A-Za-z]{2,24})" + _END), _email),
     ("iban", "", re.compile(_EDGE + r"(?P<v>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)" + _END), _iban),
     ("ip", ".", re.compile(r"(?<![0-9A-Za-z.])(?P<v>[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3})(?![0-9A-Za-z]|\.[0-9])"), _ip),
-    ("date", "-/.", re.compile(r"(?<![0-9A-Za-z./\-])(?P<v>[0-9]{4}([-/.])[0-9]{2}\2[0-9]{2}|[0-9]{2}([/.])[0-9]{2}\3[0-9]{4})(?![0-9A-Za-z]|[./\-][0-9])"), _date),
+    ("date", "-/.", re.compile(r"(?<![0-9A-Za-z./\-])(?P<v>[0-9]{4}([-/.])[0-9]{2}\2[0-9]{2}|[0-9]{2}([/.])[0-9]{2}\3[0-9]{4})(?=T[0-9]{2}:|(?![0-9A-Za-z]|[./\-][0-9]))"), _date),
     ("ssn", "-", re.compile(r"(?<![0-9A-Za-z\-])(?P<v>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9A-Za-z]|-[0-9])"), _ssn),
     ("phone", "+()-.", re.compile(r"(?<![0-9A-Za-z+])(?P<v>\+1[ .\-]?(?:\([0-9]{3}\)|[0-9]{3})[ .\-]?[0-9]{3}[ .\-]?[0-9]{4}|(?:1[ .\-]?)?(?:\([0-9]{3}\)[ .\-]?[0-9]{3}[ .\-]?|[0-9]{3}[.\-][0-9]{3}[.\-])[0-9]{4})" + _END), _phone),
     ("phone", "+", re.compile(r"(?<![0-9A-Za-z+])(?P<v>\+[2-9][0-9](?:[ .\-]?\(?[0-9]{2,4}\)?){2,5})" + _END), _phone),
@@ -291,14 +312,19 @@ def _found(text: str, permute: Permute) -> list[tuple[int, int, str, str]]:
     for kind, needs, pattern, turn in _FINDERS:
         if needs and not any(c in text for c in needs):
             continue
+        found = []  # those of one pattern don't overlap
         for m in pattern.finditer(text):
             s, e = m.span("v")
-            if any(s < b and a < e for a, b, _, _ in taken):
+            # What is taken is in order and doesn't overlap: only the last one before the end can be in the way.
+            at = bisect.bisect_left(taken, (e,))
+            if at and taken[at - 1][1] > s:
                 continue
             new = turn(m["v"], permute)
             if new is not None:
-                taken.append((s, e, kind, new))
-    return sorted(taken)
+                found.append((s, e, kind, new))
+        if found:
+            taken = sorted(taken + found)
+    return taken
 
 
 def pseudonymised(text: str, feistel: Feistel, back: bool = False) -> tuple[str, list[tuple[int, int, str]]]:
