@@ -334,7 +334,9 @@ def frequent(docs: DataFrame, shape: Shape = Shape()) -> tuple[DataFrame, DataFr
     if words.count() >= 1 << 32:
         raise ValueError("more frequent words than 32 bits can number")
     placed = chunks.select("chunk", "lang", F.posexplode("words").alias("place", "word"))
-    known = placed.join(words.select("lang", "word", "id"), ["lang", "word"]).groupBy("chunk").agg(F.collect_list(F.struct("place", "id")).alias("known"))
+    # A word that isn't frequent is 0, as a break is.
+    numbers = placed.join(words.select("lang", "word", "id"), ["lang", "word"], "left").select("chunk", "place", F.coalesce("id", F.lit(0)).alias("id"))
+    known = numbers.groupBy("chunk").agg(F.collect_list(F.struct("place", "id")).alias("known"))
     rows = chunks.select("chunk", "codes").join(known, "chunk", "left").select("codes", "known")
     texts = pinned(rows.mapInArrow(_renumber, "ids binary"), "numbered-texts")
     total = totals.agg(F.sum("n")).first()[0] or 0
