@@ -11,6 +11,7 @@ from tallyspark.sources.tables import load, load_stream
 from tallyspark.streaming.joins import enrich, match
 from tallyspark.streaming.run import finished
 from tallyspark.streaming.state import latest_state, running_state
+from tallyspark.streaming.timed import baskets
 from tallyspark.streaming.windows import stream_dedupe, stream_sessions, windowed
 
 CATALOGUE = Catalogue()
@@ -121,3 +122,27 @@ def streamed_user_state(spark: SparkSession, sf: str) -> DataFrame:
     return latest_state(history).select(
         F.col("key").alias("user_id"), "n", F.col("total").alias("cents"), F.col("peak").alias("peak_cents")
     )
+
+
+@query(
+    """
+    WITH m AS (SELECT user_id, date_trunc('minute', ts) AS minute,
+                      count(*) FILTER (WHERE event_type = 'click') AS clicks, count(*) FILTER (WHERE event_type = 'purchase') AS buys
+               FROM events WHERE event_type IN ('click', 'purchase') GROUP BY ALL),
+    n AS (SELECT *, min(CASE WHEN buys > 0 THEN minute END) OVER (PARTITION BY user_id ORDER BY minute
+                    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS bought_at FROM m),
+    c AS (SELECT *, lag(minute) OVER w AS before, lag(bought_at) OVER w AS bought_before FROM n WHERE clicks > 0
+          WINDOW w AS (PARTITION BY user_id ORDER BY minute)),
+    b AS (SELECT *, sum(CASE WHEN before IS NULL OR minute - before > INTERVAL 2 HOUR OR bought_before < minute THEN 1 ELSE 0 END)
+                    OVER (PARTITION BY user_id ORDER BY minute) AS basket FROM c),
+    d AS (SELECT user_id, min(minute) AS opened_at, max(minute) AS last_click, CAST(sum(clicks) AS BIGINT) AS clicks,
+                 max_by(bought_at, minute) AS bought_at FROM b GROUP BY user_id, basket)
+    SELECT user_id, opened_at, coalesce(bought_at <= last_click + INTERVAL 2 HOUR, false) AS bought,
+           CASE WHEN bought_at <= last_click + INTERVAL 2 HOUR THEN bought_at ELSE last_click + INTERVAL 2 HOUR END AS closed_at, clicks
+    FROM d WHERE closed_at <= (SELECT max(minute) FROM m) - INTERVAL 1 HOUR
+    """
+)
+def streamed_baskets(spark: SparkSession, sf: str) -> DataFrame:
+    """Clicks collected until a purchase or two idle hours: state that a timer closes."""
+    found = baskets(load_stream(spark, sf, "events"), "user_id", "ts", "event_type", "1 hour", 120)
+    return finished(found.withColumnRenamed("key", "user_id"), "baskets")
