@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, WindowSpec
 from pyspark.sql import functions as F
 
 from tallyspark.functions import calendar, nested, text, values
 from tallyspark.functions.exact import amount, cents, micros, total
-from tallyspark.operators import cleaning, sessions, windows
+from tallyspark.operators import cleaning, frames, overlaps, sessions, windows
 from tallyspark.plans.catalogue import Catalogue
+from tallyspark.session import shared_path
+from tallyspark.sources.merged import Merged
 from tallyspark.sources.tables import load
 
 CATALOGUE = Catalogue()
@@ -355,6 +357,10 @@ def quality_report(spark: SparkSession, sf: str) -> DataFrame:
 )
 def orders_upserted(spark: SparkSession, sf: str) -> DataFrame:
     """Open orders closed (newer), part orders changed too late (older), new keys added."""
+    return cleaning.upsert(*_orders_and_changes(spark, sf), ["o_orderkey"], "version")
+
+
+def _orders_and_changes(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     orders = load(spark, sf, "orders")
 
     def change(where, key, status: str, version: int) -> DataFrame:
@@ -371,7 +377,29 @@ def orders_upserted(spark: SparkSession, sf: str) -> DataFrame:
         .unionByName(change(F.col("o_orderstatus") == "P", key, "X", 0))
         .unionByName(change(F.col("o_orderpriority") == "1-URGENT", -1 - key, "N", 1))
     )
-    return cleaning.upsert(base, changes, ["o_orderkey"], "version")
+    return base, changes
+
+
+@query(
+    """
+    WITH base AS (SELECT o_orderkey, o_orderstatus, o_totalprice, 1 AS version FROM orders),
+    changes AS (
+      SELECT o_orderkey, 'F' AS o_orderstatus, o_totalprice, 2 AS version FROM orders WHERE o_orderstatus = 'O'
+      UNION ALL SELECT o_orderkey, 'X', o_totalprice, 0 FROM orders WHERE o_orderstatus = 'P'
+      UNION ALL SELECT -1 - o_orderkey, 'N', o_totalprice, 1 FROM orders WHERE o_orderpriority = '1-URGENT')
+    SELECT o_orderkey, o_orderstatus, o_totalprice, version FROM
+      (SELECT *, 0 AS src FROM base UNION ALL SELECT *, 1 FROM changes)
+    QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY version DESC, src DESC) = 1
+    """
+)
+def orders_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """The same changes sent to a table in parts, the second batch twice."""
+    base, changes = _orders_and_changes(spark, sf)
+    schema = "o_orderkey long, o_orderstatus string, o_totalprice double, version int"
+    table = Merged(shared_path(spark, "orders-merged"), schema, ["o_orderkey"], "version", parts=16)
+    for batch, rows in enumerate((base, changes, changes)):
+        table.merge(rows, min(batch, 1))
+    return table.read(spark)
 
 
 @query(
@@ -402,3 +430,75 @@ def event_sessions(spark: SparkSession, sf: str) -> DataFrame:
 )
 def purchase_funnel(spark: SparkSession, sf: str) -> DataFrame:
     return sessions.funnel(load(spark, sf, "events"), "user_id", "ts", "event_type", ["view", "click", "purchase"])
+
+
+@query(
+    """
+    SELECT event_id, lag(event_type, 3) OVER w AS prev_event_type, lead(event_type, 3) OVER w AS next_event_type,
+           lag(value, 3) OVER w AS prev_value, lead(value, 3) OVER w AS next_value
+    FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+    """
+)
+def events_three_apart(spark: SparkSession, sf: str) -> DataFrame:
+    """Values three events before and after."""
+    events = load(spark, sf, "events").select("event_id", "user_id", "ts", "event_type", "value")
+    found = frames.shifted(events, ["user_id"], [F.asc("ts"), F.asc("event_id")], ["event_type", "value"], 3)
+    return found.select("event_id", "prev_event_type", "next_event_type", "prev_value", "next_value")
+
+
+@query(
+    """
+    SELECT event_id, min(value) OVER w AS low, max(value) OVER w AS high, median(value) OVER w AS middle, count(*) OVER w AS n
+    FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 4 PRECEDING AND 2 FOLLOWING)
+    """
+)
+def moving_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Least, largest, median and number over a frame of rows."""
+    events = load(spark, sf, "events").select("event_id", "user_id", "ts", "value")
+
+    def make(w: WindowSpec) -> dict:
+        frame = w.rowsBetween(-4, 2)
+        made = {"low": F.min("value"), "high": F.max("value"), "middle": F.percentile("value", 0.5), "n": F.count(F.lit(1))}
+        return {name: c.over(frame) for name, c in made.items()}
+
+    found = frames.row_frames(events, ["user_id"], [F.asc("ts"), F.asc("event_id")], 4, 2, make)
+    return found.select("event_id", "low", "high", "middle", "n")
+
+
+@query(
+    """
+    SELECT event_id, min(value) OVER w AS low, max(value) OVER w AS high
+    FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 6 HOUR PRECEDING AND CURRENT ROW)
+    """
+)
+def moving_extremes(spark: SparkSession, sf: str) -> DataFrame:
+    """Least and largest value of the last six hours, per kind of event."""
+    events = load(spark, sf, "events").select("event_id", "event_type", "ts", "value")
+    found = frames.time_extremes(events, ["event_type"], "ts", 6 * 3600, {"low": ("min", "value"), "high": ("max", "value")})
+    return found.select("event_id", "low", "high")
+
+
+@query(
+    """
+    WITH g AS (SELECT *, lag(ts) OVER (PARTITION BY user_id, event_type = 'error' ORDER BY ts) AS before FROM events),
+    s AS (SELECT *, sum(CASE WHEN before IS NULL OR ts - before > CASE WHEN event_type = 'error' THEN INTERVAL 30 MINUTE ELSE INTERVAL 8 HOUR END THEN 1 ELSE 0 END)
+                    OVER (PARTITION BY user_id, event_type = 'error' ORDER BY ts) AS no FROM g),
+    t AS (SELECT user_id, event_type = 'error' AS failing, min(ts) AS a, max(ts) + CASE WHEN event_type = 'error' THEN INTERVAL 30 MINUTE ELSE INTERVAL 8 HOUR END AS b
+          FROM s GROUP BY user_id, no, event_type = 'error', CASE WHEN event_type = 'error' THEN INTERVAL 30 MINUTE ELSE INTERVAL 8 HOUR END)
+    SELECT x.user_id, x.a AS failing_from, x.b AS failing_to, y.a AS busy_from, y.b AS busy_to
+    FROM t x JOIN t y ON x.user_id = y.user_id AND x.failing AND NOT y.failing AND x.a < y.b AND y.a < x.b
+    """
+)
+def failing_while_busy(spark: SparkSession, sf: str) -> DataFrame:
+    """Short sessions of errors that overlap long sessions of everything else, per user."""
+    events = load(spark, sf, "events").select("user_id", "ts", "event_type")
+
+    def spans(rows: DataFrame, minutes: int, user: str, names: tuple[str, str]) -> DataFrame:
+        end = F.col("session_end") + F.expr(f"interval {minutes} minutes")
+        found = sessions.sessions(rows, "user_id", "ts", minutes * 60, F.lit(0).cast("decimal(18,0)"))
+        return found.select(F.col("user_id").alias(user), F.col("session_start").alias(names[0]), end.alias(names[1]))
+
+    failing = spans(events.where("event_type = 'error'"), 30, "user_id", ("failing_from", "failing_to"))
+    busy = spans(events.where("event_type <> 'error'"), 480, "other", ("busy_from", "busy_to"))
+    pairs = overlaps.overlapping(failing, busy, ("user_id", "other"), (("failing_from", "failing_to"), ("busy_from", "busy_to")))
+    return pairs.drop("other")

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.exact import cents, hundredths, total
 from tallyspark.plans.catalogue import Catalogue
+from tallyspark.session import shared_path
+from tallyspark.sources.merged import Merged
 from tallyspark.sources.tables import load, load_stream
 from tallyspark.streaming.joins import enrich, match
-from tallyspark.streaming.run import finished
+from tallyspark.streaming.run import finished, replayed, run_available, run_merged
 from tallyspark.streaming.state import latest_state, running_state
 from tallyspark.streaming.timed import baskets
 from tallyspark.streaming.windows import stream_dedupe, stream_sessions, windowed
@@ -99,14 +101,67 @@ def streamed_with_customer(spark: SparkSession, sf: str) -> DataFrame:
 )
 def streamed_click_matches(spark: SparkSession, sf: str) -> DataFrame:
     """Two streams: clicks up to six hours before a purchase."""
-    purchases = load_stream(spark, sf, "events").where(F.col("event_type") == "purchase").select(
+    pairs = _clicks_of_purchases(load_stream(spark, sf, "events"), load_stream(spark, sf, "events"), "inner")
+    return finished(pairs, "matches")
+
+
+def _clicks_of_purchases(bought: DataFrame, clicked: DataFrame, how: str) -> DataFrame:
+    purchases = bought.where(F.col("event_type") == "purchase").select(
         F.col("event_id").alias("purchase_id"), "user_id", F.col("ts").alias("bought_at")
     )
-    clicks = load_stream(spark, sf, "events").where(F.col("event_type") == "click").select(
+    clicks = clicked.where(F.col("event_type") == "click").select(
         F.col("event_id").alias("click_id"), F.col("user_id").alias("clicker"), F.col("ts").alias("clicked_at")
     )
-    pairs = match(purchases, clicks, ("user_id", "clicker"), ("bought_at", "clicked_at"), 6 * 3600, "1 hour")
-    return finished(pairs.select("purchase_id", "click_id", "user_id"), "matches")
+    pairs = match(purchases, clicks, ("user_id", "clicker"), ("bought_at", "clicked_at"), 6 * 3600, "1 hour", how)
+    return pairs.select("purchase_id", "click_id", "user_id")
+
+
+@query(
+    """
+    WITH p AS (SELECT * FROM events WHERE event_type = 'purchase'), c AS (SELECT * FROM events WHERE event_type = 'click')
+    SELECT p.event_id AS purchase_id, c.event_id AS click_id, p.user_id
+    FROM p LEFT JOIN c ON p.user_id = c.user_id AND c.ts BETWEEN p.ts - INTERVAL 6 HOUR AND p.ts
+    WHERE c.event_id IS NOT NULL
+       OR p.ts <= date_trunc('milliseconds', least((SELECT max(ts) FROM p), (SELECT max(ts) FROM c))) - INTERVAL 1 HOUR
+    """
+)
+def streamed_clicks_or_none(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``streamed_click_matches``, with the purchases that no click came before, fed in order of time."""
+    out, state = shared_path(spark, "alone-out"), shared_path(spark, "alone-state")
+
+    def step(stream: DataFrame) -> None:
+        run_available(_clicks_of_purchases(stream, stream, "left_outer"), out, state)
+
+    events = load(spark, sf, "events")
+    replayed(events, "ts", _edges(events, 3), "alone", step)
+    return spark.read.schema("purchase_id long, click_id long, user_id long").parquet(out)
+
+
+def _edges(rows: DataFrame, slices: int) -> list:
+    """Times that cut a table's span into equal slices."""
+    first, last = rows.agg(F.min("ts"), F.max("ts")).first()
+    return [] if first is None else [first + (last - first) * i / slices for i in range(1, slices)]
+
+
+@query(
+    """
+    SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, event_type, count(*) AS n,
+           CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total
+    FROM events GROUP BY 1, 2
+    """
+)
+def hourly_windows_live(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly windows brought up to date with each micro-batch, those still open included."""
+    schema = "window_start timestamp_ntz, event_type string, n long, total double"
+    into = Merged(shared_path(spark, "live-windows"), schema, ["window_start", "event_type"], "n", parts=8)
+    state = shared_path(spark, "live-state")
+
+    def step(stream: DataFrame) -> None:
+        run_merged(windowed(stream, "ts", "1 hour", None, "1 hour", ["event_type"], _aggs()), into, state)
+
+    events = load(spark, sf, "events").select("ts", "event_type", "value")
+    replayed(events, "ts", _edges(events, 3), "live", step)
+    return into.read(spark)
 
 
 @query(

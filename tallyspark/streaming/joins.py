@@ -19,10 +19,14 @@ def enrich(stream: DataFrame, dim: DataFrame, on: tuple[str, str], how: str = "l
 
 
 def match(
-    left: DataFrame, right: DataFrame, on: tuple[str, str], times: tuple[str, str], seconds: int, delay: str
+    left: DataFrame, right: DataFrame, on: tuple[str, str], times: tuple[str, str], seconds: int, delay: str, how: str = "inner"
 ) -> DataFrame:
     """Pairs of equal key with the right time 0 to ``seconds`` before the left.
 
+    With ``how`` "left_outer" a left row without a partner comes out, too, as
+    soon as the watermark of both streams has passed it: no partner can come
+    any more then, and its state is dropped.
+
     Both watermarks and the time bound let Spark drop state that can no
     longer match. The time cells in the join key spread one hot key over many
     state partitions and keep distant rows of a key from meeting.
@@ -37,4 +41,4 @@ def match(
     opens = F.col(l_ts) - F.expr(f"interval {seconds} seconds")
     on_time = (F.col(r_ts) <= F.col(l_ts)) & (F.col(r_ts) >= opens)
     same = (F.col(on[0]) == F.col(on[1])) & (F.col("_l_cell") == F.col("_r_cell"))
-    return l.join(r, same & on_time).drop("_l_cell", "_r_cell")
+    return l.join(r, same & on_time, how).drop("_l_cell", "_r_cell")
