@@ -25,24 +25,22 @@ those named like new ones give way.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from tallyspark.llm.common import Memo, pinned
+from tallyspark.llm.common import pinned
 from tallyspark.llm.lexicon import WORDS, Merger
 from tallyspark.llm.shipped import open_shipped, ship
 
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
-# What a sentence-piece text parts into: no piece has a blank after another character.
-_SPACED = regex.compile(r" +[^ ]*")
 
 
 @dataclass(frozen=True)
@@ -63,16 +61,27 @@ class ByteSide:
 
     def __init__(self, path: str) -> None:
         self.merger = Merger(path, names_as_text=True)
-        tokens = self.merger.token_bytes()
-        self.tokens, self.kind = tokens, _kind(len(tokens))
-        self.known = Memo(lambda w: np.array(self.merger.merged(w), self.kind).tobytes())
+        self.tokens = self.merger.token_bytes()
+        self.kind = _kind(len(self.tokens))
+        self.ranked = self._ranked()
+
+    def _ranked(self):
+        """A faster encoder of the same merges, if the vocabulary numbers its tokens in the order of their merges."""
+        import tiktoken
+
+        merges = json.loads(self.merger.tokenizer.to_str())["model"]["merges"]
+        number = self.merger.tokenizer.get_vocab(with_added_tokens=False)
+        made = [number["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in merges]
+        if made != list(range(256, 256 + len(merges))) or len(number) != 256 + len(merges):
+            return None
+        ranks = {self.tokens[i]: i for i in number.values()}
+        return tiktoken.Encoding("ranked", pat_str=WORDS.pattern, mergeable_ranks=ranks, special_tokens={})
 
     def ids(self, text: str) -> np.ndarray:
         text = f" {text}"
-        if not self.merger.plain(text):
+        if self.ranked is None or not self.merger.plain(text):
             return np.array(self.merger.whole(text), self.kind)
-        known = self.known
-        return np.frombuffer(b"".join([known[w] for w in map(str.encode, WORDS.findall(text))]), self.kind)
+        return np.array(self.ranked.encode_ordinary(text), self.kind)
 
 
 class PieceSide:
@@ -82,22 +91,15 @@ class PieceSide:
         import sentencepiece
 
         self.model = sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        size = sp.vocab_size()
-        pieces = [sp.id_to_piece(i) for i in range(size)]
+        pieces = [sp.id_to_piece(i) for i in range(sp.vocab_size())]
         self.tokens = [
             bytes([int(p[3:5], 16)]) if sp.is_byte(i) else b"" if sp.is_control(i) or sp.is_unknown(i) else p.replace("▁", " ").encode()
             for i, p in enumerate(pieces)
         ]
-        self.kind = _kind(size)
-        # Only if no piece goes on after a blank can a text be encoded word by word.
-        self.apart = "▁" in pieces and not any("▁" in p.lstrip("▁") for p in pieces)
-        self.known = Memo(lambda w: np.array(sp.encode(w[1:].decode()) if len(w) > 1 else [sp.piece_to_id("▁")], self.kind).tobytes())
+        self.kind = _kind(len(pieces))
 
     def ids(self, text: str) -> np.ndarray:
-        if not self.apart or "▁" in text:
-            return np.array(self.model.encode(text), self.kind)
-        known = self.known
-        return np.frombuffer(b"".join([known[w] for w in map(str.encode, _SPACED.findall(f" {text}"))]), self.kind)
+        return np.array(self.model.encode(text), self.kind)
 
 
 def _kind(size: int) -> str:
