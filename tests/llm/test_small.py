@@ -479,23 +479,26 @@ def brute_rules(text):
 def test_quality_rules(spark, odd, none):
     rng = random.Random(7)
     texts = [text_of(rng, n, v) for n in (7, 8, 9, 30, 200) for v in (1, 2, 3, 200)] + ["a b\nc d\n \n a b\nc d\na b " * 9, "#| $x\n" * 5, "é ü\x0b\x0c\r\nz"]
-    got = {r["doc_id"]: r for r in quality_rules.judged(documents(spark, [*texts, *ODD])).collect()}
+    docs = documents(spark, [*texts, *ODD])
+    got = {r["doc_id"]: r for r in quality_rules.judged(docs, docs.select("text").limit(9)).collect()}
     for i, t in enumerate([*texts, *ODD]):
         r = got[i]
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) == brute_rules(t), t
         assert not (r["base_failed"] and r["kept"])
-    assert quality_rules.judged(odd).count() == len(ODD) and quality_rules.judged(none).count() == 0
+    assert quality_rules.judged(odd, none).count() == len(ODD) and quality_rules.judged(none, odd).count() == 0
+    assert {r["score"] for r in quality_rules.judged(odd, none).collect()} == {None, 0.0}  # nothing is trusted
 
 
 def test_ratio_is_that_of_the_counts(spark):
     docs = documents(spark, ["good words here"] * 30 + ["bad thing"] * 10)
-    rules = quality_rules.Rules(buckets=64, least_words=1, most_repeated=100)
-    trust = F.col("text").startswith("good")
-    got = quality_rules.judged(docs, trust, rules).collect()
-    # All n-grams of the good texts are in the target: 150 of 180 in the raw corpus.
-    good = {round(r["score"], 9) for r in got if r["n_words"] == 3}
-    bad = {round(r["score"], 9) for r in got if r["n_words"] == 2}
-    assert len(good) == len(bad) == 1 and good.pop() > 0 > -0.2 > bad.pop()
+    rules = quality_rules.Rules(buckets=1 << 12, least_words=1, most_repeated=100)
+    labels = spark.createDataFrame([(i, int(i < 30)) for i in range(40)] + [(5, 1), (99, 1), (None, 1), (31, None)], "doc_id long, quality int")
+    got = quality_rules.judged(docs, quality_rules.labelled(docs, labels), rules).collect()
+    # The target has the 5 n-grams of the good texts 30 times each: 150 of 150, and of 180 in the raw corpus.
+    mass = 1 << 12
+    good = np.log(31 / (150 + mass)) - np.log(31 / (180 + mass))
+    bad = np.log(1 / (150 + mass)) - np.log(11 / (180 + mass))
+    assert {(r["n_words"], round(r["score"], 4), r["kept"]) for r in got} == {(3, round(good, 4), True), (2, round(bad, 4), False)}
 
 
 # ---- 10 ----

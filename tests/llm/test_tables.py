@@ -27,7 +27,7 @@ def query(name):
 
 def test_registered():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2].isdigit()) == list(range(1, 14))
     assert "pipeline" in contract.queries() and [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "pseudonyms", "mixing", "packing"]
 
 
@@ -36,7 +36,7 @@ def test_agrees_with_sql(spark, graded, name):
     assert differences(query(name)(spark, graded), duck(graded), SQL[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(CATALOGUE.queries))
+@pytest.mark.parametrize("name", sorted(CATALOGUE.queries.keys() - {"op11_collocations"}))
 def test_a_row_for_every_document(spark, small, name):
     got = query(name)(spark, small)
     ids = {"op7_url_verdicts": "page_id", "op8_top_inner_products": "query_id"}.get(name, "doc_id")
@@ -62,7 +62,7 @@ def test_rules_keep_good_and_drop_junk(spark, graded):
     labels = spark.read.parquet(f"{graded}/labels.parquet")
     got = query("op9_quality_rules")(spark, graded).join(labels, "doc_id").where("not base_failed").collect()
     good, bad = [r["kept"] for r in got if r["quality"] == 1], [r["kept"] for r in got if r["quality"] == 0]
-    assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.3 * len(bad)
+    assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.05 * len(bad)
 
 
 def test_pipeline_stages(spark, small):
