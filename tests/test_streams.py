@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyspark.streaming.joins import enrich, match
-from tallyspark.streaming.run import finished, run_available
+from tallyspark.sources.merged import Merged
+from tallyspark.streaming.run import finished, run_available, run_merged
 from tallyspark.streaming.state import latest_state, running_state
+from tallyspark.streaming.timed import baskets
 from tallyspark.streaming.windows import stream_dedupe, stream_sessions, windowed
 
 T0 = datetime(2024, 1, 1)
@@ -153,3 +156,156 @@ def test_a_kept_result_goes_on(feed):
     feed.add((4, 2, 210), (5, 3, 900))
     assert result(kept) == [(1, 2), (2, 2)]
     assert result(kept) == [(1, 2), (2, 2)]
+
+
+# ---- baskets, closed by purchases and by timers ----
+
+
+def basket_stream(feed):
+    kind = F.element_at(F.array(F.lit("click"), F.lit("purchase"), F.lit("view")), (F.col("id") % 3 + 1).cast("int"))
+    return baskets(feed.stream().withColumn("kind", kind), "u", "ts", "kind", "10 minutes", 30)
+
+
+def minutes_of(found):
+    at = lambda t: int((t - T0).total_seconds() // 60)
+    return sorted((r["key"], at(r["opened_at"]), at(r["closed_at"]), r["clicks"], r["bought"]) for r in found.collect())
+
+
+CLICK, BUY, VIEW = 0, 1, 2
+
+
+def test_a_timer_closes_a_basket_without_a_further_row(feed):
+    feed.add((CLICK, 1, 0), (CLICK, 1, 5), (VIEW, 1, 6), (CLICK, 2, 1), (BUY, 2, 3), (BUY, 2, 4))
+    feed.run(basket_stream(feed))
+    assert not (feed.root / "out").exists() or minutes_of(feed.result()) == []
+    feed.add((CLICK, 3, 60))  # another user's row moves the time to 50: 35 has passed
+    feed.run(basket_stream(feed))
+    assert minutes_of(feed.result()) == [(1, 0, 35, 2, False), (2, 1, 3, 1, True)]
+    feed.add((BUY, 1, 30), (BUY, 3, 70))  # the first is behind the watermark
+    progress = feed.run(basket_stream(feed))
+    assert sum(s["numRowsDroppedByWatermark"] for p in progress for s in p["stateOperators"]) == 1
+    feed.add((VIEW, 9, 500), (CLICK, 9, 500))
+    feed.run(basket_stream(feed))
+    assert minutes_of(feed.result()) == [(1, 0, 35, 2, False), (2, 1, 3, 1, True), (3, 60, 70, 1, True)]
+
+
+def plain_baskets(rows, idle, passed):
+    out, by = [], {}
+    for kind, u, m in rows:
+        by.setdefault(u, {}).setdefault(m, [0, 0])
+        if kind % 3 < 2:
+            by[u][m][kind % 3] += 1
+    for u, minutes in by.items():
+        basket = None
+        for m in sorted(minutes):
+            clicks, buys = minutes[m]
+            if basket and m > basket[1] + idle:
+                out.append((u, basket[0], basket[1] + idle, basket[2], False))
+                basket = None
+            if clicks:
+                basket = (basket[0], m, basket[2] + clicks) if basket else (m, m, clicks)
+            if buys and basket:
+                out.append((u, basket[0], m, basket[2], True))
+                basket = None
+        if basket:
+            out.append((u, basket[0], basket[1] + idle, basket[2], False))
+    return sorted(b for b in out if b[2] <= passed)
+
+
+def test_baskets_do_not_depend_on_the_batches(feed):
+    rng = random.Random(3)
+    rows = [(rng.randrange(3), rng.randrange(4), m) for m in range(0, 600, 2) if rng.random() < 0.8]
+    for at in range(0, len(rows), 60):
+        part = rows[at : at + 60]
+        rng.shuffle(part)
+        # Within the delay, so rows of neighbouring batches may change places.
+        feed.add(*part[::2])
+        feed.add(*part[1::2])
+        feed.run(basket_stream(feed))
+    last = max(m for k, _, m in rows if k < 2)
+    assert minutes_of(feed.result()) == plain_baskets(rows, 30, last - 10)
+
+
+# ---- purchases without a click ----
+
+
+def test_outer_matches_come_out_when_the_watermark_passes(feed):
+    def stream():
+        source = feed.stream()
+        left = source.where("id < 100").select(F.col("id").alias("l"), F.col("u").alias("lu"), F.col("ts").alias("lt"))
+        right = source.where("id >= 100").select(F.col("id").alias("r"), F.col("u").alias("ru"), F.col("ts").alias("rt"))
+        return match(left, right, ("lu", "ru"), ("lt", "rt"), 3600, "10 minutes", "left_outer").select("l", "r")
+
+    feed.add((1, 1, 10), (2, 2, 10), (101, 1, 5), (3, 3, 200), (102, 3, 100), (102, 9, 200))
+    feed.run(stream())
+    assert rows(feed.result()) == sorted([(1, 101), (2, None)], key=repr)  # 3 is still open at 190
+    feed.add((103, 3, 195), (104, 9, 300), (4, 9, 320))
+    feed.run(stream())
+    assert rows(feed.result()) == sorted([(1, 101), (2, None), (3, 103), (4, 104)], key=repr)
+
+
+# ---- tables merged by parts ----
+
+
+def merged(spark, tmp_path, parts=4):
+    return Merged(str(tmp_path / "table"), "k long, v string, n int", ["k"], "n", parts)
+
+
+def changes(spark, *rows):
+    return spark.createDataFrame(list(rows), "k long, v string, n int")
+
+
+def test_merging_again_changes_nothing(spark, tmp_path):
+    table = merged(spark, tmp_path)
+    assert table.read(spark).count() == 0
+    assert table.merge(changes(spark, (1, "a", 1), (2, "b", 1), (2, "c", 2), (None, "z", 1)), 0)
+    before = rows(table.read(spark))
+    assert before == rows(changes(spark, (1, "a", 1), (2, "c", 2), (None, "z", 1)))
+    assert not table.merge(changes(spark, (1, "x", 9)), 0) and rows(table.read(spark)) == before
+    assert table.merge(changes(spark, (1, "old", 0), (2, "d", 2), (3, "e", 1)), 5)
+    after = rows(changes(spark, (1, "a", 1), (2, "d", 2), (3, "e", 1), (None, "z", 1)))
+    assert rows(table.read(spark)) == after
+    assert table.merge(changes(spark), 6) and rows(table.read(spark)) == after
+    table.tidy(spark)
+    assert rows(table.read(spark)) == after and not table.merge(changes(spark, (1, "x", 9)), 6)
+
+
+def test_a_batch_that_failed_before_its_commit_is_not_seen(spark, tmp_path):
+    table = merged(spark, tmp_path)
+    table.merge(changes(spark, (1, "a", 1), (2, "b", 1)), 0)
+    seen = rows(table.read(spark))
+    # As if the driver had died between the rows and the commit: the rows are there, the commit isn't.
+    table.merge(changes(spark, (1, "half", 2)), 1)
+    for f in (tmp_path / "table" / "published" / "batch=1").iterdir():
+        f.unlink()
+    assert rows(table.read(spark)) == seen
+    assert table.merge(changes(spark, (1, "whole", 2)), 1)
+    assert rows(table.read(spark)) == rows(changes(spark, (1, "whole", 2), (2, "b", 1)))
+
+
+def test_untouched_parts_are_not_read(spark, tmp_path):
+    table = merged(spark, tmp_path, parts=8)
+    table.merge(changes(spark, *[(i, "a", 1) for i in range(100)]), 0)
+    table.merge(changes(spark, (7, "b", 2)), 1)
+    _, places = table._published(spark)
+    assert sorted(places) == list(range(8)) and sorted(places.values()) == [0] * 7 + [1]
+    written = spark.read.parquet(f"{table.root}/data/batch=1")
+    assert written.select("part").distinct().count() == 1 and table.read(spark).count() == 100
+    files = {f.rpartition("part=")[2].split("/")[0] for f in table._read(spark, {p: b for p, b in places.items() if b == 1}).inputFiles()}
+    assert len(files) == 1
+
+
+def test_live_windows_go_on_after_a_restart(feed, spark, tmp_path):
+    table = Merged(str(tmp_path / "live"), "window_start timestamp_ntz, n long", ["window_start"], "n", 3)
+
+    def step():
+        run_merged(windowed(feed.stream(), "ts", "1 hour", None, "10 minutes", [], aggs()), table, str(tmp_path / "live-state"))
+        return sorted((int((r["window_start"] - T0).total_seconds() // 3600), r["n"]) for r in table.read(spark).collect())
+
+    feed.add((1, 1, 1), (2, 1, 59), (3, 1, 61))
+    assert step() == [(0, 2), (1, 1)]
+    assert step() == [(0, 2), (1, 1)]
+    feed.add((4, 1, 62), (5, 1, 300), (6, 1, 58))
+    assert step() == [(0, 3), (1, 2), (5, 1)]
+    feed.add((7, 1, 5), (8, 1, 301))  # the first is late
+    assert step() == [(0, 3), (1, 2), (5, 2)]
