@@ -27,6 +27,7 @@ named like new ones (``ids``, ``text``) give way.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -44,6 +45,9 @@ from tallyspark.llm.shipped import open_shipped, ship
 
 # Fixed value: the pattern by which byte-level vocabularies part a text.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+# The same for texts of the code points below, among which no superscripts, fractions or separators stand.
+_COMMON_WORDS = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+_COMMON = re.compile("[\x00-\x1b\x20-\x7f\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f]*")
 # Code points whose class has been settled for long; others are left to the tokenizer's own Unicode tables.
 _SETTLED = regex.compile(
     "[\x00-ԧא-תء-ي٠-٩ऄ-हก-ฺḀ-ỿ -⁤₠-₸"
@@ -55,7 +59,7 @@ _LETTERS = regex.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 
 @dataclass(frozen=True)
 class Shape:
-    entries: int = 1 << 16  # words of the lexicon, at most
+    entries: int = 1 << 18  # words of the lexicon, at most
     longest: int = 48  # bytes of a word that can be an entry
     share: float = 2e-6  # of a task's words that a reported word makes up
     counted: int = 1 << 21  # words that are counted before they are reported
@@ -95,6 +99,11 @@ class Merger:
         return out
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a text that is plain."""
+    return (_COMMON_WORDS if _COMMON.fullmatch(text) else WORDS).findall(text)
+
+
 def parts(text: str, size: int) -> Iterator[str]:
     """A long text in parts, cut between two words of letters where there are any."""
     at = 0
@@ -124,7 +133,7 @@ def _counter(path: str, shape: Shape):
                 if not text or not merger.plain(text):
                     continue
                 for part in parts(text, shape.slice):
-                    found = WORDS.findall(part)
+                    found = words_of(part)
                     counts.update(found)
                     size += len(found)
                     if size >= shape.counted:
@@ -308,12 +317,12 @@ class Encoder:
                     yield flush()
                     waiting, parts_of, size = [], [], 0
                 if plain:
-                    ids = np.concatenate([self.words(WORDS.findall(p))[0] for p in parts(text, self.shape.slice)])
+                    ids = np.concatenate([self.words(words_of(p))[0] for p in parts(text, self.shape.slice)])
                 else:
                     ids = np.array(self.merger.whole(text), np.int32)
                 yield 1, ids, np.array([len(ids)])
                 continue
-            found = WORDS.findall(text)
+            found = words_of(text)
             waiting += found
             parts_of.append(len(found))
             size += len(text)
