@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions.exact import amount, cents
 from tallyspark.functions.udfs import TextLines, digit_sum, grouped_partials, trend_per_group
+from tallyspark.operators.heavy import heavy_hitters
+from tallyspark.operators.sketches import distinct_in_all, distinct_in_any, quantiles_of, sketched
 from tallyspark.plans.catalogue import Catalogue
+from tallyspark.session import pinned
 from tallyspark.sources.tables import load
 
 CATALOGUE = Catalogue()
@@ -65,7 +68,33 @@ def daily_value_trend(spark: SparkSession, sf: str) -> DataFrame:
     """
 )
 def document_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Table function in a lateral join."""
-    documents = load(spark, sf, "documents").select("doc_id", "text")
-    lines = documents.lateralJoin(TextLines(F.col("text").outer()))
-    return lines.select("doc_id", "line_no", "n_chars", "n_words")
+    """Table function over a whole table."""
+    lines = TextLines(load(spark, sf, "documents").select("doc_id", "text").asTable())
+    return lines.withColumnRenamed("id", "doc_id")
+
+
+@query(
+    r"""
+    WITH w AS (SELECT unnest(string_split_regex(lower(text), '\s+')) AS word FROM documents), n AS (SELECT word FROM w WHERE word <> '')
+    SELECT word, count(*) AS n FROM n GROUP BY 1 HAVING count(*) * 500 > (SELECT count(*) FROM n)
+    """
+)
+def heaviest_words(spark: SparkSession, sf: str) -> DataFrame:
+    """Words that are more than one in 500, without a count of all words."""
+    words = load(spark, sf, "documents").select(F.explode(F.split(F.lower("text"), r"\s+")).alias("word")).where("word <> ''")
+    return heavy_hitters(words, ["word"], 500)
+
+
+@query()
+def stored_sketches(spark: SparkSession, sf: str) -> DataFrame:
+    """Users and values of any days from one sketch a day: (question, answer)."""
+    events = load(spark, sf, "events")
+    made = sketched(events, [F.col("ts").cast("date").alias("day")], {"users": F.col("user_id")}, {"value": F.col("value")})
+    stored = pinned(made, "sketches")
+    first, second = F.col("day") < "2024-01-08", F.col("day").between("2024-01-08", "2024-01-14")
+    weeks = distinct_in_all(stored, "users", {"first_week": first, "second_week": second})
+    month = distinct_in_any(stored, "users").withColumnRenamed("users", "month")
+    quantiles = quantiles_of(stored, "value", [0.25, 0.5, 0.75])
+    answers = weeks.select(*[F.col(c).cast("double").alias(c) for c in weeks.columns]).unpivot([], weeks.columns, "question", "answer")
+    answers = answers.union(month.select(F.lit("month"), F.col("month").cast("double")))
+    return answers.union(quantiles.select(F.posexplode("value").alias("at", "answer")).select(F.concat(F.lit("quartile_"), F.col("at") + 1), "answer"))
