@@ -1,26 +1,30 @@
 """Quality rules: base statistics of a text, then a log-likelihood ratio of hashed n-grams.
 
 Two multinomials over hashed word n-grams (one word and two) are counted: the
-raw corpus over all documents, the target over those that a trust rule picks.
-A document's score is the mean of log p_target - log p_raw over its n-grams;
-below a fixed threshold it is not kept. Everything runs as DataFrame
-expressions; counts are of a fixed number of buckets whatever the corpus.
+raw corpus over all documents, the target over texts that are trusted (a
+bounded sample of those labelled good). A document's score is the mean of
+log p_target - log p_raw over its n-grams; below a fixed threshold it is not
+kept. Everything runs as DataFrame expressions; counts are of a fixed number of
+buckets whatever the corpus. A row looks its n-grams up in the list of ratios;
+ratios are whole millionths, so sums do not depend on their order.
 
 Nulls: a null text is an empty one. A text without a word has all statistics 0
-and fails the base rules. Equal rows get equal answers. An empty table gives an
-empty result.
+and fails the base rules. Equal rows get equal answers. Labels that are null or
+of unknown documents trust nothing; with nothing trusted all scores are 0. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import BLANKS, pinned, words
+from tallyspark.llm.common import BLANKS, words
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = r"[#*$%&|<>]"
 
 
 @dataclass(frozen=True)
@@ -30,24 +34,21 @@ class Rules:
     window: int = 8
     buckets: int = 1 << 16
     # Nats per n-gram. 0 is a text that is as likely in the target as in the raw corpus.
-    threshold: float = -0.2
+    threshold: float = -0.1
     prior: float = 1.0  # added to each bucket's counts
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
-
-
 def statistics(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Add ``_words`` and the statistics of the whole text."""
     text = F.coalesce(F.col("text"), F.lit(""))
+    symbols = F.regexp_count(text, F.lit(SYMBOLS))
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     out = docs.withColumn("_words", words(F.col("text"))).withColumn("_lines", lines)
     out = out.withColumns(
         {
             "n_words": F.size("_words").cast("long"),
-            "word_chars": F.length(_without(text, BLANKS)).cast("long"),
-            "n_symbols": (F.length(text) - F.length(_without(text, SYMBOLS))).cast("long"),
+            "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+            "n_symbols": symbols.cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
         }
     )
@@ -84,14 +85,11 @@ def base_failed(rules: Rules = Rules()) -> Column:
     return (F.col("n_words") < rules.least_words) | (100 * F.col("n_repeat_words") > rules.most_repeated * F.col("n_words"))
 
 
-def trusted() -> Column:
-    """The rule that picks the target: running text without junk, by the statistics alone."""
-    text = F.coalesce("text", F.lit(""))
-    capitals = F.length(text) - F.length(_without(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
-    return (
-        (F.col("n_words") >= 50) & (F.col("n_symbols") == 0) & (F.col("n_dup_lines") == 0)
-        & (F.size(F.array_distinct("_words")) * 3 > F.col("n_words")) & (capitals * 10 < F.length(text))
-    )
+def labelled(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = 4_000) -> DataFrame:
+    """The texts of at most ``most`` documents labelled 1, picked by a hash of the id, to be the target."""
+    good = labels.where(F.col(label) == 1).select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    # No more rows than the sample may have, so sending them to every task is safe.
+    return docs.join(F.broadcast(good), "doc_id", "left_semi").select("text")
 
 
 def _grams() -> Column:
@@ -101,33 +99,34 @@ def _grams() -> Column:
     return F.concat("_hashes", pairs)
 
 
-def _bucket(buckets: int) -> Column:
-    return F.pmod("gram", F.lit(buckets)).cast("int").alias("bucket")
+def _counts(docs: DataFrame, name: str, buckets: int) -> DataFrame:
+    """(bucket, name): the n-grams of all texts."""
+    hashed = docs.select(F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("_hashes"))
+    grams = hashed.select(F.explode(_grams()).alias("gram")).select(F.pmod("gram", F.lit(buckets)).cast("int").alias("bucket"))
+    return grams.groupBy("bucket").agg(F.count(F.lit(1)).alias(name))
 
 
-def ratios(docs: DataFrame, trust: Column | None = None, rules: Rules = Rules()) -> DataFrame:
-    """(bucket, ratio): log p_target - log p_raw for every bucket, from all documents."""
-    known = statistics(docs.select("text"), rules).withColumn("_target", trusted() if trust is None else trust)
-    hashed = known.select("_target", F.transform("_words", lambda w: F.xxhash64(w)).alias("_hashes"))
-    grams = hashed.select("_target", F.explode(_grams()).alias("gram")).select("_target", _bucket(rules.buckets))
-    counted = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count_if("_target").alias("target"))
+def ratios(docs: DataFrame, target: DataFrame, rules: Rules = Rules()) -> list[int]:
+    """log p_target - log p_raw of every bucket in millionths, p_raw from all documents; 0 where the target has no word."""
     every = docs.sparkSession.range(rules.buckets).select(F.col("id").cast("int").alias("bucket"))
-    counted = pinned(every.join(counted, "bucket", "left").fillna(0, ["raw", "target"]), "gram-counts")
-    sums = counted.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
-    mass = rules.prior * rules.buckets
-    ratio = F.log((F.col("target") + rules.prior) / (sums["target"] + mass)) - F.log((F.col("raw") + rules.prior) / (sums["raw"] + mass))
-    return counted.select("bucket", ratio.alias("ratio"))
-
-
-def judged(docs: DataFrame, trust: Column | None = None, rules: Rules = Rules()) -> DataFrame:
+    for rows, name in ((docs, "raw"), (target, "target")):
+        every = every.join(_counts(rows, name, rules.buckets), "bucket", "left")
+    found = every.fillna(0, ["raw", "target"]).orderBy("bucket").collect()  # as many as there are buckets
+    raw, wanted = (sum(r[name] for r in found) + rules.prior * rules.buckets for name in ("raw", "target"))
+    if not any(r["target"] for r in found):
+        return [0] * rules.buckets
+    return [
+        round(1e6 * (math.log((r["target"] + rules.prior) / wanted) - math.log((r["raw"] + rules.prior) / raw))) for r in found
+    ]
+
+
+def judged(docs: DataFrame, target: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Per document (doc_id) its statistics, ``base_failed``, ``score`` and ``kept``."""
-    table = ratios(docs, trust, rules)
-    rows = repeated_words(statistics(docs.select("doc_id", "text", F.monotonically_increasing_id().alias("_row")), rules), rules)
+    # A list of fixed length in the plan: each row looks its n-grams up itself.
+    table = F.split(F.lit(",".join(map(str, ratios(docs, target, rules)))), ",").cast("array<int>")
+    rows = repeated_words(statistics(docs.select("doc_id", "text"), rules), rules).withColumn("_found", _grams())
+    total = F.aggregate("_found", F.lit(0).cast("long"), lambda s, g: s + F.get(table, F.pmod(g, F.lit(rules.buckets)).cast("int")))
+    mean = F.when(F.size("_found") > 0, total / (1e6 * F.size("_found")))
     facts = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    grams = rows.select("_row", *facts, F.explode_outer(_grams()).alias("gram")).select("_row", *facts, _bucket(rules.buckets))
-    # As many rows as there are buckets, whatever the corpus.
-    met = grams.join(F.broadcast(table), "bucket", "left")
-    summed = met.groupBy("_row").agg(*[F.max(c).alias(c) for c in facts], F.avg("ratio").alias("score"))
-    out = summed.withColumn("base_failed", base_failed(rules))
-    kept = ~F.col("base_failed") & (F.coalesce("score", F.lit(0.0)) >= rules.threshold)
-    return out.withColumn("kept", kept).drop("_row")
+    out = rows.select(*facts, mean.alias("score")).withColumn("base_failed", base_failed(rules))
+    return out.withColumn("kept", ~F.col("base_failed") & (F.coalesce("score", F.lit(0.0)) >= rules.threshold))

@@ -90,7 +90,7 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
 def op1_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
     """Every document with its personal data under format-preserving pseudonyms."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return pii.pseudonyms(docs, "corpus").select("doc_id", "text", pii.replaced_count().alias("n_replaced"))
+    return pii.pseudonyms(docs, pii.session_key(spark)).select("doc_id", "text", pii.replaced_count().alias("n_replaced"))
 
 
 @query(
@@ -121,7 +121,8 @@ def op3_quality_scores(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Base statistics and the n-gram likelihood verdict of every document."""
-    found = quality_rules.judged(table(spark, sf, "documents").select("doc_id", "text"))
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = quality_rules.judged(docs, quality_rules.labelled(docs, table(spark, sf, "labels")))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score")
 
 
