@@ -1,11 +1,12 @@
 """Mixing sources to target weights, in fixed-length blocks of words.
 
 Every source's documents, in a hashed order, form one stream of words that is
-cut into blocks. The mix has a number of output slots, dealt over shards. Which
-source a slot takes is drawn: a pseudorandom permutation of all slots makes
-each slot's draw uniform and stratified, so that every shard's counts are
-random as in a multinomial draw while the totals over all shards come out as
-planned. A source's k-th slot is mapped through a pseudorandom permutation of
+cut into blocks. The mix has a number of output slots, dealt over shards. Each
+slot draws its source with the planned shares, by a seeded hash of its number:
+a shard's counts of sources are a multinomial draw. Over all shards the counts
+miss the plan by a small random share; that many slots are handed on to sources
+that were drawn too seldom, so the totals are those planned and no source is
+taken more often than allowed. A source's k-th slot is mapped through a pseudorandom permutation of
 its block numbers, a new one for each pass over the source, and slots are
 joined with blocks by (source, block number).
 
@@ -92,20 +93,32 @@ def slots(targets: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """(shard, slot, _src, index, block): every slot of the mix and the block it takes."""
     spark = targets.sparkSession
     n, sources = targets.agg(F.coalesce(F.sum("_slots"), F.lit(0)), F.count(F.lit(1))).first()
-    # The drawn numbers are cut into equal cells; a source stands in each cell that its range meets.
+    # The numbers to draw are cut into equal cells; a source stands in each cell that its range meets.
     cell = max(1, n // max(1024, 4 * sources))
     ranges = targets.where("_slots > 0").select(
-        "_src", "_blocks", "_first", "_slots",
+        "_src", "_first", "_slots",
         F.explode(F.sequence(F.floor(F.col("_first") / cell), F.floor((F.col("_first") + F.col("_slots") - 1) / cell))).alias("_cell"),
     )
-    drawn = spark.range(n).select(F.col("id").alias("_draw"), F.floor(F.col("id") / cell).alias("_cell"))
-    taken = drawn.join(ranges, "_cell").where("_draw >= _first AND _draw < _first + _slots")
-    slot = shuffled(F.col("_draw"), F.lit(n), F.lit(mix.seed))
-    index = F.col("_draw") - F.col("_first")
-    turn = F.floor(index / F.col("_blocks"))
-    place = shuffled(index % F.col("_blocks"), F.col("_blocks"), F.lit(mix.seed), F.col("_src"), turn)
-    return taken.select(
-        F.floor(slot / mix.shard_slots).alias("shard"), (slot % mix.shard_slots).alias("slot"), "_src", index.alias("index"), place.alias("block")
+    # Each slot draws for itself, so the counts of a shard are a multinomial draw with the sources' shares.
+    draw = F.pmod(F.xxhash64(F.lit(mix.seed), F.col("id")), F.lit(max(1, n)))
+    drawn = spark.range(n).select(F.col("id").alias("_slot"), draw.alias("_draw")).withColumn("_cell", F.floor(F.col("_draw") / cell))
+    taken = drawn.join(ranges, "_cell").where("_draw >= _first AND _draw < _first + _slots").select("_slot", "_src", F.col("_slots").alias("_planned"))
+    taken = taken.withColumn("_order", F.xxhash64("_slot", F.lit(1)))  # so that no shard has the last numbers
+    numbered = pinned(running_offsets(taken, ["_src"], F.xxhash64("_slot"), ["_order", "_slot"], {"index": F.lit(1)}, 5_000), "mix-draws")
+    # Over all shards a source is drawn a little more or less often than planned. Slots beyond the plan,
+    # by the last numbers, go to the numbers that other sources lack: the totals come out as planned.
+    over = numbered.where("index >= _planned").select(F.lit(0).alias("_all"), "_slot")
+    drawn_of = numbered.groupBy("_src").agg(F.count(F.lit(1)).alias("_drawn"))
+    lacking = targets.join(drawn_of, "_src", "left").withColumn("_drawn", F.coalesce("_drawn", F.lit(0))).where("_drawn < _slots")
+    lacking = lacking.select(F.lit(0).alias("_all"), "_src", F.explode(F.sequence(F.col("_drawn"), F.col("_slots") - 1)).alias("index"))
+    over = running_offsets(over, ["_all"], F.xxhash64("_slot"), ["_slot"], {"_n": F.lit(1)}, 5_000)
+    lacking = running_offsets(lacking, ["_all"], F.xxhash64("_src", "index"), ["_src", "index"], {"_n": F.lit(1)}, 5_000)
+    every = numbered.where("index < _planned").select("_slot", "_src", "index").union(over.join(lacking, "_n").select("_slot", "_src", "index"))
+    known = every.join(targets.select("_src", "_blocks"), "_src")
+    turn = F.floor(F.col("index") / F.col("_blocks"))
+    place = shuffled(F.col("index") % F.col("_blocks"), F.col("_blocks"), F.lit(mix.seed), F.col("_src"), turn)
+    return known.select(
+        F.floor(F.col("_slot") / mix.shard_slots).alias("shard"), (F.col("_slot") % mix.shard_slots).alias("slot"), "_src", "index", place.alias("block")
     )
 
 
