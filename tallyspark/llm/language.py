@@ -49,7 +49,7 @@ class Shape:
 def _grams(text: str, shape: Shape) -> Iterator[np.ndarray]:
     """The n-grams of a text as numbers, with repeats, slice by slice; none without a letter."""
     words = _OTHERS.sub(" ", text.lower()).strip()
-    if not words:
+    if not any(map(str.isalpha, words)):  # number signs such as fractions are no letters
         return
     # Neighbours share the blank between them: each word has one on either side.
     points = np.frombuffer(f" {words} ".encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
