@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -178,12 +179,36 @@ def test_index_permutation(spark):
 
 
 def test_drawn_shards_follow_the_targets(spark):
-    targets = mixing.source_targets(spark.createDataFrame([(s, 10_000) for s in "abc"], "source string, size long"))
-    drawn = mixing.slots(targets, mixing.Mix(shard_slots=128))
+    targets = mixing.source_targets(spark.createDataFrame([(s, 100_000) for s in "abc"], "source string, size long"))
+    mix = mixing.Mix(shard_slots=64)
+    planned = {r["_src"]: r for r in targets.collect()}
+    n = sum(r["_slots"] for r in planned.values())
+    drawn = mixing.slots(targets, mix)
+    rows = drawn.collect()
+    # Every slot once; each source as often as planned, by every number once; blocks evenly taken.
+    assert sorted(r["shard"] * 64 + r["slot"] for r in rows) == list(range(n))
+    for src, r in planned.items():
+        own = [x for x in rows if x["_src"] == src]
+        assert sorted(x["index"] for x in own) == list(range(r["_slots"]))
+        times = Counter(x["block"] for x in own)
+        assert set(times) <= set(range(r["_blocks"])) and max(times.values()) <= -(-r["_slots"] // r["_blocks"])
+        assert r["_slots"] < r["_blocks"] or min(times.get(b, 0) for b in range(r["_blocks"])) >= r["_slots"] // r["_blocks"]
+    # The draws again, one by one: only so many slots are handed on as the draws miss the plan.
+    seed = xxhash.xxh64_intdigest(mix.seed.to_bytes(4, "little"), 42)
+    number = lambda i: xxhash.xxh64_intdigest(i.to_bytes(8, "little"), seed)
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    source = {}
+    for i in range(n):
+        at = signed(number(i)) % n
+        source[i] = next(k for k, r in planned.items() if r["_first"] <= at < r["_first"] + r["_slots"])
+    count = Counter(source.values())
+    moved = sum(r["_src"] != source[r["shard"] * 64 + r["slot"]] for r in rows)
+    assert moved == sum(max(0, count[k] - r["_slots"]) for k, r in planned.items()) < n / 10
+    # The counts of shards vary as multinomial ones: chi-squared of k - 1 on average.
     counts = {(r["shard"], r["_src"]): r["slots"] for r in mixing.shard_counts(drawn).collect()}
-    full = [s for s in {k[0] for k in counts} if sum(counts.get((s, x), 0) for x in range(3)) == 128]
-    shares = np.array([[counts.get((s, x), 0) / 128 for x in range(3)] for s in full])
-    assert abs(shares.mean(axis=0) - [1 / 6, 1 / 3, 1 / 2]).max() < 0.06 and shares.std() > 0
+    shares = {k: r["_slots"] / n for k, r in planned.items()}
+    chi = [sum((counts.get((s, k), 0) - 64 * p) ** 2 / (64 * p) for k, p in shares.items()) for s in range(n // 64)]
+    assert len(chi) > 40 and 1.2 < np.mean(chi) < 3
 
 
 def test_mix_of_odd_rows(odd, none):
@@ -522,6 +547,8 @@ def test_languages(spark, odd, none):
     assert language.identify(none, learned).count() == 0
     assert {r["lang_pred"] for r in language.identify(odd, language.profiles(none, F.lit(True))).collect()} == {"und"}
     assert language.accepted(docs, learned).columns == docs.columns and language.accepted(docs, learned).count() == 60
+    signs = language.identify(documents(spark, ["\u00bd \u00b2 \u2460 \u2167", "\u00bd a"]), learned, keep=["doc_id"]).collect()
+    assert {r["doc_id"]: r["lang_pred"] != "und" for r in signs} == {0: False, 1: True}
 
 
 def test_rank_distance_by_hand():
