@@ -50,7 +50,7 @@ class Settings:
     gamma: float = 1.5  # bits of a level for each of its keys
     block: int = 1 << 14  # counts in a row of a dense vector
     fan_in: int = 32  # vectors that are summed at a time
-    batch: int = 1 << 20  # bytes of text that are aligned at a time
+    batch: int = 1 << 18  # bytes of ids that are aligned at a time
 
 
 # ---- tokens ----
@@ -64,6 +64,8 @@ class ByteSide:
         self.tokens = self.merger.token_bytes()
         self.kind = _kind(len(self.tokens))
         self.ranked = self._ranked()
+        # With a token for each byte nothing can get lost.
+        self.lossless = {bytes([b]) for b in range(256)} <= set(self.tokens)
 
     def _ranked(self):
         """A faster encoder of the same merges, if the vocabulary numbers its tokens in the order of their merges."""
@@ -81,7 +83,7 @@ class ByteSide:
         text = f" {text}"
         if self.ranked is None or not self.merger.plain(text):
             return np.array(self.merger.whole(text), self.kind)
-        return np.array(self.ranked.encode_ordinary(text), self.kind)
+        return self.ranked.encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype(self.kind)
 
 
 class PieceSide:
@@ -97,6 +99,7 @@ class PieceSide:
             for i, p in enumerate(pieces)
         ]
         self.kind = _kind(len(pieces))
+        self.lossless = False  # the text may be normalised
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.model.encode(text), self.kind)
@@ -110,8 +113,9 @@ def _side(path: str) -> ByteSide | PieceSide:
     return PieceSide(path) if path.endswith(".model") else ByteSide(path)
 
 
-def _bytes_of(side: ByteSide | PieceSide, ids: np.ndarray) -> bytes:
-    return b"".join(map(side.tokens.__getitem__, ids.tolist()))
+def _kept(side: ByteSide | PieceSide, ids: np.ndarray, text: str) -> bool:
+    """Whether the tokens' bytes are those of a blank and the text."""
+    return side.lossless or b"".join(map(side.tokens.__getitem__, ids.tolist())) == f" {text}".encode()
 
 
 def _tokenizes(path_a: str, path_b: str):
@@ -123,8 +127,7 @@ def _tokenizes(path_a: str, path_b: str):
                 x = y = b""
                 if text:
                     x, y = a.ids(text), b.ids(text)
-                    want = f" {text}".encode()
-                    x, y = (x.tobytes(), y.tobytes()) if _bytes_of(a, x) == want == _bytes_of(b, y) else (b"", b"")
+                    x, y = (x.tobytes(), y.tobytes()) if _kept(a, x, text) and _kept(b, y, text) else (b"", b"")
                 found_a.append(x)
                 found_b.append(y)
             yield pa.RecordBatch.from_arrays(
@@ -135,13 +138,24 @@ def _tokenizes(path_a: str, path_b: str):
     return tokenize
 
 
+@dataclass(frozen=True)
+class Sizes:
+    """Bytes of each id, and how ids are kept, on either side."""
+
+    bytes: tuple[np.ndarray, np.ndarray]
+    kinds: tuple[str, str]
+
+    @classmethod
+    def of(cls, path_a: str, path_b: str) -> Sizes:
+        a, b = _side(path_a), _side(path_b)
+        return cls(tuple(np.array([len(t) for t in s.tokens], np.int32) for s in (a, b)), (a.kind, b.kind))
+
+
 class Aligner:
     """Groups and links of many documents' tokens in a row."""
 
-    def __init__(self, path_a: str, path_b: str) -> None:
-        a, b = _side(path_a), _side(path_b)
-        self.kinds = a.kind, b.kind
-        self.sizes = [np.array([len(t) for t in s.tokens], np.int64) for s in (a, b)]
+    def __init__(self, sizes: Sizes) -> None:
+        self.sizes, self.kinds = sizes.bytes, sizes.kinds
 
     def links(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(token of a, token of b) of every link, by place, and the places after each group in a and in b.
@@ -149,16 +163,16 @@ class Aligner:
         The bytes of one document's tokens follow those of the document before,
         on both sides, so no link and no group crosses documents.
         """
-        end_a, end_b = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
-        start_a = end_a - self.sizes[0][a]
-        first = np.searchsorted(end_b, start_a, "right")
-        last = np.searchsorted(end_b, end_a, "left")  # the token of b in which the token of a ends
+        size_a, size_b = self.sizes[0][a], self.sizes[1][b]
+        end_a, end_b = np.cumsum(size_a, dtype=np.int64), np.cumsum(size_b, dtype=np.int64)
+        at = np.repeat(np.arange(len(b), dtype=np.int32), size_b)  # the token of b in which a byte stands
+        first, last = at[end_a - size_a], at[end_a - 1]
         count = last - first + 1
         before = np.cumsum(count) - count
         of_a = np.repeat(np.arange(len(a)), count)
         of_b = np.arange(len(of_a)) + np.repeat(first - before, count)
         shared = end_b[last] == end_a
-        return of_a, of_b, np.flatnonzero(shared) + 1, last[shared] + 1
+        return of_a, of_b, np.flatnonzero(shared) + 1, last[shared].astype(np.int64) + 1
 
     def batches(self, batch: pa.RecordBatch, limit: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """(first row, row after the last, ids of a, ids of b, places after each row in a, in b), some rows at a time."""
@@ -255,9 +269,9 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
 # ---- passes ----
 
 
-def _pairs(path_a: str, path_b: str, settings: Settings):
+def _pairs(sizes: Sizes, settings: Settings):
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, seen, waiting, size = Aligner(path_a, path_b), np.empty(0, np.uint64), [], 0
+        aligner, seen, waiting, size = Aligner(sizes), np.empty(0, np.uint64), [], 0
 
         def rows(keys: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], ["key"])
@@ -298,9 +312,9 @@ def _buckets(buckets: int):
     return deal
 
 
-def _counts(path_a: str, path_b: str, table: str, settings: Settings):
+def _counts(sizes: Sizes, table: str, settings: Settings):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, pairs = Aligner(path_a, path_b), PairTable(open_shipped(table))
+        aligner, pairs = Aligner(sizes), PairTable(open_shipped(table))
         dense = np.zeros(-(-len(pairs.keys) // settings.block) * settings.block, np.int64)
         for batch in batches:
             for _, _, a, b, _, _ in aligner.batches(batch, settings.batch):
@@ -349,11 +363,11 @@ class Part:
     counts: str
 
 
-def pair_tables(tokens: DataFrame, path_a: str, path_b: str, settings: Settings = Settings()) -> list[Part]:
+def pair_tables(tokens: DataFrame, sizes: Sizes, settings: Settings = Settings()) -> list[Part]:
     """Count the linked pairs of all documents (``_a``, ``_b``); the tables, by parts."""
     spark = tokens.sparkSession
     sides = tokens.select("_a", "_b")
-    distinct = pinned(sides.mapInArrow(_pairs(path_a, path_b, settings), "key long").distinct(), "pairs")
+    distinct = pinned(sides.mapInArrow(_pairs(sizes, settings), "key long").distinct(), "pairs")
     buckets = max(1, -(-distinct.count() // settings.bucket))
     each = distinct.mapInArrow(_buckets(buckets), "bucket int, key long").groupBy("bucket")
     hashes = pinned(each.applyInArrow(_builds(settings.gamma), "bucket int, sizes binary, bits binary, keys binary"), "pair-hashes")
@@ -363,7 +377,7 @@ def pair_tables(tokens: DataFrame, path_a: str, path_b: str, settings: Settings
         rows = hashes.where((F.col("bucket") >= first) & (F.col("bucket") < first + width)).orderBy("bucket").collect()
         arrays = PairTable.arrays([(r["bucket"], np.frombuffer(r["sizes"], np.int64).tolist(), r["bits"], r["keys"]) for r in rows], buckets)
         name = ship(spark, "pairs", arrays)
-        vectors = _tree_sum(sides.mapInArrow(_counts(path_a, path_b, name, settings), _VECTORS), settings.fan_in)
+        vectors = _tree_sum(sides.mapInArrow(_counts(sizes, name, settings), _VECTORS), settings.fan_in)
         dense = np.zeros(-(-len(arrays["keys"]) // settings.block) * settings.block, np.int64)
         for r in vectors.collect():
             dense[r["block"] * settings.block : (r["block"] + 1) * settings.block] = np.frombuffer(r["counts"], np.int64)
@@ -376,28 +390,38 @@ def pair_tables(tokens: DataFrame, path_a: str, path_b: str, settings: Settings
     return [Part(name, ship(spark, "pair-counts", {"counts": dense, "best": best})) for name, dense in counted]
 
 
-def _group_texts(a: np.ndarray, b: np.ndarray, after_a: np.ndarray, after_b: np.ndarray, digits: list[bytes], ends: Sequence[np.ndarray]) -> list[bytes]:
-    """`a1,a2|b1;a3|b2` of each document; ends are the places after each document in a and b."""
-    size_a, size_b = (np.diff(x, prepend=0) for x in (after_a, after_b))
-    # Where each token stands among the tokens of both sides, group by group, and what follows it.
-    begin = np.cumsum(size_a + size_b) - size_a - size_b
-    place_a = np.arange(len(a)) + np.repeat(begin - (after_a - size_a), size_a)
-    place_b = np.arange(len(b)) + np.repeat(begin + size_a - (after_b - size_b), size_b)
-    both = np.empty(len(a) + len(b), np.int64)
-    both[place_a], both[place_b] = a * 3, b * 3
-    both[place_a[after_a - 1]] += 1
-    both[place_b[after_b - 1]] += 2
-    cut = [0, *(ends[0] + ends[1]).tolist()]
-    words = both.tolist()
-    return [b"".join(map(digits.__getitem__, words[s:e]))[:-1] for s, e in zip(cut, cut[1:])]
-
-
-def _judges(path_a: str, path_b: str, part: Part, first: bool, settings: Settings):
+class Digits:
+    """Decimal ids with the mark that follows them, as rows of bytes filled up with zeros."""
+
+    def __init__(self, size: int) -> None:
+        shown = np.array([f"{i}{mark}" for i in range(size) for mark in ",|;"], "S")
+        self.bytes = shown.view(np.uint8).reshape(len(shown), shown.itemsize)
+        self.lengths = np.count_nonzero(self.bytes, axis=1)
+
+    def texts(
+        self, a: np.ndarray, b: np.ndarray, after_a: np.ndarray, after_b: np.ndarray, ends: tuple[np.ndarray, np.ndarray]
+    ) -> list[bytes]:
+        """`a1,a2|b1;a3|b2` of each document; ``ends`` are the places after each document in a and b."""
+        size_a, size_b = (np.diff(x, prepend=0) for x in (after_a, after_b))
+        # Where each token stands among the tokens of both sides, group by group, and what follows it.
+        begin = np.cumsum(size_a + size_b) - size_a - size_b
+        place_a = np.arange(len(a)) + np.repeat(begin - (after_a - size_a), size_a)
+        place_b = np.arange(len(b)) + np.repeat(begin + size_a - (after_b - size_b), size_b)
+        both = np.empty(len(a) + len(b), np.int64)
+        both[place_a], both[place_b] = a * 3, b * 3
+        both[place_a[after_a - 1]] += 1
+        both[place_b[after_b - 1]] += 2
+        filled = self.bytes[both].reshape(-1)
+        data = filled[filled != 0].tobytes()
+        places = np.concatenate([[0], np.cumsum(self.lengths[both])])[ends[0] + ends[1]].tolist()
+        return [data[s : max(s, e - 1)] for s, e in zip([0, *places], places)]
+
+
+def _judges(sizes: Sizes, part: Part, first: bool, settings: Settings):
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(path_a, path_b)
+        aligner = Aligner(sizes)
         pairs, counts = PairTable(open_shipped(part.pairs)), open_shipped(part.counts)
-        size = max(len(s) for s in aligner.sizes)
-        digits = [f"{i}{mark}".encode() for i in range(size) for mark in ",|;"]
+        digits = Digits(max(len(s) for s in aligner.sizes))
         for batch in batches:
             kept = [i for i, n in enumerate(batch.schema.names) if n not in ("_a", "_b")]
             for begin, end, a, b, end_a, end_b in aligner.batches(batch, settings.batch):
@@ -413,7 +437,7 @@ def _judges(path_a: str, path_b: str, part: Part, first: bool, settings: Setting
 
                 groups = np.searchsorted(after_a, end_a, "right")
                 figures = [np.diff(end_a, prepend=0), np.diff(end_b, prepend=0), np.diff(groups, prepend=0), np.diff(ends_of_links, prepend=0)]
-                texts = _group_texts(a, b, after_a, after_b, digits, (end_a, end_b)) if first else [b""] * (end - begin)
+                texts = digits.texts(a, b, after_a, after_b, (end_a, end_b)) if first else [b""] * (end - begin)
                 columns = [pa.array(x, pa.int64()) for x in (*figures, per_row(most), per_row(count))]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(i).slice(begin, end - begin) for i in kept), *columns, pa.array(texts, pa.binary()).cast(pa.string())],
@@ -435,9 +459,9 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, keep: Sequence[str], sett
     fields = rows.drop("_text").schema.fields
     tokens = pinned(rows.mapInArrow(_tokenizes(path_a, path_b), StructType([*fields, StructField("_a", BinaryType()), StructField("_b", BinaryType())])), "tokens")
     schema = StructType([*fields, *(StructField(n, LongType()) for n in _COUNTS), StructField("groups", StringType())])
+    sizes = Sizes.of(path_a, path_b)
     found = [
-        tokens.mapInArrow(_judges(path_a, path_b, part, i == 0, settings), schema)
-        for i, part in enumerate(pair_tables(tokens, path_a, path_b, settings))
+        tokens.mapInArrow(_judges(sizes, part, i == 0, settings), schema) for i, part in enumerate(pair_tables(tokens, sizes, settings))
     ]
     if len(found) == 1:
         return found[0].drop("_row")
