@@ -10,7 +10,8 @@ from tallyspark.functions.udfs import TextLines, digit_sum, grouped_partials, tr
 from tallyspark.operators.heavy import heavy_hitters
 from tallyspark.operators.sketches import distinct_in_all, distinct_in_any, quantiles_of, sketched
 from tallyspark.plans.catalogue import Catalogue
-from tallyspark.session import pinned
+from tallyspark.session import pinned, shared_path
+from tallyspark.sources.labelled import register
 from tallyspark.sources.tables import load
 
 CATALOGUE = Catalogue()
@@ -98,3 +99,12 @@ def stored_sketches(spark: SparkSession, sf: str) -> DataFrame:
     answers = weeks.select(*[F.col(c).cast("double").alias(c) for c in weeks.columns]).unpivot([], weeks.columns, "question", "answer")
     answers = answers.union(month.select(F.lit("month"), F.col("month").cast("double")))
     return answers.union(quantiles.select(F.posexplode("value").alias("at", "answer")).select(F.concat(F.lit("quartile_"), F.col("at") + 1), "answer"))
+
+
+@query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def events_as_labelled_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The events written and read back through a data source in Python."""
+    events, folder = load(spark, sf, "events"), shared_path(spark, "labelled")
+    register(spark)
+    events.write.format("labelled").mode("append").save(folder)
+    return spark.read.format("labelled").schema(events.schema).load(folder)
