@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.functions import calendar, nested, text, values
 from tallyspark.functions.exact import amount, cents, micros, total
-from tallyspark.operators import cleaning, frames, overlaps, sessions, windows
+from tallyspark.operators import cleaning, frames, overlaps, sequences, sessions, windows
 from tallyspark.plans.catalogue import Catalogue
 from tallyspark.session import shared_path
 from tallyspark.sources.merged import Merged
@@ -502,3 +502,22 @@ def failing_while_busy(spark: SparkSession, sf: str) -> DataFrame:
     busy = spans(events.where("event_type <> 'error'"), 480, "other", ("busy_from", "busy_to"))
     pairs = overlaps.overlapping(failing, busy, ("user_id", "other"), (("failing_from", "failing_to"), ("busy_from", "busy_to")))
     return pairs.drop("other")
+
+
+@query(
+    """
+    WITH g AS (SELECT *, lag(event_type) OVER w IS DISTINCT FROM event_type AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    n AS (SELECT *, sum(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS run FROM g),
+    r AS (SELECT user_id, run, event_type, count(*) AS n, min(ts) AS a, max(ts) AS b FROM n GROUP BY ALL),
+    l AS (SELECT *, lag(event_type) OVER w AS t1, lag(n) OVER w AS n1, lag(event_type, 2) OVER w AS t2, lag(n, 2) OVER w AS n2,
+                 lag(a, 2) OVER w AS a2, lag(b, 2) OVER w AS b2 FROM r WINDOW w AS (PARTITION BY user_id ORDER BY run))
+    SELECT user_id, a2 AS started_at, a AS ended_at, n2 AS views, n1 AS clicks
+    FROM l WHERE event_type = 'purchase' AND t1 = 'click' AND n1 <= 3 AND t2 = 'view' AND a - b2 <= INTERVAL 48 HOUR
+    """
+)
+def views_clicks_purchase(spark: SparkSession, sf: str) -> DataFrame:
+    """Views, then one to three clicks, then a purchase within two days of the last view, nothing between."""
+    events = load(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
+    steps = [("view", 1, None), ("click", 1, 3), ("purchase", 1, 1)]
+    found = sequences.sequences(events, ["user_id"], [F.asc("ts"), F.asc("event_id")], "event_type", "ts", steps, 48 * 3600)
+    return found.select("user_id", "started_at", "ended_at", F.get("counts", F.lit(0)).alias("views"), F.get("counts", F.lit(1)).alias("clicks"))
