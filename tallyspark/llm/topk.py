@@ -18,7 +18,8 @@ Nulls: a null vector, one with a null or non-finite component, and a null id
 take no part. Vectors of fewer components count as if filled up with zeros.
 Candidates of the query's id are its own and left out. Repeated rows are
 candidates of their own; a repeated query is answered for each row. Components
-must stay below 2^24 in size, so that products are exact.
+must stay below 2^24 in size, so that products are exact. No rows or no queries
+give an empty result.
 """
 
 from __future__ import annotations

@@ -46,6 +46,35 @@ def test_a_row_for_every_document(spark, small, name):
     assert got.select(ids).distinct().count() == want.count()
 
 
+def test_near_duplicates_of_the_table(spark, graded):
+    """Every link of an exact join, those just above the threshold included."""
+    docs = sorted(spark.read.parquet(f"{graded}/documents.parquet").select("doc_id", "text").collect())
+    sets = []
+    for _, text in docs:
+        words = text.encode().lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    holders = defaultdict(list)
+    for i, found in enumerate(sets):
+        for shingle in found:
+            holders[shingle].append(i)
+    shared = Counter((a, b) for own in holders.values() for k, b in enumerate(own) for a in own[:k])
+    root, close = list(range(len(docs))), 0
+
+    def find(i):
+        while root[i] != i:
+            root[i] = i = root[root[i]]
+        return i
+
+    for (a, b), both in shared.items():
+        union = len(sets[a]) + len(sets[b]) - both
+        if 100 * both >= 75 * union:
+            close += 100 * both < 80 * union
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in query("op5_near_duplicates")(spark, graded).collect()}
+    assert got == {docs[i][0]: (len(sets[i]), docs[find(i)][0]) for i in range(len(docs))} and close > 0
+
+
 def test_held_out_quality_and_language(spark, graded):
     labels = spark.read.parquet(f"{graded}/labels.parquet")
     scored = query("op3_quality_scores")(spark, graded).join(labels, "doc_id").collect()
