@@ -1,7 +1,8 @@
 """Connected components by alternating stars: every node learns its smallest neighbour.
 
 Groups are only ever reduced to a minimum and joined back, so that a node with
-very many neighbours is no more than a skewed join key.
+very many neighbours is no more than a skewed join key. Edges with a null end
+and loops say nothing; repeated edges are one. No edges give no labels.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import pinned
+from tallyspark.llm.common import pinned, released
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -34,10 +35,14 @@ def components(edges: DataFrame) -> DataFrame:
     edges = pinned(edges.where("u <> v").select("u", "v").distinct(), "edges")
     before = _mark(edges)
     while before[0]:
-        edges = pinned(_star(_star(edges, True), False), "edges")
+        edges, old = pinned(_star(_star(edges, True), False), "edges"), edges
+        released(old)
         after = _mark(edges)
         if after == before:
             break
         before = after
     roots = edges.select(F.col("v").alias("node")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(roots.select("node", F.col("node").alias("label")))
+    every = edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(roots.select("node", F.col("node").alias("label")))
+    labels = pinned(every, "labels")
+    released(edges)
+    return labels

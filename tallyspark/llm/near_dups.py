@@ -32,11 +32,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from tallyspark.llm.common import pinned
+from tallyspark.llm.common import BLANKS, Memo, pinned, released, word_hashes
 from tallyspark.llm.components import components
 
 
@@ -52,26 +52,21 @@ class Tables:
     least_agreeing: int = 48
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 1_000_000 and len(word) < 64:
-            self[word] = h
-        return h
-
-
-_HASHES = _WordHashes()
 _LONGS = ArrayType(LongType())
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
-def shingles(text: str | None, words: int = 5) -> np.ndarray:
-    """The sorted distinct shingle hashes of a text: its whole word sequence if that is shorter."""
+def shingles(text: str | None, words: int = 5, hashes: Memo | None = None) -> np.ndarray:
+    """The sorted distinct shingle hashes of a text: its whole word sequence if that is shorter.
+
+    ``hashes`` are the word hashes that the caller's task keeps.
+    """
+    hashes = word_hashes() if hashes is None else hashes
     parts = text.encode().lower().split() if text else []  # bytes: A-Z are lowered, ASCII blanks part words
     if not parts:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_HASHES.__getitem__, parts), np.uint64, len(parts))
+    h = np.fromiter(map(hashes.__getitem__, parts), np.uint64, len(parts))
     n = min(words, len(h))
     out = np.full(len(h) - n + 1, n, np.uint64)
     for i in range(n):
@@ -108,11 +103,11 @@ def _signer(tables: Tables):
     m, k = tables.keys, tables.hashes
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        functions = _functions(tables)
+        functions, hashes = _functions(tables), word_hashes()
         for batch in batches:
             digests, sizes, all_mins = [], [], np.zeros((batch.num_rows, 2 * m * k), np.uint64)
             for i, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-                found = shingles(text, tables.words)
+                found = shingles(text, tables.words, hashes)
                 sizes.append(len(found))
                 digests.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
                 if len(found):
@@ -155,9 +150,10 @@ def sketch(found: np.ndarray) -> np.ndarray:
 
 def _sets(tables: Tables):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = word_hashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                found = [shingles(t, tables.words) for t in batch.column(0).slice(at, 256).to_pylist()]
+                found = [shingles(t, tables.words, hashes) for t in batch.column(0).slice(at, 256).to_pylist()]
                 found = [f for f in found if len(f)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -200,7 +196,9 @@ def _table_keys(nodes: DataFrame) -> DataFrame:
     alike = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x")]
     full = keyed.groupBy("key").agg(F.min("slot").alias("slot"), *alike).where("n > 1")
     full = full.groupBy("n", "s", "x").agg(F.min_by("key", F.struct("slot", "key")).alias("key"))
-    return keyed.join(full.select("key"), "key")
+    buckets = pinned(keyed.join(full.select("key"), "key"), "buckets")
+    released(keyed)
+    return buckets
 
 
 def _agreeing(a: Column, b: Column, hashes: int) -> Column:
@@ -243,13 +241,15 @@ class _Linker:
 
 
 def _merge(groups: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, group) after the links have joined groups."""
+    """(node, group) after the links have joined groups; what it was made of is gone."""
     a = groups.select(F.col("node").alias("u"), F.col("group").alias("gu"))
     b = groups.select(F.col("node").alias("v"), F.col("group").alias("gv"))
     between = links.join(a, "u").join(b, "v").select(F.col("gu").alias("u"), F.col("gv").alias("v"))
     joined = components(between)
     moved = groups.join(joined.withColumnRenamed("node", "group"), "group", "left")
-    return pinned(moved.select("node", F.coalesce("label", "group").alias("group")), "groups")
+    merged = pinned(moved.select("node", F.coalesce("label", "group").alias("group")), "groups")
+    released(groups, links, joined)
+    return merged
 
 
 def _open(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -331,57 +331,76 @@ def _rest(rows: DataFrame, nodes: DataFrame, sets: DataFrame, share: int) -> Dat
         & ((100 + share) * (F.col("a.n") - a_not_b) >= least)
         & ((100 + share) * (F.col("b.n") - b_not_a) >= least)
     )
-    return a.join(b, near).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
+    pairs = pinned(a.join(b, near).select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct(), "rest")
+    released(able)
+    return pairs
 
 
 def groups_of(docs: DataFrame, nodes: DataFrame, tables: Tables = Tables()) -> DataFrame:
     """(node, group) for the nodes that share a bucket with another."""
-    rows = pinned(_table_keys(nodes), "buckets")
+    rows = _table_keys(nodes)
     linker = _Linker(docs, nodes, tables)
     linker.prepare(rows)
     groups = pinned(rows.select("node").distinct().withColumn("group", F.col("node")), "groups")
-    tested = None
+    every: list[DataFrame] = []  # the pairs that were verified
     for turn in range(tables.rounds + 1):
-        rows = _open(rows, groups)
+        rows, old = _open(rows, groups), rows
+        released(old)
         if rows.isEmpty():
             break
         last = turn == tables.rounds
-        pairs = _rest(rows, nodes, linker.sets, tables.share) if last else _few(rows, turn, 4 if turn else 1)
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = pinned(pairs, "pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        groups = _merge(groups, linker.links(pairs))
+        new = found = _rest(rows, nodes, linker.sets, tables.share) if last else _few(rows, turn, 4 if turn else 1)
+        for tested in every:
+            new = new.join(tested, ["u", "v"], "left_anti")
+        every.append(pinned(new, "pairs"))
+        released(found)
+        groups = _merge(groups, linker.links(every[-1]))
+    released(rows, linker.sets, *every)
     return groups
 
 
 def near_duplicates(docs: DataFrame, keep: Sequence[str] = ("doc_id",), tables: Tables = Tables()) -> DataFrame:
     """Per row the kept columns, ``n_shingles``, ``component_id`` (the smallest doc_id that it
     is connected with) and ``first`` (true for the one row of each component that stays)."""
-    rows = pinned(signed(docs, list(keep), tables), "signatures")
-    some = rows.where("n_shingles > 0")
-    reps = some.groupBy("digest").agg(F.min("_row").alias("node"), F.min("doc_id").alias("least"))
+    signatures = pinned(signed(docs, list(keep), tables), "signatures")
+    some = signatures.where("n_shingles > 0")
+    reps = pinned(some.groupBy("digest").agg(F.min("_row").alias("node"), F.min("doc_id").alias("least")), "representatives")
     nodes = pinned(
         some.join(reps.select(F.col("node").alias("_row")), "_row", "left_semi")
         .select(F.col("_row").alias("node"), "doc_id", "n_shingles", "digest", "left_keys", "right_keys", "mins"),
         "nodes",
     )
+    rows = pinned(signatures.drop("left_keys", "right_keys", "mins"), "digests")
+    released(signatures)
     groups = groups_of(docs, nodes, tables)
     labelled = reps.join(groups, "node", "left").withColumn("group", F.coalesce("group", "node"))
-    placed = rows.drop("left_keys", "right_keys", "mins").join(labelled.select("digest", "group"), "digest", "left")
-    placed = placed.withColumn("group", F.coalesce("group", "_row"))  # an empty set is alone
+    placed = pinned(rows.join(labelled.select("digest", "group"), "digest", "left").withColumn("group", F.coalesce("group", "_row")), "placed")  # an empty set is alone
+    released(nodes, rows, reps, groups)
     # Nulls last: the smallest id is a known one if there is any.
     smallest = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "_row")).alias("s")
-    heads = pinned(placed.groupBy("group").agg(smallest), "heads")
-    out = placed.join(heads, "group")
-    return out.select(
+    heads = placed.groupBy("group").agg(smallest)
+    return placed.join(heads, "group").select(
         *[f"`{c}`" for c in keep], "n_shingles", F.col("s.doc_id").alias("component_id"), (F.col("_row") == F.col("s._row")).alias("first")
     )
 
 
 def deduplicated(docs: DataFrame, tables: Tables = Tables()) -> DataFrame:
-    """One document of each component: the row of the smallest id."""
-    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
-    base = pinned(docs.select("doc_id", "text", whole, F.monotonically_increasing_id().alias("_base")), "base")
-    stays = near_duplicates(base.select("doc_id", "text", "_base"), ["doc_id", "_base"], tables).where("first").select("_base")
-    return base.join(stays, "_base", "left_semi").select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])
+    """One document of each component: the row of the smallest id.
+
+    Texts without a word are nobody's copies and stay. Of rows with one id and
+    one text the one with the smallest hash of the further columns stays.
+    """
+    marks = {"_a": F.xxhash64("text"), "_b": F.xxhash64(F.lit(1), "text")}
+    blank = F.btrim(F.coalesce("text", F.lit("")), F.lit(BLANKS)) == ""
+    found = near_duplicates(docs.select("doc_id", "text", *[c.alias(n) for n, c in marks.items()]), ["doc_id", *marks], tables)
+    firsts = pinned(found.where("first AND n_shingles > 0").select("doc_id", *marks), "firsts")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")  # names may clash with ours
+    rest = docs.where(~blank).select(whole, F.col("doc_id").alias("_id"), *[c.alias(n) for n, c in marks.items()])
+    known = F.col("l._id").eqNullSafe(F.col("r.doc_id"))
+    stays = rest.alias("l").join(firsts.alias("r"), known & (F.col("l._a") == F.col("r._a")) & (F.col("l._b") == F.col("r._b")), "left_semi")
+    if stays.count() > firsts.count():  # ids are repeated
+        others = [f"_doc.`{f.name}`" for f in docs.schema.fields if "map" not in f.dataType.simpleString() and f.dataType.simpleString() != "variant"]
+        order = Window.partitionBy("_id", *marks).orderBy(F.xxhash64(*others))
+        stays = stays.withColumn("_n", F.row_number().over(order)).where("_n = 1")
+    out = stays.select("_doc").union(docs.where(blank).select(whole))
+    return out.select(*[F.col(f"_doc.`{c}`").alias(c) for c in docs.columns])
