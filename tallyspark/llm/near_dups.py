@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -350,8 +351,8 @@ def groups_of(docs: DataFrame, nodes: DataFrame, tables: Tables = Tables()) -> D
             break
         last = turn == tables.rounds
         new = found = _rest(rows, nodes, linker.sets, tables.share) if last else _few(rows, turn, 4 if turn else 1)
-        for tested in every:
-            new = new.join(tested, ["u", "v"], "left_anti")
+        if every:  # all of them at once: each join more would pass all pairs on again
+            new = new.join(reduce(DataFrame.union, every), ["u", "v"], "left_anti")
         every.append(pinned(new, "pairs"))
         released(found)
         groups = _merge(groups, linker.links(every[-1]))

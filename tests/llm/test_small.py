@@ -337,6 +337,28 @@ def test_one_group_of_many_near_copies(spark):
     assert {r["doc_id"]: r["component_id"] for r in got} == dict(enumerate(label))
 
 
+def test_tested_pairs_leave_by_one_join(spark, monkeypatch):
+    plans = []
+    kept = near_dups.pinned
+
+    def keep(df, label):
+        if label == "pairs":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return kept(df, label)
+
+    monkeypatch.setattr(near_dups, "pinned", keep)
+    rng = random.Random(6)
+    texts = []
+    for _ in range(60):
+        copy = [f"b{i}" for i in range(70)]
+        for _ in range(4):
+            copy[rng.randrange(70)] = f"x{rng.random()}"
+        texts.append(" ".join(copy))
+    got = near_dups.near_duplicates(documents(spark, texts), tables=near_dups.Tables(rounds=2)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == dict(enumerate(brute_components(texts)[1]))
+    assert [p.count("LeftAnti") for p in plans] == [0, 1, 1]
+
+
 @pytest.mark.parametrize("sizes", [(1, 1), (60, 70), (64, 65), (300, 400), (3000, 2500), (4, 900)])
 def test_sketches_never_miss_less_than_they_say(spark, sizes):
     rng = np.random.default_rng(sum(sizes))
