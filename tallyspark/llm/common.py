@@ -9,9 +9,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyspark.session import pinned, released
+from tallyspark.session import bucketed, pinned, released
 
-__all__ = ["BLANKS", "Memo", "ascii_lower", "held", "hold_out", "pinned", "released", "running_offsets", "table", "word_count", "word_hashes", "words"]
+__all__ = ["BLANKS", "Memo", "ascii_lower", "bucketed", "held", "hold_out", "pinned", "released", "running_offsets", "table", "word_count", "word_hashes", "words"]
 
 # The blanks between words: space and the ASCII controls from tab to carriage return.
 BLANKS = " \t\n\x0b\x0c\r"

@@ -37,8 +37,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from tallyspark.llm.common import BLANKS, Memo, pinned, released, word_hashes
+from tallyspark.llm.common import BLANKS, Memo, bucketed, pinned, released, word_hashes
 from tallyspark.llm.components import components
+from tallyspark.llm.shipped import in_bitmap, open_shipped, ship_bitmap
 
 
 @dataclass(frozen=True)
@@ -149,12 +150,15 @@ def sketch(found: np.ndarray) -> np.ndarray:
     return np.packbits(mask, bitorder="little").view(np.int64)
 
 
-def _sets(tables: Tables):
+def _sets(tables: Tables, wanted: str):
+    """The sets of the texts whose place stands in the bitmap."""
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = word_hashes()
+        hashes, bitmap = word_hashes(), open_shipped(wanted)["bitmap"]
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                found = [shingles(t, tables.words, hashes) for t in batch.column(0).slice(at, 256).to_pylist()]
+            texts = batch.column(1).filter(pa.array(in_bitmap(bitmap, batch.column(0).to_numpy())))
+            for at in range(0, len(texts), 256):
+                found = [shingles(t, tables.words, hashes) for t in texts.slice(at, 256).to_pylist()]
                 found = [f for f in found if len(f)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -210,6 +214,10 @@ def _agreeing(a: Column, b: Column, hashes: int) -> Column:
     )
 
 
+def _buckets(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 class _Linker:
     """Verifies pairs of nodes on their full sets, each pair once."""
 
@@ -218,14 +226,21 @@ class _Linker:
         self.sets: DataFrame | None = None
 
     def prepare(self, members: DataFrame) -> None:
-        """The sets of the nodes that stand in a bucket, from their texts."""
-        wanted = members.select("node").distinct().join(self.nodes.select("node", "doc_id", "digest"), "node")
-        ids = wanted.select("doc_id").distinct()
-        texts = self.docs.alias("l").join(ids.alias("r"), F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")), "left_semi").select("text")
-        made = texts.mapInArrow(_sets(self.tables), "digest binary, shingles binary, sketch array<long>")
+        """The sets of the nodes, from their texts.
+
+        Texts don't move: a bitmap of the nodes' ids, with some false hits, says
+        whose sets are made, and sets that no node has fall out by their digest.
+        """
+        wanted = members.join(self.nodes.select("node", "doc_id", "digest"), "node")
+        bits = min(26, max(16, (16 * members.count()).bit_length()))
+        place = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << bits) - 1)).alias("place")
+        bitmap = ship_bitmap(wanted.select(place), bits)
+        if bitmap is None:
+            return
+        made = self.docs.select(place, "text").mapInArrow(_sets(self.tables, bitmap), "digest binary, shingles binary, sketch array<long>")
         # An id may stand for several texts, and a set for several ids of equal digests.
-        found = made.join(wanted.select("node", "digest"), "digest").dropDuplicates(["node"]).select("node", "shingles", "sketch")
-        self.sets = pinned(found, "sets")
+        found = made.dropDuplicates(["digest"]).join(wanted.select("node", "digest"), "digest").select("node", "shingles", "sketch")
+        self.sets = bucketed(found.repartition(_buckets(found), "node"), "sets", "node")
 
     def links(self, pairs: DataFrame) -> DataFrame:
         facts = self.nodes.select("node", "n_shingles", "mins")
@@ -325,8 +340,9 @@ def _rest(rows: DataFrame, nodes: DataFrame, sets: DataFrame, share: int) -> Dat
     def first(keys: str) -> Column:
         return F.array_position(F.zip_with(f"a.{keys}", f"b.{keys}", lambda x, y: x == y), True) - 1
 
+    # Equal keys are of one table; with the slot on either side, both are one exchange.
     near = (
-        (F.col("a.key") == F.col("b.key")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.group") != F.col("b.group"))
+        (F.col("a.key") == F.col("b.key")) & (F.col("a.slot") == F.col("b.slot")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.group") != F.col("b.group"))
         & (100 * most >= share * (F.col("a.n") + F.col("b.n") - most))
         & (F.col("a.slot") == first("left_keys") * F.size("a.right_keys") + first("right_keys"))
         & ((100 + share) * (F.col("a.n") - a_not_b) >= least)
@@ -341,8 +357,8 @@ def groups_of(docs: DataFrame, nodes: DataFrame, tables: Tables = Tables()) -> D
     """(node, group) for the nodes that share a bucket with another."""
     rows = _table_keys(nodes)
     linker = _Linker(docs, nodes, tables)
-    linker.prepare(rows)
     groups = pinned(rows.select("node").distinct().withColumn("group", F.col("node")), "groups")
+    linker.prepare(groups.select("node"))
     every: list[DataFrame] = []  # the pairs that were verified
     for turn in range(tables.rounds + 1):
         rows, old = _open(rows, groups), rows
@@ -366,10 +382,11 @@ def near_duplicates(docs: DataFrame, keep: Sequence[str] = ("doc_id",), tables:
     signatures = pinned(signed(docs, list(keep), tables), "signatures")
     some = signatures.where("n_shingles > 0")
     reps = pinned(some.groupBy("digest").agg(F.min("_row").alias("node"), F.min("doc_id").alias("least")), "representatives")
-    nodes = pinned(
-        some.join(reps.select(F.col("node").alias("_row")), "_row", "left_semi")
+    dealt = some.repartition(_buckets(some), "_row")
+    nodes = bucketed(
+        dealt.join(reps.select(F.col("node").alias("_row")), "_row", "left_semi")
         .select(F.col("_row").alias("node"), "doc_id", "n_shingles", "digest", "left_keys", "right_keys", "mins"),
-        "nodes",
+        "nodes", "node",
     )
     rows = pinned(signatures.drop("left_keys", "right_keys", "mins"), "digests")
     released(signatures)

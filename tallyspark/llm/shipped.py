@@ -12,8 +12,10 @@ import uuid
 from collections.abc import Mapping
 
 import numpy as np
+import pyarrow as pa
 from pyspark import SparkFiles
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyspark.session import shared_path
 
@@ -54,3 +56,27 @@ def ship(spark: SparkSession, label: str, arrays: Mapping[str, np.ndarray]) -> s
 def open_shipped(name: str) -> dict[str, np.ndarray]:
     """Within a task: the arrays, mapped."""
     return unpacked(np.memmap(SparkFiles.get(name), np.uint8, "r"))
+
+
+_BLOCK = 20  # bits of a place within a block of a bitmap
+
+
+def _blocks(rows: pa.Table) -> pa.Table:
+    bits = np.zeros(1 << _BLOCK, bool)
+    bits[rows.column("place").to_numpy() & (1 << _BLOCK) - 1] = True
+    return pa.table({"block": rows.column("block").slice(0, 1), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+
+
+def ship_bitmap(places: DataFrame, bits: int) -> str | None:
+    """Send out the bitmap of the column ``place``, numbers of so many bits; None if there is none."""
+    found = places.select("place").distinct().withColumn("block", F.shiftright("place", _BLOCK))
+    rows = found.groupBy("block").applyInArrow(_blocks, "block long, bits binary").collect()
+    out = np.zeros((1 << max(0, bits - _BLOCK), 1 << _BLOCK - 3), np.uint8)
+    for r in rows:
+        out[r["block"]] = np.frombuffer(r["bits"], np.uint8)
+    return ship(places.sparkSession, "bitmap", {"bitmap": out.reshape(-1)}) if rows else None
+
+
+def in_bitmap(bitmap: np.ndarray, place: np.ndarray) -> np.ndarray:
+    place = place.astype(np.uint64)
+    return (bitmap[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)

@@ -78,8 +78,10 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-# Where the tables that ``pinned`` gave are written.
+# Where the tables that ``pinned`` and ``bucketed`` gave are written.
 _FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+# What those of ``bucketed`` are called in the catalogue.
+_NAMES: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def pinned(df: DataFrame, label: str) -> DataFrame:
@@ -95,13 +97,29 @@ def pinned(df: DataFrame, label: str) -> DataFrame:
     return table
 
 
+def bucketed(df: DataFrame, label: str, column: str) -> DataFrame:
+    """The rows as ``pinned``, in buckets by a column: joins on it move the other side only.
+
+    The table is a temporary one of the session's catalogue, its files are in the shared folder.
+    """
+    spark = df.sparkSession
+    path, count = shared_path(spark, label), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"tallyspark_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(count, column).option("path", path).saveAsTable(name)
+    table = spark.table(name)
+    _FOLDERS[table], _NAMES[table] = path, name
+    return table
+
+
 def released(*tables: DataFrame | None) -> None:
-    """Delete tables that ``pinned`` gave and that nothing reads any more, not even to compute a lost part anew.
+    """Delete tables that ``pinned`` or ``bucketed`` gave and that nothing reads any more, not even to compute a lost part anew.
 
     That is so once all that was made of them is itself pinned.
     """
     for table in tables:
         if table is not None and table in _FOLDERS:
             spark = table.sparkSession
+            if table in _NAMES:
+                spark.sql(f"DROP TABLE IF EXISTS {_NAMES.pop(table)}")
             path = spark._jvm.org.apache.hadoop.fs.Path(_FOLDERS.pop(table))
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -359,6 +359,21 @@ def test_tested_pairs_leave_by_one_join(spark, monkeypatch):
     assert [p.count("LeftAnti") for p in plans] == [0, 1, 1]
 
 
+def test_texts_and_sets_stay_where_they_are(spark, monkeypatch):
+    plans = {}
+    for name in ("pinned", "bucketed"):
+        def keep(df, label, *by, kept=getattr(near_dups, name)):
+            plans.setdefault(label, df._jdf.queryExecution().executedPlan().toString())
+            return kept(df, label, *by)
+
+        monkeypatch.setattr(near_dups, name, keep)
+    words = [f"b{i}" for i in range(40)]
+    texts = [" ".join([*words[:i], f"x{i}", *words[i + 1 :]]) for i in range(3)] + ["else where"]
+    got = near_dups.near_duplicates(documents(spark, texts)).collect()
+    assert [r["component_id"] for r in sorted(got)] == brute_components(texts)[1]
+    assert "LeftSemi" not in plans["sets"]
+
+
 @pytest.mark.parametrize("sizes", [(1, 1), (60, 70), (64, 65), (300, 400), (3000, 2500), (4, 900)])
 def test_sketches_never_miss_less_than_they_say(spark, sizes):
     rng = np.random.default_rng(sum(sizes))
