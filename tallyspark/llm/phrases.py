@@ -1,7 +1,10 @@
 """Phrases whose words stand together more often than their parts would: n-grams counted in quotient filters.
 
-Words become numbers: tasks number the words of a chunk of text, words that are
-frequent get one number for all chunks, and chunks are written with these. Runs
+Words become numbers: tasks number the words that they meet, each in a lexicon of
+its own, and write chunks of text with these numbers. The lexicons are dealt out
+by the words' hashes; where all entries of a word meet, it is counted and, if
+frequent, gets one number for all chunks, the smaller the more frequent it is, so
+that numbers compress. Chunks are then written with those. Runs
 of frequent words hold all phrases that can be frequent, so n-grams are counted
 level by level from two words up, the longer ones only where both shorter ones
 in them are frequent (by a bitmap of fixed size: a false hit costs a count, and
@@ -31,12 +34,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import pinned, running_offsets
-from tallyspark.llm.shipped import open_shipped, ship
+from tallyspark.llm.common import pinned, released
+from tallyspark.llm.shipped import in_bitmap, open_shipped, ship_bitmap
 
 
 @dataclass(frozen=True)
@@ -44,7 +48,9 @@ class Shape:
     longest: int = 5  # words of a phrase
     least: int = 100  # times that a phrase must stand somewhere
     best: int = 2_000  # phrases of a language that are reported
-    chunk: int = 1 << 20  # words that are numbered together
+    chunk: int = 1 << 20  # words that are written together
+    lexicon: int = 1 << 18  # words that a task numbers before it begins anew
+    bucket: int = 1 << 18  # entries of lexicons that are counted together
     shard: int = 1 << 22  # words that are counted in one filter
     merged: int = 1 << 21  # words for each range of quotients
     bitmap: int = 26  # bits of a place in the bitmap
@@ -79,63 +85,152 @@ class _Numbers(dict):
         return n
 
 
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """Numbers of 32 bits, compressed byte by byte: most high ones are 0."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return len(numbers).to_bytes(4, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _loosened(data: pa.Buffer) -> np.ndarray:
+    n = int.from_bytes(data[:4].to_pybytes(), "little")
+    planes = np.frombuffer(pa.decompress(data[4:], 4 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").reshape(n)
+
+
+class _Lexicon:
+    """The numbers of a language's words, their counts, and the texts that wait to be written."""
+
+    def __init__(self, name: int) -> None:
+        self.name, self.numbers, self.texts, self.counts = name, _Numbers(), [], np.zeros(2, np.int64)
+
+    def written(self) -> bytes:
+        codes = np.concatenate(self.texts)
+        counts = np.bincount(codes, minlength=len(self.numbers))
+        counts[: len(self.counts)] += self.counts
+        self.counts, self.texts = counts, []
+        return _squeezed(codes)
+
+
 def _chunks(shape: Shape):
+    """Rows of codes, and a row of each lexicon."""
+
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Language: its numbers and its texts so far.
-        open_chunks: dict[str, tuple[_Numbers, list[np.ndarray]]] = {}
+        known: dict[str, _Lexicon] = {}
         size, made = 0, 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal made
-            for lang, (numbers, texts) in open_chunks.items():
-                codes = np.concatenate(texts)
-                count = np.bincount(codes, minlength=len(numbers))[2:]
-                words = pa.ListArray.from_arrays(pa.array([0, len(numbers) - 2], pa.int32()), pa.array(list(numbers)[2:], pa.binary()))
-                counts = pa.ListArray.from_arrays(pa.array([0, len(count)], pa.int32()), pa.array(count, pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([TaskContext.get().partitionId() << 32 | made], pa.int64()), pa.array([lang], pa.string()),
-                        pa.array([int(count.sum())], pa.int64()), words, counts, pa.array([codes.astype("<u4").tobytes()], pa.binary()),
-                    ],
-                    ["chunk", "lang", "total", "words", "counts", "codes"],
-                )
-                made += 1
-            open_chunks.clear()
+        def row(lexicon, lang=None, total=None, size=None, words=None, counts=None, codes=None) -> pa.RecordBatch:
+            values = [lexicon, lang, total, size, words, counts, codes]
+            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], ["lexicon", "lang", "total", "size", "words", "counts", "codes"])
+
+        def flush(last: bool) -> Iterator[pa.RecordBatch]:
+            for lexicon in known.values():
+                if lexicon.texts:
+                    yield row(lexicon.name, codes=lexicon.written())
+            if last or sum(len(x.numbers) for x in known.values()) >= shape.lexicon or any(x.counts.sum() >> 31 for x in known.values()):
+                for lang, x in known.items():
+                    counts = x.counts[2:]
+                    yield row(x.name, lang, int(counts.sum()), len(counts), b"\n".join(list(x.numbers)[2:]), _squeezed(counts))
+                known.clear()
 
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 for part in _slices(text or "", 1 << 20):
-                    if lang not in open_chunks:
-                        open_chunks[lang] = (_Numbers(), [])
-                    numbers, texts = open_chunks[lang]
-                    found = part.split(b" ")
-                    codes = np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))
-                    texts += [codes[codes != 1], np.zeros(1, np.int64)]
+                    if lang not in known:
+                        known[lang] = _Lexicon(TaskContext.get().partitionId() << 32 | made)
+                        made += 1
+                    lexicon, found = known[lang], part.split(b" ")
+                    codes = np.fromiter(map(lexicon.numbers.__getitem__, found), np.int64, len(found))
+                    lexicon.texts += [codes[codes != 1], np.zeros(1, np.int64)]
                     size += len(found)
                     if size >= shape.chunk:
-                        yield from flush()
+                        yield from flush(False)
                         size = 0
-        yield from flush()
+        yield from flush(True)
 
     return chunks
 
 
-_CHUNK = "chunk long, lang string, total long, words array<binary>, counts array<long>, codes binary"
+_CHUNK = "lexicon long, lang string, total long, size long, words binary, counts binary, codes binary"
+
+
+def _dealt(bits: int):
+    """The entries of lexicons by the first bits of the words' hashes."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lexicon, lang, joined, counted in zip(*(batch.column(i) for i in range(4))):
+                words, counts = joined.as_py().split(b"\n"), _loosened(counted.as_buffer())
+                hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+                bucket = (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(words), np.int64)
+                order = np.argsort(bucket, kind="stable")
+                used, first = np.unique(bucket[order], return_index=True)
+                parts = np.split(order, first[1:])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(used, pa.int64()), pa.array([lexicon.as_py()] * len(used), pa.int64()), pa.array([lang.as_py()] * len(used), pa.string()),
+                        pa.array([b"\n".join([words[i] for i in p.tolist()]) for p in parts], pa.binary()),
+                        pa.array([_squeezed(counts[p]) for p in parts], pa.binary()), pa.array([_squeezed(p + 2) for p in parts], pa.binary()),
+                    ],
+                    ["bucket", "lexicon", "lang", "words", "counts", "places"],
+                )
+
+    return deal
+
+
+_NUMBERED = "lexicon long, places binary, ids binary, id array<long>, lang array<string>, word array<binary>, f array<long>"
+
+
+def _numbers(least: int, bits: int):
+    """The numbers of a bucket's frequent words: by lexicon, and in one row (without a lexicon) the words."""
+
+    def number(rows: pa.Table) -> pa.Table:
+        parts = [w.as_py().split(b"\n") for w in rows.column("words")]
+        words = pa.array([w for p in parts for w in p], pa.binary()).dictionary_encode()
+        langs = pa.array(rows.column("lang").to_pylist(), pa.string()).dictionary_encode()
+        of = np.repeat(langs.indices.to_numpy().astype(np.int64), [len(p) for p in parts])
+        known, entry = np.unique(of * len(words.dictionary) + words.indices.to_numpy(), return_inverse=True)
+        f = np.zeros(len(known), np.int64)
+        np.add.at(f, entry, np.concatenate([_loosened(c.as_buffer()) for c in rows.column("counts")]).astype(np.int64))
+        often = np.flatnonzero(f >= least)
+        often = often[np.argsort(-f[often], kind="stable")]
+        if len(often) << bits >= 1 << 32:
+            raise ValueError("more frequent words than 32 bits can number")
+        ids = np.zeros(len(known), np.int64)
+        ids[often] = (np.arange(len(often)) << bits) + rows.column("bucket")[0].as_py() + 1
+        each = np.split(ids[entry], np.cumsum([len(p) for p in parts])[:-1])
+        places = [_loosened(p.as_buffer())[e != 0] for p, e in zip(rows.column("places"), each)]
+        lang, word = (x.dictionary.take(pa.array(i)) for x, i in zip((langs, words), np.divmod(known[often], len(words.dictionary))))
+        none, n = [None] * len(parts), len(parts)
+        return pa.table(
+            {
+                "lexicon": pa.array([*rows.column("lexicon").to_pylist(), None], pa.int64()),
+                "places": pa.array([*map(_squeezed, places), None], pa.binary()),
+                "ids": pa.array([*(_squeezed(e[e != 0]) for e in each), None], pa.binary()),
+                "id": pa.array([*none, ids[often]], pa.list_(pa.int64())),
+                "lang": pa.array([*none, lang.to_pylist()], pa.list_(pa.string())),
+                "word": pa.array([*none, word.to_pylist()], pa.list_(pa.binary())),
+                "f": pa.array([*none, f[often]], pa.list_(pa.int64())),
+            }
+        )
+
+    return number
 
 
 def _renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for codes, known in zip(batch.column(0), batch.column(1)):
-            old = np.frombuffer(codes.as_buffer(), "<u4")
-            table = np.zeros(int(old.max(initial=0)) + 1, "<u4")
-            if known.is_valid:
-                places, ids = (known.values.field(n).to_numpy() for n in ("place", "id"))
-                table[places + 2] = ids
-            ids = table[old]
+            old = _loosened(codes.as_buffer())
+            pieces = [[_loosened(x.as_buffer()) for x in known.values.field(n)] for n in ("places", "ids")] if known.is_valid else [[], []]
+            most = max([int(x.max(initial=0)) for x in [old, *pieces[0]]])
+            table = np.zeros(most + 1, "<u4")
+            for places, ids in zip(*pieces):
+                table[places] = ids
+            ids = table[old]  # a word that isn't frequent is 0, as a break is
             stays = ids != 0
             stays[1:] |= ids[:-1] != 0  # one break after each run
-            out.append(ids[stays].tobytes())
+            out.append(_squeezed(ids[stays]))
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["ids"])
 
 
@@ -239,8 +334,7 @@ class Filters:
 
 
 def _held(bitmap: np.ndarray, first: np.ndarray, bits: int) -> np.ndarray:
-    place = first >> np.uint64(64 - bits)
-    return (bitmap[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    return in_bitmap(bitmap, first >> np.uint64(64 - bits))
 
 
 def _fills(n: int, range_bits: int, shape: Shape, shorter: str | None):
@@ -271,7 +365,7 @@ def _fills(n: int, range_bits: int, shape: Shape, shorter: str | None):
 
         for batch in batches:
             for row in batch.column(0):
-                ids = np.frombuffer(row.as_buffer(), "<u4")
+                ids = _loosened(row.as_buffer())
                 if len(ids) >= n:
                     waiting.append(keys(ids))
                     size += len(waiting[-1][0])
@@ -299,25 +393,6 @@ def _merges(n: int, range_bits: int, shape: Shape):
     return merge
 
 
-_BLOCK = 20  # bits of a place within a block of the bitmap
-
-
-def _blocks(rows: pa.Table) -> pa.Table:
-    bits = np.zeros(1 << _BLOCK, bool)
-    bits[rows.column("place").to_numpy() & (1 << _BLOCK) - 1] = True
-    return pa.table({"block": rows.column("block").slice(0, 1), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
-
-
-def _bitmap(often: DataFrame, shape: Shape) -> str | None:
-    """Send out the bitmap of the frequent n-grams; None if there is none."""
-    places = often.select("place").distinct().withColumn("block", F.shiftright("place", _BLOCK))
-    rows = places.groupBy("block").applyInArrow(_blocks, "block long, bits binary").collect()
-    out = np.zeros((1 << max(0, shape.bitmap - _BLOCK), 1 << _BLOCK - 3), np.uint8)
-    for r in rows:
-        out[r["block"]] = np.frombuffer(r["bits"], np.uint8)
-    return ship(often.sparkSession, "bitmap", {"bitmap": out.reshape(-1)}) if rows else None
-
-
 # ---- phrases ----
 
 
@@ -325,21 +400,18 @@ def frequent(docs: DataFrame, shape: Shape = Shape()) -> tuple[DataFrame, DataFr
     """(id, lang, word, f) of the frequent words, (ids, f) of the frequent phrases from two words on, and (lang, n)."""
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     chunks = pinned(docs.select(lang.alias("lang"), "text").mapInArrow(_chunks(shape), _CHUNK), "phrase-chunks")
-    totals = chunks.groupBy("lang").agg(F.sum("total").alias("n")).where("n > 0")
-    each = chunks.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("w")).select("lang", "w.words", "w.counts")
-    often = each.groupBy("lang", F.col("words").alias("word")).agg(F.sum("counts").alias("f")).where(F.col("f") >= shape.least)
-    often = pinned(often.withColumn("_all", F.lit(0)), "frequent-words")
-    numbered = running_offsets(often, ["_all"], F.xxhash64("lang", "word"), ["lang", "word"], {"id": F.lit(1)}, 5_000)
-    words = pinned(numbered.select((F.col("id") + 1).alias("id"), "lang", "word", "f"), "numbered-words")
-    if words.count() >= 1 << 32:
-        raise ValueError("more frequent words than 32 bits can number")
-    placed = chunks.select("chunk", "lang", F.posexplode("words").alias("place", "word"))
-    # A word that isn't frequent is 0, as a break is.
-    numbers = placed.join(words.select("lang", "word", "id"), ["lang", "word"], "left").select("chunk", "place", F.coalesce("id", F.lit(0)).alias("id"))
-    known = numbers.groupBy("chunk").agg(F.collect_list(F.struct("place", "id")).alias("known"))
-    rows = chunks.select("chunk", "codes").join(known, "chunk", "left").select("codes", "known")
+    lexicons = chunks.where("size > 0")
+    totals = pinned(lexicons.groupBy("lang").agg(F.sum("total").alias("n")), "totals")
+    total, entries = lexicons.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    bits = (entries // shape.bucket).bit_length()
+    dealt = lexicons.select("lexicon", "lang", "words", "counts").mapInArrow(_dealt(bits), "bucket long, lexicon long, lang string, words binary, counts binary, places binary")
+    numbered = pinned(dealt.groupBy("bucket").applyInArrow(_numbers(shape.least, bits), _NUMBERED), "numbered-words")
+    each = numbered.where("lexicon IS NULL").select(F.explode(F.arrays_zip("id", "lang", "word", "f")).alias("w"))
+    words = pinned(each.select("w.id", "w.lang", "w.word", "w.f"), "frequent-words")
+    known = numbered.where("lexicon IS NOT NULL").groupBy("lexicon").agg(F.collect_list(F.struct("places", "ids")).alias("known"))
+    rows = chunks.where("codes IS NOT NULL").select("lexicon", "codes").join(known, "lexicon", "left").select("codes", "known")
     texts = pinned(rows.mapInArrow(_renumber, "ids binary"), "numbered-texts")
-    total = totals.agg(F.sum("n")).first()[0] or 0
+    released(chunks, numbered)
     range_bits = max(0, (int(total) // shape.merged).bit_length())
     phrases, shorter = None, None
     for n in range(2, shape.longest + 1):
@@ -347,9 +419,10 @@ def frequent(docs: DataFrame, shape: Shape = Shape()) -> tuple[DataFrame, DataFr
         merged = pieces.groupBy("range").applyInArrow(_merges(n, range_bits, shape), "ids array<long>, f long, place long")
         found = pinned(merged, f"phrases-{n}")
         phrases = found if phrases is None else phrases.union(found)
-        shorter = _bitmap(found, shape)
+        shorter = ship_bitmap(found, shape.bitmap)
         if not shorter:
             break
+    released(texts)
     return words, phrases.drop("place"), totals
 
 

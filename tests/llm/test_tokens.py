@@ -58,6 +58,19 @@ def plain_collocations(rows, least, best, longest=5):
 TINY = phrases.Shape(least=3, best=7, chunk=50, shard=64, merged=40, bitmap=21, slots=3)
 
 
+def test_words_are_numbered_without_a_row_for_each(spark):
+    texts = [" ".join(f"w{(i * j) % 23}" for j in range(40)) + f" once{i}" for i in range(30)]
+    small = phrases.Shape(least=3, chunk=50, lexicon=40, bucket=8)
+    counts = Counter(w for t in texts for w in t.split())
+    words, found, totals = phrases.frequent(documents(spark, texts), small)
+    assert {bytes(r["word"]).decode(): r["f"] for r in words.collect()} == {w: n for w, n in counts.items() if n >= 3}
+    assert len({r["id"] for r in words.collect()}) == words.count()
+    spelt = {r["id"]: bytes(r["word"]).decode() for r in words.collect()}
+    pairs = Counter(p for t in texts for p in zip(t.split(), t.split()[1:]))
+    got = {tuple(spelt[i] for i in r["ids"]): r["f"] for r in found.where("size(ids) = 2").collect()}
+    assert got == {p: n for p, n in pairs.items() if n >= 3}
+
+
 @pytest.mark.parametrize("shape", [TINY, phrases.Shape(least=3, best=7)])
 def test_collocations(spark, shape):
     rng = random.Random(1)
