@@ -38,19 +38,26 @@ def _byte_names() -> dict[int, str]:
 
 
 class ChunkEncoder:
-    """Token ids of a text as little-endian bytes, chunk by chunk.
-
-    White space parts tokens in this vocabulary, so a text's ids are those of
-    its chunks in order, and a chunk that was met before needs no encoding. Of
-    the chunks met, the last ``MOST`` at most are kept. The names of
-    special tokens in a text are those tokens, as for the tokenizer; they hold
-    no white space, and a chunk with one is left to the tokenizer.
+    """Token ids of a text as little-endian bytes, part by part.
+
+    White space, digits and changes between letters and marks part tokens in
+    this vocabulary, so a text's ids are those of its parts in order, and a
+    part that was met before needs no encoding. Words are lowered before they
+    are looked up. Of the parts met, the last ``MOST`` at most are kept. The
+    names of special tokens in a text are those tokens, as for the tokenizer.
+    A chunk between blanks with any character that isn't plain is left to the
+    tokenizer.
     """
 
-    MOST = 50_000
-    _MARKS = frozenset(b"!#$%&()*+,-./:;<=>?@[]^_`{|}~")
-    # Letters that lower-case one to one and are in normal form already, then marks of ASCII but the apostrophe.
-    _PLAIN = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([!-&(-/:-@\[-`{-~]*)")
+    MOST = 200_000
+    # Plain characters are those of ASCII and letters that lower-case one to one and are in normal form already.
+    _LETTERS = "\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+    _LOW = "a-z\u00df-\u00f6\u00f8-\u00ff"
+    _BLANKS = " \\t-\\r"
+    _SLICE = re.compile(rf".{{1,1000000}}[^{_BLANKS}]*", re.DOTALL)
+    _ODD = re.compile(rf"[^\x00-\x7f{_LETTERS}]")
+    _ODD_CHUNK = re.compile(rf"(?<![^{_BLANKS}])([^{_BLANKS}]*[^\x00-\x7f{_LETTERS}][^{_BLANKS}]*)")
+    _PARTS = re.compile(rf"'(?:[stmd]|re|ve|ll)|[{_LOW}]+|[0-9]|[^{_BLANKS}{_LOW}0-9]+")
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -58,33 +65,35 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.names = _byte_names()
+        self.special = {t.content: array("I", [i]).tobytes() for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self._special_names = re.compile(f"({'|'.join(map(re.escape, self.special))})")
         self.forget()
 
     def forget(self) -> None:
-        self.chunks = Memo(self._encode, self.MOST)
-
-    def _encode(self, chunk: bytes) -> bytes:
-        if chunk.isalpha():  # letters of ASCII
-            low = chunk.lower()
-            return self._tokens(low.decode()) if low == chunk else self.chunks[low]
-        if chunk[-1] in self._MARKS and chunk[:-1].isalpha():
-            return self.chunks[chunk[:-1]] + self.chunks[chunk[-1:]]
-        text = chunk.decode()
-        plain = self._PLAIN.fullmatch(text)
-        if not plain:
-            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        word, marks = plain[1].lower(), plain[2]
-        if marks or word != text:
-            return self.chunks[word.encode()] + (self._tokens(marks) if marks else b"")
-        return self._tokens("".join(map(self.names.__getitem__, chunk)))
-
-    def _tokens(self, part: str) -> bytes:
+        self.parts = Memo(self._part, self.MOST)
+        self.chunks = Memo(self._chunk, self.MOST // 4)
+
+    def _part(self, part: str) -> bytes:
+        if not (part.isascii() and part.isprintable()):
+            part = "".join(map(self.names.__getitem__, part.encode()))
         return array("I", [t.id for t in self.model.tokenize(part)]).tobytes()
 
+    def _chunk(self, chunk: str) -> bytes:
+        return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, self._PARTS.findall(text.lower())))
+
+    def _unnamed(self, text: str) -> bytes:
+        if text.isascii() or not self._ODD.search(text):
+            return self._plain(text)
+        return b"".join(self.chunks[x] if i % 2 else self._plain(x) for i, x in enumerate(self._ODD_CHUNK.split(text)))
+
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        return b"".join(map(self.chunks.__getitem__, text.encode().split()))
+        out = []
+        for part in self._SLICE.findall(text or ""):
+            out += [self.special[x] if i % 2 else self._unnamed(x) for i, x in enumerate(self._special_names.split(part))]
+        return b"".join(out)
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}

@@ -428,6 +428,30 @@ def test_encoder_agrees_with_a_tokenizer_of_its_own():
         assert np.frombuffer(encoder.encode(t), "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
+def test_words_are_tokenized_once_in_whatever_form():
+    encoder = packing.ChunkEncoder(packing.tokenizer_path())
+    model, seen = encoder.model, Counter()
+
+    class Counted:
+        def tokenize(self, part):
+            seen[part] += 1
+            return model.tokenize(part)
+
+    encoder.model = Counted()
+    words = ["".join("abcdefghij"[int(d)] for d in str(i)) for i in range(60_000)]
+    for text in (" ".join(words), " ".join(words).title() + ",", ", ".join(words), "(" + ") (".join(words) + ")", "\u00e9 " + " ".join(words).upper()):
+        encoder.encode(text)
+    assert set(words) <= seen.keys() and max(seen.values()) == 1
+
+
+def test_encoder_cuts_long_texts_between_chunks(monkeypatch):
+    path = packing.tokenizer_path()
+    encoder = packing.ChunkEncoder(path)
+    monkeypatch.setattr(packing.ChunkEncoder, "_SLICE", re.compile(packing.ChunkEncoder._SLICE.pattern.replace("1000000", "7"), re.DOTALL))
+    for t in (*ODD, "a long-ish word's end <|endoftext|>'s \u6f22\u5b57x  \n\n y", " " * 40, "x" * 40):
+        assert np.frombuffer(encoder.encode(t), "<u4").tolist() == encoder.tokenizer.encode(t or "", add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_fullest_bins(seed):
     rng = random.Random(seed)
