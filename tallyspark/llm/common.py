@@ -52,20 +52,20 @@ def held(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def running_offsets(
     df: DataFrame, by: Sequence[str], spread: Column, order: Sequence[str], sums: dict[str, Column], per_bucket: int
 ) -> DataFrame:
-    """Add to each row the sums over the rows before it in its group.
+    """Add to each row the sums over the rows before it in its group; without ``by``, all rows are one.
 
     No group goes through one window: its rows are dealt over as many buckets
     as hold ``per_bucket`` rows each by the hash ``spread``; sums are run
     inside each bucket, and over one row per bucket. ``order`` must settle the
     order of rows that differ.
     """
-    counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_group"))
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
-    dealt = (
-        df.alias("l").join(counted.alias("r"), same, "inner").select("l.*", "r._group")
-        .withColumn("_bucket", F.pmod(spread, F.ceil(F.col("_group") / per_bucket)))
-        .drop("_group")
-    )
+    if by:
+        counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_group"))
+        same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
+        sized = df.alias("l").join(counted.alias("r"), same, "inner").select("l.*", "r._group")
+        dealt = sized.withColumn("_bucket", F.pmod(spread, F.ceil(F.col("_group") / per_bucket))).drop("_group")
+    else:  # counted now: joined to each row, the count would make a product
+        dealt = df.withColumn("_bucket", F.pmod(spread, F.lit(parts_for(df.count(), per_bucket)).cast("long")))
     totals = dealt.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_sum_{n}") for n, c in sums.items()])
     across = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select(*by, "_bucket", *[F.coalesce(F.sum(f"_sum_{n}").over(across), F.lit(0)).alias(f"_base_{n}") for n in sums])

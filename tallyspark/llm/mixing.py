@@ -107,12 +107,12 @@ def slots(targets: DataFrame, mix: Mix = Mix()) -> DataFrame:
     numbered = pinned(running_offsets(taken, ["_src"], F.xxhash64("_slot"), ["_order", "_slot"], {"index": F.lit(1)}, 5_000), "mix-draws")
     # Over all shards a source is drawn a little more or less often than planned. Slots beyond the plan,
     # by the last numbers, go to the numbers that other sources lack: the totals come out as planned.
-    over = numbered.where("index >= _planned").select(F.lit(0).alias("_all"), "_slot")
+    over = numbered.where("index >= _planned").select("_slot")
     drawn_of = numbered.groupBy("_src").agg(F.count(F.lit(1)).alias("_drawn"))
     lacking = targets.join(drawn_of, "_src", "left").withColumn("_drawn", F.coalesce("_drawn", F.lit(0))).where("_drawn < _slots")
-    lacking = lacking.select(F.lit(0).alias("_all"), "_src", F.explode(F.sequence(F.col("_drawn"), F.col("_slots") - 1)).alias("index"))
-    over = running_offsets(over, ["_all"], F.xxhash64("_slot"), ["_slot"], {"_n": F.lit(1)}, 5_000)
-    lacking = running_offsets(lacking, ["_all"], F.xxhash64("_src", "index"), ["_src", "index"], {"_n": F.lit(1)}, 5_000)
+    lacking = lacking.select("_src", F.explode(F.sequence(F.col("_drawn"), F.col("_slots") - 1)).alias("index"))
+    over = running_offsets(over, [], F.xxhash64("_slot"), ["_slot"], {"_n": F.lit(1)}, 5_000)
+    lacking = running_offsets(lacking, [], F.xxhash64("_src", "index"), ["_src", "index"], {"_n": F.lit(1)}, 5_000)
     every = numbered.where("index < _planned").select("_slot", "_src", "index").union(over.join(lacking, "_n").select("_slot", "_src", "index"))
     known = every.join(targets.select("_src", "_blocks"), "_src")
     turn = F.floor(F.col("index") / F.col("_blocks"))
