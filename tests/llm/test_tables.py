@@ -94,6 +94,13 @@ def test_rules_keep_good_and_drop_junk(spark, graded):
     assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.05 * len(bad)
 
 
+def test_filters_on_verdicts_do_not_reach_the_texts(spark, small):
+    found = query("op9_quality_rules")(spark, small).where("kept AND NOT base_failed")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    filters = [node for node in re.split(r"\n[ :]*[+:]- ", plan) if node.startswith("Filter")]
+    assert filters and not any("CASE WHEN" in node for node in filters)
+
+
 def test_pipeline_stages(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     seen = {}
