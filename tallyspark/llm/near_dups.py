@@ -8,9 +8,10 @@ tables would take 2 * m * m * k. A pair of sets of similarity s shares a table
 with probability (1 - (1 - s^k)^m)^2: 0.9997 at 0.75 with the defaults.
 
 Sets that are alike become one node first, and buckets of the same nodes one
-bucket. In a few rounds every node is held against one or four others that all
-nodes of its buckets agree on, verified on the full sets, and links join nodes
-to components; copies of one text thus find each other without pairs. Only
+bucket. In a few rounds every node is held against one or four heads of its
+buckets, those that most nodes meet before others, verified on the full sets,
+and links join nodes to components; near copies of one text thus find each
+other through the one in their middle, whatever the order of rows. Only
 buckets with two components or more stay open. For these, all pairs that are
 left are verified: those of different components that the exact bounds on the
 intersection (by set size, by shingles that no other open node has, and by bits
@@ -189,7 +190,10 @@ def _verifier(share: int):
 
 
 def _table_keys(nodes: DataFrame) -> DataFrame:
-    """(key, slot, node) for the buckets with two nodes or more; the slot numbers the table."""
+    """(key, slot, node, weight) for the buckets with two nodes or more.
+
+    The slot numbers the table; the weight is the bucket's nodes, those of all buckets like it included.
+    """
     firsts = nodes.select("node", "right_keys", F.posexplode("left_keys").alias("i", "left"))
     # A node stays with those of its first keys that another node has, too.
     met = firsts.groupBy("i", "left").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("i", "left")
@@ -200,8 +204,8 @@ def _table_keys(nodes: DataFrame) -> DataFrame:
     # Buckets of the same nodes are alike; the one of the first table is enough.
     alike = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("x")]
     full = keyed.groupBy("key").agg(F.min("slot").alias("slot"), *alike).where("n > 1")
-    full = full.groupBy("n", "s", "x").agg(F.min_by("key", F.struct("slot", "key")).alias("key"))
-    buckets = pinned(keyed.join(full.select("key"), "key"), "buckets")
+    full = full.groupBy("n", "s", "x").agg(F.min_by("key", F.struct("slot", "key")).alias("key"), (F.col("n") * F.count(F.lit(1))).alias("weight"))
+    buckets = pinned(keyed.join(full.select("key", "weight"), "key"), "buckets")
     released(keyed)
     return buckets
 
@@ -257,35 +261,47 @@ class _Linker:
 
 
 def _merge(groups: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, group) after the links have joined groups; what it was made of is gone."""
+    """(node, degree, group) after the links have joined groups; what it was made of is gone."""
     a = groups.select(F.col("node").alias("u"), F.col("group").alias("gu"))
     b = groups.select(F.col("node").alias("v"), F.col("group").alias("gv"))
     between = links.join(a, "u").join(b, "v").select(F.col("gu").alias("u"), F.col("gv").alias("v"))
     joined = components(between)
     moved = groups.join(joined.withColumnRenamed("node", "group"), "group", "left")
-    merged = pinned(moved.select("node", F.coalesce("label", "group").alias("group")), "groups")
+    merged = pinned(moved.select("node", "degree", F.coalesce("label", "group").alias("group")), "groups")
     released(groups, links, joined)
     return merged
 
 
 def _open(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """(key, slot, node, group) of the buckets that hold two groups or more."""
+    """(key, slot, node, degree, group) of the buckets that hold two groups or more."""
     known = rows.select("key", "slot", "node").join(groups, "node")
     split = known.groupBy("key").agg(F.min("group").alias("a"), F.max("group").alias("b")).where("a <> b").select("key")
     return pinned(known.join(split, "key"), "open-buckets")
 
 
 def _few(rows: DataFrame, turn: int, count: int) -> DataFrame:
-    """(u, v): every node with one node for each of ``count`` orders, the first among all of its buckets."""
+    """(u, v): every node with one node for each of ``count`` orders, the first among the heads of its buckets.
+
+    In the first two turns a bucket's head is the node of the highest degree: the text in the middle of its
+    near copies, linked with more of them than one that has changes of its own. A node is held against
+    the highest of its heads, then against others of them. Later heads are any nodes.
+    """
     orders = range(count)
 
+    def any_first(node: str, p: int) -> Column:
+        return F.xxhash64(node, F.lit(4 * turn + p))
+
     def order(p: int) -> Column:
-        first = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(4 * turn + p))
+        first = -F.col("degree") if turn < 2 else any_first("node", p)
         return F.struct(first.alias("o"), F.col("node").alias("v"), F.col("group").alias("g"))
 
+    def choice(p: int) -> Column:
+        first = any_first(f"h{p}.v", p) if turn == 1 else F.col(f"h{p}.o")
+        return F.struct(first.alias("o"), F.col(f"h{p}.v").alias("v"))
+
     heads = rows.groupBy("key").agg(*[F.min(order(p)).alias(f"h{p}") for p in orders])
     met = rows.join(heads, "key")
-    each = met.groupBy("node").agg(*[F.min(F.when(F.col(f"h{p}.g") != F.col("group"), F.col(f"h{p}"))).alias(f"h{p}") for p in orders])
+    each = met.groupBy("node").agg(*[F.min(F.when(F.col(f"h{p}.g") != F.col("group"), choice(p))).alias(f"h{p}") for p in orders])
     pairs = each.select("node", F.explode(F.array(*[F.col(f"h{p}.v") for p in orders])).alias("head")).where("head IS NOT NULL")
     return pairs.select(F.least("node", "head").alias("u"), F.greatest("node", "head").alias("v")).distinct()
 
@@ -357,7 +373,7 @@ def groups_of(docs: DataFrame, nodes: DataFrame, tables: Tables = Tables()) -> D
     """(node, group) for the nodes that share a bucket with another."""
     rows = _table_keys(nodes)
     linker = _Linker(docs, nodes, tables)
-    groups = pinned(rows.select("node").distinct().withColumn("group", F.col("node")), "groups")
+    groups = pinned(rows.groupBy("node").agg(F.sum("weight").alias("degree")).withColumn("group", F.col("node")), "groups")
     linker.prepare(groups.select("node"))
     every: list[DataFrame] = []  # the pairs that were verified
     for turn in range(tables.rounds + 1):

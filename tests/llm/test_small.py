@@ -359,6 +359,31 @@ def test_tested_pairs_leave_by_one_join(spark, monkeypatch):
     assert [p.count("LeftAnti") for p in plans] == [0, 1, 1]
 
 
+def test_near_copies_link_with_the_middle_of_their_group(spark, monkeypatch):
+    """Whatever the order of rows: each copy is verified against the base, and no pair of copies is."""
+    tested, kept = [], near_dups.pinned
+
+    def keep(df, label):
+        table = kept(df, label)
+        if label == "pairs":
+            tested.append(table.count())
+        return table
+
+    monkeypatch.setattr(near_dups, "pinned", keep)
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for i in range(100):
+        copy = list(base)
+        for at in rng.sample(range(150), 4 if i < 20 else rng.choice([2, 3, 4])):
+            copy[at] = f"x{rng.random()}"
+        texts.append(" ".join(copy))
+    texts.append(" ".join(base))
+    got = near_dups.near_duplicates(documents(spark, texts)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == dict.fromkeys(range(101), 0) == dict(enumerate(brute_components(texts)[1]))
+    assert tested == [100]
+
+
 def test_texts_and_sets_stay_where_they_are(spark, monkeypatch):
     plans = {}
     for name in ("pinned", "bucketed"):
