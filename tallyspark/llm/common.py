@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyspark.session import bucketed, pinned, released
 
-__all__ = ["BLANKS", "Memo", "ascii_lower", "bucketed", "held", "hold_out", "pinned", "released", "running_offsets", "table", "word_count", "word_hashes", "words"]
+__all__ = ["BLANKS", "Memo", "ascii_lower", "bucketed", "held", "hold_out", "pinned", "released", "running_offsets", "slices", "table", "word_count", "word_hashes", "words"]
 
 # The blanks between words: space and the ASCII controls from tab to carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -101,5 +102,16 @@ def word_hashes() -> Memo:
     return Memo(xxhash.xxh3_64_intdigest)
 
 
+def slices(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of rows of ``size`` bytes or so, not copied: what a task makes of one stays small.
+
+    Python workers share an executor's memory with a heap that does not shrink.
+    """
+    for batch in batches:
+        rows = max(1, batch.num_rows * size // max(1, batch.nbytes))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def parts_for(rows: int, per_part: int) -> int:
     return max(1, math.ceil(rows / per_part))

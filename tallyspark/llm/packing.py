@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from tallyspark.llm.common import Memo, pinned, running_offsets
 
 CAPACITY = 2048
+# A task hands on its pieces when their ids have so many bytes; a document's stay together.
+OUT_BYTES = 1 << 20
 
 
 def _byte_names() -> dict[int, str]:
@@ -122,15 +124,16 @@ def _cutter(path: str, closing: int, capacity: int):
                 columns = [pa.array(pieces, pa.int32()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(ids, pa.binary())]
                 return pa.RecordBatch.from_arrays([*kept, *columns], [*batch.schema.names[:-1], "piece", "start", "length", "ids"])
 
-            for i, text in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-                all_ids = encoder.encode(text) + end
+            # Text by text, and out by small batches: an executor has little room beside its heap.
+            for i, text in enumerate(batch.column(batch.num_columns - 1)):
+                all_ids = encoder.encode(text.as_py()) + end
                 for n, at in enumerate(range(0, len(all_ids), step)):
                     rows.append(i)
                     pieces.append(n)
                     starts.append(at // 4)
                     ids.append(all_ids[at : at + step])
                 size += len(all_ids)
-                if size > 16 << 20:
+                if size > OUT_BYTES:
                     yield out()
                     rows, pieces, starts, ids, size = [], [], [], [], 0
             if rows:

@@ -43,6 +43,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from tallyspark.llm.common import slices
+
 _ROUNDS = 10
 
 # The setting that names the key, and the keys of sessions without it.
@@ -346,7 +348,7 @@ def _replacer(key: bytes, back: bool, spans_name: str | None):
     def replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         feistel = Feistel(key)
         spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
-        for batch in batches:
+        for batch in slices(batches):
             at = batch.schema.names.index("text")
             texts, spans = [], []
             for text in batch.column(at).to_pylist():

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -477,6 +479,24 @@ def test_encoder_cuts_long_texts_between_chunks(monkeypatch):
         assert np.frombuffer(encoder.encode(t), "<u4").tolist() == encoder.tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
+def _held_and_sent(task, texts):
+    """MB of Python's objects held at most while a task goes through one batch, and its largest batch out."""
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    list(task(iter([batch.slice(0, 1)])))
+    tracemalloc.start()
+    sent = [b.nbytes for b in task(iter([batch]))]
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return held / 1e6, max(sent) / 1e6
+
+
+def test_tasks_hold_little_of_a_batch():
+    texts = ["write to ann@example.org " + "the cat sat on the mat " * 40] * 8_000  # 7.6 MB
+    for task in (packing._cutter(packing.tokenizer_path(), 0, 2048), pii._replacer(b"key", False, None)):
+        held, sent = _held_and_sent(task, texts)
+        assert held < 5 and sent < 2, (task, held, sent)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_fullest_bins(seed):
     rng = random.Random(seed)
